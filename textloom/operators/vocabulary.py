@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import json
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass, replace
@@ -121,21 +120,18 @@ def vocabulary_digest(vocabulary: DataFrame) -> DataFrame:
     )
 
 
+def settings_text(spec: TokenizerSpec) -> str:
+    return json.dumps(asdict(spec), sort_keys=True)
+
+
 def tokenizer_fingerprint(vocabulary: DataFrame, spec: TokenizerSpec = DEFAULT_SPEC) -> DataFrame:
     """16 hex digits over the settings and the vocabulary; one row."""
-    settings = json.dumps(asdict(spec), sort_keys=True)
-    text = F.concat_ws("|", F.lit(settings), "vocab_size", "low", "high")
+    text = F.concat_ws("|", F.lit(settings_text(spec)), "vocab_size", "low", "high")
     return vocabulary_digest(vocabulary).select(
         "vocab_size", F.substring(F.sha2(text, 256), 1, 16).alias("fingerprint")
     )
 
 
-def settings_hash(spec: TokenizerSpec, vocab_size: int) -> str:
-    """The settings part alone, for a name that needs no pass over the vocabulary."""
-    text = json.dumps({**asdict(spec), "vocab_size": vocab_size}, sort_keys=True)
-    return hashlib.sha256(text.encode()).hexdigest()[:16]
-
-
 def tokenizer_audit(df: DataFrame, spec: TokenizerSpec = DEFAULT_SPEC, text_column: str = "text") -> DataFrame:
     """Per text: token counts, the first tokens, the decoded text and whether it matches."""
     added = int(spec.add_bos) + int(spec.add_eos)
