@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from textloom.operators.chunk import assign_chunk_ids, explode_chunks, with_chunks
 from textloom.sources.staging import stage
+from textloom.sources.tables import read_documents
 
 START_LINE = "*** START OF THE PROJECT GUTENBERG EBOOK X ***"
 END_LINE = "*** END OF THE PROJECT GUTENBERG EBOOK X ***"
@@ -26,16 +27,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_documents(spark, f"{sf_dir}/documents.parquet", "doc_id", "source", "text")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, source_file, text."""
     name = F.format_string("%s_%06d.txt", "source", "doc_id")
-    return table(spark, sf_dir, "documents").select("doc_id", name.alias("source_file"), "text")
+    return _texts(spark, sf_dir).select("doc_id", name.alias("source_file"), "text")
 
 
 def placed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a ``path`` inside a folder per source."""
     name = F.format_string("%s/%s_%06d.txt", "source", "source", "doc_id")
-    return table(spark, sf_dir, "documents").select("doc_id", name.alias("path"), "text")
+    return _texts(spark, sf_dir).select("doc_id", name.alias("path"), "text")
 
 
 def dirty_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +80,7 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text.cast("binary"))
     )
     return (
-        table(spark, sf_dir, "documents")
+        _texts(spark, sf_dir)
         .select(
             "doc_id",
             F.concat(F.format_string("/corpus/%s/%06d", "source", "doc_id"), suffix).alias("path"),

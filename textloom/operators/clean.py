@@ -97,7 +97,7 @@ def clean_batch(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFr
     given = df.where(F.col("text") != "")
     cleaned = clean(given, options)
     if options.filter_by_length:
-        cleaned = cleaned.where(F.col("text").isNotNull())
+        cleaned = where_computed(cleaned, F.col("text").isNotNull())
     if "metadata" in df.columns:
         stats = F.col("metadata").withField("cleaning_stats", F.col("cleaning_stats"))
     else:
@@ -105,6 +105,16 @@ def clean_batch(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFr
     return cleaned.withColumn("metadata", stats).drop("cleaning_stats")
 
 
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """``where`` on columns that are costly to compute.
+
+    A plain filter would be moved below the projection that computes them, with all
+    their expressions copied into it; a generated column stops that.
+    """
+    kept = F.explode_outer(F.when(condition, F.array(F.lit(True))))
+    return df.select("*", kept.alias("_kept")).where(F.col("_kept").isNotNull()).drop("_kept")
+
+
 def filter_by_length(df: DataFrame, min_length: int) -> DataFrame:
     """Texts of at least ``min_length`` characters."""
     return df.where(F.length("text") >= min_length)

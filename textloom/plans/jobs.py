@@ -20,6 +20,8 @@ from textloom.sources.datasets import write_dataset, write_splits
 from textloom.sources.files import extract_documents, scan_files
 from textloom.sources.staging import materialize_stage, stage, stage_fingerprint, stage_path
 
+from textloom.sources.tables import spread_small
+
 
 @dataclass(frozen=True)
 class CorpusOptions:
@@ -148,7 +150,7 @@ def prepare_files(
     spark: SparkSession, input_dir: str, options: CorpusOptions = CorpusOptions(), **flags: bool
 ) -> CorpusResult:
     """From a folder of files; with ``cache_dir`` set, encoded chunks are kept by fingerprint."""
-    raw = scan_files(spark, input_dir, options.file_patterns)
+    raw = spread_small(scan_files(spark, input_dir, options.file_patterns))
     documents = extract_documents(raw, options.encoding, options.clean.handle_encoding_errors)
     if not (options.cache_dir and options.pre_tokenize):
         return prepare_corpus(documents, options, **flags)
