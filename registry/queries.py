@@ -37,7 +37,7 @@ S.number("chunk_table", "token_chunks")
 S.number("char_table", "char_chunks")
 S.number("tidy_table", "tidy_chunks")
 S.cut_split("chunk_splits", "chunk_table")
-S.cut_split("tidy_splits", "tidy_table")
+S.cut_split("tidy_splits", "tidy_table", "source_file || ':' || pos")
 S.vocabulary("vocab", "docs", VOCAB_SIZE, SPEC.special_tokens)
 S.vocabulary("chunk_vocab", "chunk_table", VOCAB_SIZE, SPEC.special_tokens)
 S.vocabulary("mask_vocab", "chunk_table", VOCAB_SIZE, MASK_SPEC.special_tokens)
@@ -489,11 +489,11 @@ def chunk_text(spark, sf_dir):
     )
 
 
-@query("assign_chunk_ids", "SELECT source_file, min(chunk_id) AS first_id, count(*) AS chunks FROM char_table GROUP BY source_file")
+@query("assign_chunk_ids", "SELECT source_file, pos, chunk_id, md5(text) AS digest FROM char_table")
 def assign_chunk_ids(spark, sf_dir):
-    chunked = staging.stage(chunk.with_chunks(V.documents(spark, sf_dir), by="characters"), "chunks")
-    return chunk.assign_chunk_ids(chunked).select(
-        "source_file", "first_id", F.size("chunks").cast("bigint").alias("chunks")
+    rows = chunk.staged_chunks(V.documents(spark, sf_dir), by="characters")
+    return chunk.assign_chunk_ids(rows).select(
+        "source_file", F.col("pos").cast("bigint").alias("pos"), "chunk_id", F.md5("text").alias("digest")
     )
 
 
@@ -506,7 +506,7 @@ def create_dataset(spark, sf_dir):
 def format_and_save(spark, sf_dir):
     folder = staging.new_folder(spark, "saved")
     path = chunk.format_and_save(V.documents(spark, sf_dir), folder, "jsonl", "train", by="characters")
-    return _whole(spark.read.schema(jobs.CHUNK_SCHEMA).json(path).drop("processing_timestamp"))
+    return _whole(spark.read.schema(chunk.CHUNK_SCHEMA).json(path).drop("processing_timestamp"))
 
 
 # --- tokens, encoding, batches -------------------------------------------------------
@@ -872,7 +872,7 @@ S.line_cut("copy_footed", "copy_headed", True, S.FOOTER_TEST, 30, 1, 3)
 S.CTES["copy_tidied"] = f"SELECT doc_id, source_file, {S.whitespace('text')} AS text FROM copy_footed"
 S.chunk_tokens("copy_chunks", "copy_tidied")
 S.number("copy_table", "copy_chunks")
-S.cut_split("copy_splits", "copy_table")
+S.cut_split("copy_splits", "copy_table", "source_file || ':' || pos")
 
 
 @query("prepare_balanced_corpus", _statistics_sql("copy_splits"))

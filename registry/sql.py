@@ -215,7 +215,7 @@ def unnest_chunks(lists: str) -> str:
 def number(name: str, chunks: str) -> None:
     """``name``: the chunks with ids in document order."""
     CTES[name] = (
-        "SELECT row_number() OVER (ORDER BY source_file, pos) - 1 AS chunk_id, source_file, text, "
+        "SELECT row_number() OVER (ORDER BY source_file, pos) - 1 AS chunk_id, source_file, pos, text, "
         f"length(text) AS text_length, token_count FROM {chunks}"
     )
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators.chunk import assign_chunk_ids, explode_chunks, with_chunks
+from textloom.operators.chunk import assign_chunk_ids, staged_chunks
 from textloom.sources.staging import stage
 from textloom.sources.tables import read_documents
 
@@ -93,11 +93,6 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_chunks(spark: SparkSession, sf_dir: str, size: int = 512, overlap: int = 50) -> DataFrame:
     """The documents' chunks by tokens with their ids, staged."""
-    chunked = stage(with_chunks(documents(spark, sf_dir), size, overlap), "chunks")
-    return stage(
-        explode_chunks(assign_chunk_ids(chunked)).select(
-            (F.col("first_id") + F.col("pos")).alias("chunk_id"),
-            "source_file", "text", "text_length", "token_count",
-        ),
-        "chunk-table",
-    )
+    rows = staged_chunks(documents(spark, sf_dir), size, overlap)
+    table = assign_chunk_ids(rows).select("chunk_id", "source_file", "text", "text_length", "token_count")
+    return stage(table, "chunk-table")

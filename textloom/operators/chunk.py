@@ -18,6 +18,7 @@ CHUNK_SCHEMA = (
     "text string, source_file string, chunk_id bigint, text_length int, token_count int, "
     "processing_timestamp timestamp"
 )
+CHUNK_COLUMNS = ["text", "source_file", "chunk_id", "text_length", "token_count", "processing_timestamp"]
 
 
 def with_chunks(df: DataFrame, size: int = 512, overlap: int = 50, by: str = "tokens") -> DataFrame:
@@ -29,18 +30,20 @@ def with_chunks(df: DataFrame, size: int = 512, overlap: int = 50, by: str = "to
 
 
 def explode_chunks(df: DataFrame) -> DataFrame:
-    """One row per chunk with ``pos`` inside its document.
+    """One row per chunk with ``pos`` inside its document and the document's ``num_chunks``.
 
     The outer form with a test on ``pos`` drops the same rows as the inner one, but
     keeps the optimizer from testing the array's size first, which would chunk twice.
     """
     kept = [c for c in df.columns if c != "chunks"]
+    sized = df.withColumn("num_chunks", F.size("chunks"))
     return (
-        df.select(*kept, F.posexplode_outer("chunks").alias("pos", "chunk"))
+        sized.select(*kept, "num_chunks", F.posexplode_outer("chunks").alias("pos", "chunk"))
         .where(F.col("pos").isNotNull())
         .select(
             *kept,
             "pos",
+            "num_chunks",
             F.col("chunk.text").alias("text"),
             F.length("chunk.text").alias("text_length"),
             F.col("chunk.token_count").alias("token_count"),
@@ -52,15 +55,22 @@ def chunk_text(df: DataFrame, size: int = 512, overlap: int = 50, by: str = "tok
     return explode_chunks(with_chunks(df, size, overlap, by))
 
 
-def assign_chunk_ids(chunked: DataFrame, keys: Sequence[str] = ("source_file",)) -> DataFrame:
-    """Give each row of ``chunks`` its ``first_id``: documents in key order, ids without gaps.
+def chunk_offsets(rows: DataFrame, keys: Sequence[str] = ("source_file",)) -> DataFrame:
+    """``keys`` with the ``first_id`` of each document: documents in key order, ids without gaps.
 
-    ``chunked`` is read twice and its keys are unique, so hand in a staged table.
+    Reads only the keys and counts of each document's first chunk, so hand in a staged table.
     """
-    counted = chunked.withColumn("_n", F.coalesce(F.size("chunks"), F.lit(0)))
-    counted = counted.withColumn("_n", F.greatest("_n", F.lit(0)))
-    offsets = running_offsets(counted, keys, "_n")
-    return chunked.join(offsets, list(keys))
+    return running_offsets(rows.where("pos = 0").select(*keys, "num_chunks"), keys, "num_chunks")
+
+
+def assign_chunk_ids(rows: DataFrame, keys: Sequence[str] = ("source_file",)) -> DataFrame:
+    """Add ``chunk_id`` to staged chunk rows. The keys name a document.
+
+    The chunks meet their document's offset in one join; whether the offsets are
+    small enough to be sent to every executor is left to the measured size.
+    """
+    joined = rows.join(chunk_offsets(rows, keys), list(keys))
+    return joined.withColumn("chunk_id", F.col("first_id") + F.col("pos")).drop("first_id")
 
 
 def create_dataset(
@@ -71,20 +81,21 @@ def create_dataset(
     keys: Sequence[str] = ("source_file",),
 ) -> DataFrame:
     """The chunk table of all documents; an error when there is no chunk."""
-    columns = list(dict.fromkeys([*keys, "source_file"]))
-    chunked = stage(
-        with_chunks(df.where(F.col("text") != "").select(*columns, "text"), size, overlap, by), "chunks"
-    )
-    if chunked.where(F.size("chunks") > 0).isEmpty():
+    extra = [] if "source_file" in keys else ["source_file"]
+    rows = assign_chunk_ids(staged_chunks(df, size, overlap, by, keys, *extra), keys)
+    return rows.withColumn("processing_timestamp", F.current_timestamp()).select(*CHUNK_COLUMNS)
+
+
+def staged_chunks(
+    df: DataFrame, size: int = 512, overlap: int = 50, by: str = "tokens",
+    keys: Sequence[str] = ("source_file",), *more: str,
+) -> DataFrame:
+    """Chunk rows of the non-empty documents as a table; an error when there is none."""
+    columns = list(dict.fromkeys([*keys, *more, "text"]))
+    rows = stage(chunk_text(df.where(F.col("text") != "").select(*columns), size, overlap, by), "chunks")
+    if rows.isEmpty():
         raise ValueError("No chunks created from cleaned data")
-    return explode_chunks(assign_chunk_ids(chunked, keys)).select(
-        "text",
-        "source_file",
-        (F.col("first_id") + F.col("pos")).alias("chunk_id"),
-        "text_length",
-        "token_count",
-        F.current_timestamp().alias("processing_timestamp"),
-    )
+    return rows
 
 
 def format_and_save(

@@ -37,8 +37,3 @@ def running_offsets(rows: DataFrame, keys: Sequence[str], count: str) -> DataFra
         *keys, (F.col("_base") + F.col("_within")).alias("first_id")
     )
 
-
-def dense_ids(df: DataFrame, keys: Sequence[str], name: str = "row_id") -> DataFrame:
-    """Number the rows 0, 1, 2, ... in the order of ``keys`` (unique per row)."""
-    offsets = running_offsets(df.withColumn("_one", F.lit(1)), keys, "_one")
-    return df.join(offsets.withColumnRenamed("first_id", name), list(keys))

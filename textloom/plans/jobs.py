@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators.chunk import CHUNK_SCHEMA, assign_chunk_ids, explode_chunks, with_chunks
+from textloom.operators.chunk import CHUNK_COLUMNS, assign_chunk_ids, staged_chunks
 from textloom.operators.clean import CleanOptions, clean_batch
 from textloom.operators.encode import encode_dataset
 from textloom.operators.mix import copy_weight, repeat_copies, with_stem
@@ -114,15 +114,15 @@ def prepare_corpus(
 ) -> CorpusResult:
     """Clean, chunk, optionally encode, split, count and save documents.
 
-    The cleaned texts are chunked in the same pass and written once; ids, the cut
-    hashes, statistics and outputs all come from that table.
+    The texts are cleaned and chunked in one pass and the chunks written once. Ids,
+    split and statistics come from that table's narrow columns; the texts are read
+    again only for the output, where the one join that moves them adds the ids.
     """
     cleaned = clean_batch(documents, options.clean)
-    columns = list(dict.fromkeys([*keys, "source_file"]))
-    chunked = with_chunks(
-        cleaned.select(*columns, "text"), options.chunk_size, options.chunk_overlap, options.chunk_by
-    )
-    return _finish(cleaned, stage(chunked, "chunks"), options, save, split, keys)
+    size, overlap = options.chunk_size, options.chunk_overlap
+    extra = [] if "source_file" in keys else ["source_file"]
+    rows = staged_chunks(cleaned, size, overlap, options.chunk_by, keys, *extra)
+    return _finish(cleaned, rows, options, save, split, keys)
 
 
 def prepare_balanced_corpus(
@@ -139,11 +139,9 @@ def prepare_balanced_corpus(
     """
     weighted = with_stem(copy_weight(documents, entries)).select("path", "stem", "weight", "text")
     cleaned = clean_batch(weighted, options.clean)
-    chunked = with_chunks(
-        cleaned.select("stem", "weight", "text"), options.chunk_size, options.chunk_overlap, options.chunk_by
-    )
-    copies = repeat_copies(stage(chunked, "chunks"))
-    return _finish(repeat_copies(cleaned), copies, options, save, split, ("source_file",))
+    size, overlap = options.chunk_size, options.chunk_overlap
+    rows = repeat_copies(staged_chunks(cleaned, size, overlap, options.chunk_by, ("stem",), "weight"))
+    return _finish(repeat_copies(cleaned), rows, options, save, split, ("source_file",))
 
 
 def prepare_files(
@@ -152,58 +150,54 @@ def prepare_files(
     """From a folder of files; with ``cache_dir`` set, encoded chunks are kept by fingerprint."""
     raw = spread_small(scan_files(spark, input_dir, options.file_patterns))
     documents = extract_documents(raw, options.encoding, options.clean.handle_encoding_errors)
+    # The path in the metadata is unique; the bare name may not be, below several folders.
+    documents = documents.withColumn("path", F.col("metadata.source_file"))
     if not (options.cache_dir and options.pre_tokenize):
-        return prepare_corpus(documents, options, **flags)
+        return prepare_corpus(documents, options, keys=("path",), **flags)
     parameters = {k: v for k, v in asdict(options).items() if k not in ("output_dir", "output_format")}
     fingerprint = stage_fingerprint(raw.select("path", "length"), parameters)
     path = stage_path(options.cache_dir, "dataset", fingerprint)
-    build = lambda: prepare_corpus(documents, options, save=False, split=False).dataset
-    dataset, used = materialize_stage(spark, path, build)
-    result = _split_and_save(
-        clean_batch(documents, options.clean), dataset, options, flags.get("save", True), flags.get("split", True)
+    dataset, used = materialize_stage(
+        spark, path, lambda: prepare_corpus(documents, options, False, False, ("path",)).dataset
     )
+    cleaned = clean_batch(documents, options.clean)
+    result = _split_and_save(cleaned, dataset, options, flags.get("save", True), flags.get("split", True))
     result.cache_used = used
     return result
 
 
 def _finish(
-    cleaned: DataFrame, chunked: DataFrame, options: CorpusOptions, save: bool, split: bool, keys: Sequence[str]
+    cleaned: DataFrame, rows: DataFrame, options: CorpusOptions, save: bool, split: bool, keys: Sequence[str]
 ) -> CorpusResult:
-    if chunked.where(F.size("chunks") > 0).isEmpty():
-        raise ValueError("No chunks created from cleaned data")
-    dataset = explode_chunks(assign_chunk_ids(chunked, keys)).select(
-        "text",
-        "source_file",
-        (F.col("first_id") + F.col("pos")).alias("chunk_id"),
-        "text_length",
-        "token_count",
-        F.current_timestamp().alias("processing_timestamp"),
-    )
-    vocabulary = None
+    vocabulary, columns = None, CHUNK_COLUMNS
+    if split:
+        rows = split_exact(rows, (*keys, "pos"), options.ratios, options.seed)
+        columns = [*columns, "split"]
+    statistics = split_statistics(rows) if split else None
+    dataset = assign_chunk_ids(rows, keys).withColumn("processing_timestamp", F.current_timestamp())
+    dataset = dataset.select(*columns)
     if options.pre_tokenize:
-        dataset = stage(dataset, "dataset")
-        vocabulary = stage(build_vocabulary(dataset, options.vocab_size, options.spec), "vocabulary")
+        vocabulary = stage(build_vocabulary(rows, options.vocab_size, options.spec), "vocabulary")
         dataset = encode_dataset(dataset, vocabulary, spec=options.spec, max_length=options.max_length)
-    result = _split_and_save(cleaned, stage(dataset, "dataset"), options, save, split)
-    result.vocabulary = vocabulary
-    return result
+    result = CorpusResult(cleaned, dataset, statistics, vocabulary)
+    return _save(result, options, split) if save and options.output_dir else result
 
 
 def _split_and_save(
     cleaned: DataFrame, dataset: DataFrame, options: CorpusOptions, save: bool, split: bool
 ) -> CorpusResult:
+    """The same end for a chunk table that is kept already."""
     result = CorpusResult(cleaned, dataset)
-    if not split:
-        if save and options.output_dir:
-            path = write_dataset(dataset, options.output_dir, options.output_format)
-            result.saved_paths = {"dataset": path}
-        return result
-    result.dataset = split_exact(dataset, ("chunk_id",), options.ratios, options.seed)
-    result.statistics = split_statistics(result.dataset)
-    if save and options.output_dir:
-        result.saved_paths = write_splits(result.dataset, options.output_dir, options.output_format)
-    return result
+    if split:
+        result.dataset = split_exact(dataset, ("chunk_id",), options.ratios, options.seed)
+        result.statistics = split_statistics(result.dataset)
+    return _save(result, options, split) if save and options.output_dir else result
 
 
-__all__ = ["CHUNK_SCHEMA", "CorpusOptions", "CorpusResult", "extract_and_clean", "prepare_corpus",
-           "prepare_balanced_corpus", "prepare_files", "options_from_config", "read_config"]
+def _save(result: CorpusResult, options: CorpusOptions, split: bool) -> CorpusResult:
+    if split:
+        result.saved_paths = write_splits(result.dataset, options.output_dir, options.output_format)
+    else:
+        path = write_dataset(result.dataset, options.output_dir, options.output_format)
+        result.saved_paths = {"dataset": path}
+    return result

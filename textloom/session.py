@@ -8,6 +8,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Outputs have three partitions at most (the splits): three open files instead of a sort per task.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,11 +45,33 @@ def write_dataset(
 
 
 def write_splits(df: DataFrame, output_dir: str, fmt: str = "jsonl") -> dict[str, str]:
-    """One output per split. ``df`` is read once per split, so hand in a staged table."""
-    return {
-        name: write_dataset(df.where(F.col("split") == name).drop("split"), output_dir, fmt, name)
-        for name in SPLITS
-    }
+    """One output per split, all written in a single pass over ``df``.
+
+    The rows are written partitioned by ``split`` next to the outputs, and each
+    partition's folder is then given its name.
+    """
+    fmt = _check_format(fmt)
+    spark, root = df.sparkSession, output_dir.rstrip("/")
+    written = f"{root}/_writing-{uuid.uuid4().hex}"
+    writer = df.where(F.col("split").isin(*SPLITS)).write.partitionBy("split")
+    if fmt == "jsonl":
+        writer.option("ignoreNullFields", False).json(written)
+    else:
+        writer.parquet(written)
+    paths = {}
+    for name in SPLITS:
+        paths[name] = f"{root}/{name}.{fmt}"
+        fs, target = hadoop_path(spark, paths[name])
+        _, source = hadoop_path(spark, f"{written}/split={name}")
+        if not fs.exists(source):
+            write_dataset(spark.createDataFrame([], df.drop("split").schema), root, fmt, name)
+            continue
+        fs.delete(target, True)
+        if not fs.rename(source, target):
+            raise OSError(f"could not rename {source.toString()} to {paths[name]}")
+        fs.create(hadoop_path(spark, f"{paths[name]}/_SUCCESS")[1], True).close()
+    fs.delete(hadoop_path(spark, written)[1], True)
+    return paths
 
 
 def find_split(spark: SparkSession, data_dir: str, name: str) -> tuple[str, str] | None:
