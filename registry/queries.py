@@ -328,7 +328,7 @@ def text_step(name: str, made: Callable[[Column], Column], oracle: str) -> None:
     query(name, oracle)(run)
 
 
-text_step("strip_book_boilerplate", boilerplate.strip_book_boilerplate, "SELECT doc_id, text FROM only_booked")
+text_step("strip_pg_boilerplate", boilerplate.strip_pg_boilerplate, "SELECT doc_id, text FROM only_booked")
 text_step("remove_headers", boilerplate.remove_headers, "SELECT doc_id, text FROM only_headed")
 text_step("remove_footers", boilerplate.remove_footers, "SELECT doc_id, text FROM only_footed")
 text_step("normalize_newlines", text.normalize_newlines, f"SELECT doc_id, {S.newlines('text')} AS text FROM dirty")

@@ -107,6 +107,14 @@ def test_splits_round_trip(spark, tmp_path, fmt):
     assert info["train"]["format"] == fmt and info["train"]["size"] > 0
 
 
+def test_partitioned_splits(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", "train"), (2, "b", "test")], f"{SCHEMA}, split string")
+    paths = datasets.write_splits(df, str(tmp_path), "parquet", partitioned=True)
+    assert paths["train"] == f"{tmp_path}/dataset.parquet/split=train"
+    got = datasets.read_splits(spark, str(tmp_path), SCHEMA).select("chunk_id", "text", "split").collect()
+    assert sorted(map(tuple, got)) == [(1, "a", "train"), (2, "b", "test")]
+
+
 def test_reading_rules(spark, tmp_path):
     folder = str(tmp_path)
     write(folder, "train.jsonl", '{"chunk_id": 1, "text": "a"}\n\n  \n{"chunk_id": 2, "text": "b"}\n')
@@ -145,8 +153,15 @@ def test_stage_cache(spark, tmp_path):
 
 
 def test_spread(spark):
-    df = spark.range(10).coalesce(1)
-    assert tables.spread_small(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(1_000_000).coalesce(1)
+    assert tables.spread_small(df).rdd.getNumPartitions() == cores
+    assert tables.spread_small(spark.range(10)).rdd.getNumPartitions() == 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    try:
+        assert tables.spread_small(df).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
 def test_files_to_splits(spark, tmp_path):

@@ -58,7 +58,7 @@ def test_strip_and_case(spark):
 @pytest.mark.parametrize(
     "made,wanted",
     [
-        (boilerplate.strip_book_boilerplate, model.book),
+        (boilerplate.strip_pg_boilerplate, model.book),
         (boilerplate.remove_headers, model.headers),
         (boilerplate.remove_footers, model.footers),
         (text.normalize_whitespace, model.whitespace),

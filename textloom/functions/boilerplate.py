@@ -61,7 +61,7 @@ def starts_regex(starts: tuple[str, ...], flags: str = "(?iud)") -> str:
     return flags + "^(?:" + "|".join(starts) + ")"
 
 
-def strip_book_boilerplate(text: Column) -> Column:
+def strip_pg_boilerplate(text: Column) -> Column:
     """Keep the lines between the first START and the last END marker line, if in that order."""
 
     def marked(line: Column, mark: str) -> Column:

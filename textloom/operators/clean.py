@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.boilerplate import remove_footers, remove_headers, strip_book_boilerplate
+from textloom.functions.boilerplate import remove_footers, remove_headers, strip_pg_boilerplate
 from textloom.functions.text import normalize_whitespace, sanitize_encoding, truncate_text
 
 
@@ -30,7 +30,7 @@ def clean(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
     """
     same = F.col
     steps = df.withColumn("_given", F.when(F.col("text") != "", F.col("text")))
-    steps = steps.withColumn("_book", strip_book_boilerplate(F.col("_given")))
+    steps = steps.withColumn("_book", strip_pg_boilerplate(F.col("_given")))
     steps = steps.withColumn(
         "_head", remove_headers(F.col("_book")) if options.remove_headers else same("_book")
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -11,13 +10,11 @@ from pyspark.sql import functions as F
 
 from textloom.sources.files import file_name, glob_to_regex
 
-logger = logging.getLogger(__name__)
-
 
 def usable_weights(entries: Sequence[Mapping[str, Any]]) -> list[tuple[str, int]]:
     """(pattern, weight) of each entry with a pattern and a weight of at least 1."""
     pairs = [(entry.get("path", ""), int(entry.get("weight", 1))) for entry in entries]
-    return [(path, weight) for path, weight in pairs if path and weight >= 1]
+    return list(dict.fromkeys((path, weight) for path, weight in pairs if path and weight >= 1))
 
 
 def match_sources(docs: DataFrame, entries: Sequence[Mapping[str, Any]]) -> DataFrame:
@@ -51,11 +48,9 @@ def copy_weight(docs: DataFrame, entries: Sequence[Mapping[str, Any]]) -> DataFr
         F.when(F.col("path").rlike(glob_to_regex(pattern)), weight)
         for pattern, weight in usable_weights(entries)
     ]
-    # Null is the answer for no match; greatest() skips nulls but wants two arguments.
-    best = F.greatest(*weights, F.lit(None).cast("int")) if weights else F.lit(None).cast("int")
-    if len(weights) == 0:
-        return docs.withColumn("weight", best).where(F.lit(False))
-    return docs.withColumn("weight", best).where(F.col("weight").isNotNull())
+    # greatest() skips nulls and wants two arguments, so an empty list gives no match either.
+    none = F.lit(None).cast("int")
+    return docs.withColumn("weight", F.greatest(none, none, *weights)).where(F.col("weight").isNotNull())
 
 
 def with_stem(docs: DataFrame) -> DataFrame:
@@ -89,13 +84,12 @@ def repeat_copies(weighted: DataFrame) -> DataFrame:
 
 def mixture_report(docs: DataFrame, entries: Sequence[Mapping[str, Any]]) -> DataFrame:
     """Per entry: files, copies, characters after copying and their share; 0 files if unmatched."""
-    pairs = list(dict.fromkeys(usable_weights(entries)))
     found = (
         match_sources(docs.select("path", F.length("text").alias("_chars")), entries)
         .groupBy("pattern", "weight")
         .agg(F.count(F.lit(1)).alias("files"), F.sum("_chars").alias("chars"))
     )
-    listed = docs.sparkSession.createDataFrame(pairs, "pattern string, weight int")
+    listed = docs.sparkSession.createDataFrame(usable_weights(entries), "pattern string, weight int")
     report = listed.join(found, ["pattern", "weight"], "left").na.fill(0)
     report = report.withColumns(
         {"copies": F.col("files") * F.col("weight"), "staged_chars": F.col("chars") * F.col("weight")}

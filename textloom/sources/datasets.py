@@ -44,20 +44,25 @@ def write_dataset(
     return path
 
 
-def write_splits(df: DataFrame, output_dir: str, fmt: str = "jsonl") -> dict[str, str]:
+def write_splits(
+    df: DataFrame, output_dir: str, fmt: str = "jsonl", partitioned: bool = False
+) -> dict[str, str]:
     """One output per split, all written in a single pass over ``df``.
 
     The rows are written partitioned by ``split`` next to the outputs, and each
-    partition's folder is then given its name.
+    partition's folder is then given its name. With ``partitioned`` they stay one
+    table below ``dataset.fmt``, which costs no renaming on an object store.
     """
     fmt = _check_format(fmt)
     spark, root = df.sparkSession, output_dir.rstrip("/")
-    written = f"{root}/_writing-{uuid.uuid4().hex}"
-    writer = df.where(F.col("split").isin(*SPLITS)).write.partitionBy("split")
+    written = f"{root}/dataset.{fmt}" if partitioned else f"{root}/_writing-{uuid.uuid4().hex}"
+    writer = df.where(F.col("split").isin(*SPLITS)).write.mode("overwrite").partitionBy("split")
     if fmt == "jsonl":
         writer.option("ignoreNullFields", False).json(written)
     else:
         writer.parquet(written)
+    if partitioned:
+        return {name: f"{written}/split={name}" for name in SPLITS}
     paths = {}
     for name in SPLITS:
         paths[name] = f"{root}/{name}.{fmt}"
@@ -75,12 +80,11 @@ def write_splits(df: DataFrame, output_dir: str, fmt: str = "jsonl") -> dict[str
 
 
 def find_split(spark: SparkSession, data_dir: str, name: str) -> tuple[str, str] | None:
-    """(path, format) of the first existing file of a split."""
-    for fmt in FORMATS:
-        path = f"{data_dir.rstrip('/')}/{name}.{fmt}"
-        if path_exists(spark, path):
-            return path, fmt
-    return None
+    """(path, format) of the first existing output of a split; one of its own before a partition."""
+    root = data_dir.rstrip("/")
+    own = [(f"{root}/{name}.{fmt}", fmt) for fmt in FORMATS]
+    parts = [(f"{root}/dataset.{fmt}/split={name}", fmt) for fmt in FORMATS]
+    return next(((path, fmt) for path, fmt in own + parts if path_exists(spark, path)), None)
 
 
 def _found_or_raise(spark: SparkSession, data_dir: str, name: str) -> tuple[str, str]:

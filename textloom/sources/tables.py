@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+SMALLEST_SLICE = 256 * 1024  # bytes of input that are worth a task of their own
+
 
 def spread_small(df: DataFrame) -> DataFrame:
     """Rows dealt over all cores when the input is too small to give each one a scan task.
@@ -17,7 +19,9 @@ def spread_small(df: DataFrame) -> DataFrame:
     given = spark.conf.get("spark.sql.files.maxPartitionBytes")
     split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given)
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df
+    if size >= cores * split:
+        return df
+    return df.repartition(max(1, min(cores, size // SMALLEST_SLICE)))
 
 
 def read_documents(spark: SparkSession, path: str, *columns: str) -> DataFrame:
