@@ -95,6 +95,18 @@ def test_dataset_ids_and_errors(spark):
         chunk.with_chunks(df, by="words")
 
 
+def test_repeated_source(spark):
+    """One source with many documents needs a further key, and says so."""
+    docs = [(i, "same" if i % 3 == 0 else f"s{i}", f"Text {i}. More.") for i in range(90)]
+    docs.append((99, None, "No source."))
+    df = spark.createDataFrame(docs, "doc_id int, source_file string, text string").repartition(4)
+    with pytest.raises(Exception, match="must be unique"):
+        chunk.create_dataset(df).collect()
+    made = chunk.create_dataset(df, keys=("source_file", "doc_id")).orderBy("chunk_id").collect()
+    assert [r["chunk_id"] for r in made] == list(range(91))
+    assert Counter(r["source_file"] for r in made)["same"] == 30 and made[-1]["source_file"] == "unknown"
+
+
 def test_one_hot_document(spark):
     """A document with most of the chunks changes nothing in the ids."""
     docs = [("b", "Word here. " * 4000)] + [(f"a{i}", "Few words.") for i in range(20)]

@@ -92,7 +92,10 @@ def staged_chunks(
 ) -> DataFrame:
     """Chunk rows of the non-empty documents as a table; an error when there is none."""
     columns = list(dict.fromkeys([*keys, *more, "text"]))
-    rows = stage(chunk_text(df.where(F.col("text") != "").select(*columns), size, overlap, by), "chunks")
+    given = df.where(F.col("text") != "").select(*columns)
+    if "source_file" in columns:
+        given = given.na.fill("unknown", ["source_file"])
+    rows = stage(chunk_text(given, size, overlap, by), "chunks")
     if rows.isEmpty():
         raise ValueError("No chunks created from cleaned data")
     return rows

@@ -16,6 +16,7 @@ def running_offsets(rows: DataFrame, keys: Sequence[str], count: str) -> DataFra
     Only the narrow columns move. They are range-partitioned and written once, so
     a row's slot cannot change between the two passes; the slots' totals (one row
     per partition) give each slot its base, and a window inside the slot the rest.
+    The same window finds repeated keys, which would make the ids ambiguous.
     """
     ranged = stage(
         rows.select(*keys, F.col(count).cast("bigint").alias("_count"))
@@ -30,8 +31,12 @@ def running_offsets(rows: DataFrame, keys: Sequence[str], count: str) -> DataFra
         .agg(F.sum("_count").alias("_total"))
         .select("_slot", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_base"))
     )
-    earlier = Window.partitionBy("_slot").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy("_slot").orderBy(*keys)
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
     within = F.coalesce(F.sum("_count").over(earlier), F.lit(0))
+    key = F.struct(*keys)
+    repeated = F.raise_error(F.lit(f"the keys {list(keys)} must be unique, add a column to them"))
+    within = F.when(F.lag(key).over(ordered) == key, repeated.cast("bigint")).otherwise(within)
     # At most as many rows as shuffle partitions: small whatever the data's size.
     return ranged.withColumn("_within", within).join(F.broadcast(bases), "_slot").select(
         *keys, (F.col("_base") + F.col("_within")).alias("first_id")
