@@ -74,17 +74,16 @@ def whitespace(text):
     return re.sub("\n{3,}", "\n\n", re.sub(" +", " ", text)).strip()
 
 
-def clean(text, max_length=None):
-    """(cleaned text, operations) with all steps on."""
+def clean(text, max_length=None, head=True, foot=True, tidy=True):
+    """(cleaned text, operations)."""
     a = book(text)
-    b = headers(a)
-    c = footers(b)
-    d = whitespace(c)
-    ops = [
-        name
-        for name, step in (("pg_boilerplate_removal", a), ("header_removal", b), ("footer_removal", c))
-        if len(step) < len(text)
-    ] + ["whitespace_normalization"]
+    b = headers(a) if head else a
+    c = footers(b) if foot else b
+    d = whitespace(c) if tidy else c
+    ops = ["pg_boilerplate_removal"] * (len(a) < len(text))
+    ops += ["header_removal"] * (head and len(b) < len(text))
+    ops += ["footer_removal"] * (foot and len(c) < len(text))
+    ops += ["whitespace_normalization"] * tidy
     if max_length is not None and len(d) > max_length:
         d, ops = d[:max_length], ops + ["truncation"]
     return d, ops

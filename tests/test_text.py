@@ -70,18 +70,22 @@ def test_cleaning_steps(spark, lined, made, wanted):
     assert sum(r != t for r, t in zip(results, lined)) > 100
 
 
-def test_clean_chain(spark, lined):
+@pytest.mark.parametrize(
+    "flags", [(None, True, True, True), (60, True, True, True), (None, False, True, False), (9, True, False, True)]
+)
+def test_clean_chain(spark, lined, flags):
     given = spark.createDataFrame([(i, t) for i, t in enumerate(lined)], "i int, text string").repartition(8)
-    for options, limit in ((CleanOptions(), None), (CleanOptions(max_text_length=60), 60)):
-        for row in clean(given, options).collect():
-            raw, stats = lined[row["i"]], row["cleaning_stats"]
-            if raw == "":
-                assert row["text"] is None and stats["reason"] == "empty" and stats["operations_applied"] is None
-                continue
-            wanted, ops = model.clean(raw, limit)
-            assert (row["text"], stats["operations_applied"]) == (wanted, ops)
-            assert stats["final_length"] == len(wanted)
-            assert stats["characters_removed"] == len(raw) - len(wanted)
+    limit, head, foot, tidy = flags
+    options = CleanOptions(head, foot, tidy, max_text_length=limit)
+    for row in clean(given, options).collect():
+        raw, stats = lined[row["i"]], row["cleaning_stats"]
+        if raw == "":
+            assert row["text"] is None and stats["reason"] == "empty" and stats["operations_applied"] is None
+            continue
+        wanted, ops = model.clean(raw, *flags)
+        assert (row["text"], stats["operations_applied"]) == (wanted, ops)
+        assert stats["final_length"] == len(wanted)
+        assert stats["characters_removed"] == len(raw) - len(wanted)
 
 
 def one(spark, raw, **options):

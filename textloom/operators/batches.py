@@ -14,7 +14,7 @@ IGNORED = -100  # the label a loss skips
 
 def with_batches(df: DataFrame, order: str, batch_size: int) -> DataFrame:
     """``batch_id`` from a column that numbers the rows 0, 1, 2, ..."""
-    return df.withColumn("batch_id", F.floor(F.col(order) / batch_size).cast("bigint"))
+    return df.withColumn("batch_id", F.call_function("div", F.col(order), F.lit(batch_size)))
 
 
 def _batch_width(multiple: int | None) -> Column:
@@ -22,7 +22,7 @@ def _batch_width(multiple: int | None) -> Column:
     longest = F.max(F.size("input_ids")).over(Window.partitionBy("batch_id"))
     if not multiple:
         return longest
-    return (F.ceil(longest / multiple) * multiple).cast("int")
+    return F.call_function("div", longest + (multiple - 1), F.lit(multiple)).cast("int") * multiple
 
 
 def pad_to_longest(

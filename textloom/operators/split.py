@@ -47,10 +47,9 @@ def split_exact(
     train, validation = split_sizes(total, ratios)
     first = _cut(hashes, counts, train)
     second = _cut(hashes, counts, train + validation)
-    h = row_hash(keys, seed)
-    return df.withColumn(
-        "split", F.when(h < first, "train").when(h < second, "validation").otherwise("test")
-    )
+    h = F.col("_hash")
+    name = F.when(h < first, "train").when(h < second, "validation").otherwise("test")
+    return df.withColumn("_hash", row_hash(keys, seed)).withColumn("split", name).drop("_hash")
 
 
 def _prefix_counts(hashes: DataFrame, digits: int) -> dict[str, int]:
