@@ -21,6 +21,8 @@ from textloom.functions.tokens import decode, tokenize
 SENTENCE_END = rf"[.!?]+(?:{WS}+|$)"
 CHARS_PER_TOKEN = 4
 
+SMALLEST_BLOCK = 32  # sentences; below this a block costs more than the copies it saves
+
 
 def check_sizes(size: int, overlap: int) -> None:
     if size < 1 or not 0 <= overlap < size:
@@ -63,7 +65,7 @@ def _fold(items: Column, start: dict[str, Column], add: Callable[[Column, Column
     first = F.struct(*[value.alias(name) for name, value in start.items()])
 
     def whole(values: Column) -> Column:
-        width = F.ceil(F.cbrt(F.size(values))).cast("int")
+        width = F.greatest(F.ceil(F.cbrt(F.size(values))).cast("int"), F.lit(SMALLEST_BLOCK))
         return let(
             width, lambda w: F.aggregate(blocks(blocks(values, w), w), first, through(through(add)))
         )

@@ -50,21 +50,25 @@ def word_count(stripped: Column) -> Column:
 
 def normalize_newlines(text: Column) -> Column:
     r"""``\r\n`` and lone ``\r`` become ``\n``."""
-    return F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    plain = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    return F.when(text.contains("\r"), plain).otherwise(text)
 
 
 def collapse_spaces(text: Column) -> Column:
-    """Runs of U+0020 become one; tabs stay."""
-    return F.regexp_replace(text, " {2,}", " ")
+    """Runs of U+0020 become one; tabs stay. Texts without a run skip the regex."""
+    return F.when(text.contains("  "), F.regexp_replace(text, " {2,}", " ")).otherwise(text)
 
 
 def collapse_blank_lines(text: Column) -> Column:
     """At most one empty line in a row; a line holding a space is not empty."""
-    return F.regexp_replace(text, "\n{3,}", "\n\n")
+    return F.when(text.contains("\n\n\n"), F.regexp_replace(text, "\n{3,}", "\n\n")).otherwise(text)
 
 
 def normalize_whitespace(text: Column) -> Column:
-    return strip(collapse_blank_lines(collapse_spaces(normalize_newlines(text))))
+    tidy = text
+    for step in (normalize_newlines, collapse_spaces, collapse_blank_lines, strip):
+        tidy = let(tidy, step)
+    return tidy
 
 
 def sanitize_encoding(text: Column) -> Column:
