@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from textloom.operators import batches, chunk, encode, mix, split, stats
 from textloom.operators import vocabulary as vocab
-from textloom.operators.clean import clean_batch
+from textloom.operators.clean import CleanOptions, clean_batch
 from textloom.operators.ids import running_offsets
+from textloom.sources import files
 from textloom.streaming import streams
 
 SPEC = vocab.DEFAULT_SPEC
@@ -262,3 +263,25 @@ def test_stream_equals_batch(spark, tmp_path):
     streams.write_source_counts(stream(), counts, str(tmp_path / "c2")).awaitTermination()
     latest = streams.latest_source_counts(spark.read.parquet(counts))
     assert latest.exceptAll(stats.source_counts(df)).isEmpty() and latest.count() == 3
+
+
+def occurrences(df, *needles):
+    """How often each expression is in the optimized plan."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return [plan.count(needle) for needle in needles]
+
+
+def test_costly_steps_are_planned_once(spark):
+    """Filters and generators must not copy the cleaning or chunking below them."""
+    raw = spark.range(3).select(
+        F.col("id").cast("string").alias("path"), F.lit(b"x").alias("content"), F.lit(1).cast("bigint").alias("length")
+    )
+    documents = files.extract_documents(raw.withColumn("path", F.concat("path", F.lit(".rtf"))))
+    for options in (CleanOptions(), CleanOptions(min_text_length=5, filter_by_length=True)):
+        cleaned = clean_batch(documents, options)
+        chunked = chunk.chunk_text(cleaned.select("source_file", "text"), 10, 2)
+        wanted = [1, 2, 1, 2]  # the last 15 lines and the cut; whole text and sentence tokens
+        needles = ("reverse(transform(split(", "substring_index(", "rtf_texts(", "regexp_extract_all(")
+        assert occurrences(chunked, *needles) == wanted
+        assert occurrences(cleaned, *needles[:3]) == wanted[:3]
+        assert occurrences(chunk.chunk_text(cleaned.select("text"), 10, 2, "characters"), *needles[:3]) == wanted[:3]

@@ -92,7 +92,8 @@ def staged_chunks(
 ) -> DataFrame:
     """Chunk rows of the non-empty documents as a table; an error when there is none."""
     columns = list(dict.fromkeys([*keys, *more, "text"]))
-    given = df.where(F.col("text") != "").select(*columns)
+    # Empty texts give no chunk anyway; a filter here would repeat what computes the text.
+    given = df.select(*columns)
     if "source_file" in columns:
         given = given.na.fill("unknown", ["source_file"])
     rows = stage(chunk_text(given, size, overlap, by), "chunks")

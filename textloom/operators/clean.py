@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.functions.boilerplate import remove_footers, remove_headers, strip_pg_boilerplate
+from textloom.functions.rows import where_computed
 from textloom.functions.text import normalize_whitespace, sanitize_encoding, truncate_text
 
 
@@ -94,10 +95,7 @@ def _stats(options: CleanOptions) -> Column:
 
 def clean_batch(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
     """Non-empty documents that pass the filters, with their statistics in ``metadata``."""
-    given = df.where(F.col("text") != "")
-    cleaned = clean(given, options)
-    if options.filter_by_length:
-        cleaned = where_computed(cleaned, F.col("text").isNotNull())
+    cleaned = where_computed(clean(df, options), F.col("text").isNotNull())
     if "metadata" in df.columns:
         stats = F.col("metadata").withField("cleaning_stats", F.col("cleaning_stats"))
     else:
@@ -105,16 +103,6 @@ def clean_batch(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFr
     return cleaned.withColumn("metadata", stats).drop("cleaning_stats")
 
 
-def where_computed(df: DataFrame, condition: Column) -> DataFrame:
-    """``where`` on columns that are costly to compute.
-
-    A plain filter would be moved below the projection that computes them, with all
-    their expressions copied into it; a generated column stops that.
-    """
-    kept = F.explode_outer(F.when(condition, F.array(F.lit(True))))
-    return df.select("*", kept.alias("_kept")).where(F.col("_kept").isNotNull()).drop("_kept")
-
-
 def filter_by_length(df: DataFrame, min_length: int) -> DataFrame:
     """Texts of at least ``min_length`` characters."""
     return df.where(F.length("text") >= min_length)
@@ -130,12 +118,14 @@ def too_short_reason(text: Column, min_length: int) -> Column:
 
 def clean_batch_summary(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
     """Passed, filtered and total counts; empty texts are not counted."""
+    stat = F.col("cleaning_stats")
+    given = stat["original_length"] > 0
     return (
-        clean(df.where(F.col("text") != ""), options)
-        .select(F.col("cleaning_stats.filtered").alias("filtered"))
+        clean(df, options)
+        .select(stat["filtered"].alias("filtered"), given.alias("given"))
         .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(~F.col("filtered")).alias("passed"),
-            F.count_if(F.col("filtered")).alias("filtered"),
+            F.count_if(F.col("given")).alias("total"),
+            F.count_if(F.col("given") & ~F.col("filtered")).alias("passed"),
+            F.count_if(F.col("given") & F.col("filtered")).alias("filtered"),
         )
     )

@@ -56,7 +56,7 @@ def write_splits(
     fmt = _check_format(fmt)
     spark, root = df.sparkSession, output_dir.rstrip("/")
     written = f"{root}/dataset.{fmt}" if partitioned else f"{root}/_writing-{uuid.uuid4().hex}"
-    writer = df.where(F.col("split").isin(*SPLITS)).write.mode("overwrite").partitionBy("split")
+    writer = df.write.mode("overwrite").partitionBy("split")
     if fmt == "jsonl":
         writer.option("ignoreNullFields", False).json(written)
     else:

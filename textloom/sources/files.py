@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from textloom.functions.rows import where_computed
 from textloom.functions.text import normalize_newlines
 from textloom.sources.rtf import rtf_to_text
 from textloom.sources.staging import hadoop_path, path_exists
@@ -149,9 +150,9 @@ def extraction_totals(report: DataFrame) -> DataFrame:
 
 def extract_documents(raw: DataFrame, encoding: str = "utf-8", errors: str = "replace") -> DataFrame:
     """Successful files as documents: text, source_file (bare name), metadata."""
+    report = extraction_report(raw, encoding, errors)
     return (
-        extraction_report(raw, encoding, errors)
-        .where("success")
+        where_computed(report, F.col("success"))
         .select(
             "text",
             F.col("filename").alias("source_file"),
