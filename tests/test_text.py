@@ -11,7 +11,7 @@ from textloom.operators.clean import CleanOptions, clean, clean_batch, clean_bat
 
 LINES = [
     "", " ", "\t", "17", "3", "123", "Page 3 of 9", "page 4", "Copyright 2024", "(c) x", "[Title]", "https://a.b",
-    "WWW.x", "ACT ONE", "SCENE 2 OF THE GREAT PLAY", "HAMLET:", "A" * 85, "1.2.3", "--- x", "- 5 -", "-5", "***",
+    "WWW.x", "ACT ONE", "SCENE 2 OF THE GREAT PLAY", "KING:", "A" * 85, "1.2.3", "--- x", "- 5 -", "-5", "***",
     "mail me@x http", "some text here that is long enough", "hi", "Éa", "ÉA", "ǅ", "ª", "99 + 1", "+ + +", "1 2 3 4 5 6 7 8 9 10 11 12",
     "Title: x", "Etexts", "End of the Project Gutenberg", "End of this, a Project Gutenberg book", "*** END OF X ***",
     "*** START OF THE PROJECT GUTENBERG EBOOK ***", "*** END OF THE PROJECT GUTENBERG EBOOK ***",
