@@ -137,6 +137,15 @@ def test_weights(spark):
     assert mix.oversample(df, []).count() == mix.match_sources(df, []).count() == 0
 
 
+def test_shared_stems(spark):
+    """A third of the files have one name; every copy still gets a name of its own."""
+    paths = [f"d{i}/index.txt" if i % 3 == 0 else f"d{i}/f{i}.txt" for i in range(300)] + ["d1/index.rtf"]
+    df = spark.createDataFrame([(p, p) for p in paths], "path string, text string").repartition(4)
+    made = mix.oversample(df, [{"path": "*/*", "weight": 2}]).collect()
+    assert len({r["source_file"] for r in made}) == len(made) == 602
+    assert {"f1_001.txt", "f1_002.txt"} <= {r["source_file"] for r in made}
+
+
 TEXTS = ["the cat sat on the mat.", "the dog, the cat; the end", "", "Zwölf Boxkämpfer", "cat cat\tcat"]
 
 
