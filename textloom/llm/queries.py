@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import minmax, oracles, winnow
+from textloom.llm import minmax, oracles, recipes, urls, winnow
 from textloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,22 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_minhash_near_dedup")
 def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query("op2_exact_dedup")
+def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recipes.exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chunks")
+
+
+URL_RULES = (
+    urls.Rule(True, "com"),
+    urls.Rule(False, "example.com", "/en/"),
+    urls.Rule(True, "www.example.com", "/en/"),
+    urls.Rule(False, "net", "/es/"),
+    urls.Rule(False, "net", "/fr/"),
+)
+
+
+@query("op8_url_filters")
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
