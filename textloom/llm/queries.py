@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import minmax, oracles, recipes, urls, winnow
+from textloom.llm import minmax, oracles, packing, recipes, token_files, urls, winnow
 from textloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; the file is read on the executors, where the package lies too."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str):
     def register(run: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = run
@@ -56,3 +63,13 @@ URL_RULES = (
 @query("op8_url_filters")
 def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op1_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), with_ids=False)
+
+
+@query("op10_token_id_binary_output")
+def token_id_binary_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
