@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import minmax, oracles, packing, quality, recipes, token_files, toxicity, urls, winnow
+from textloom.llm import disclosure, minmax, oracles, packing, quality, recipes, token_files, toxicity, urls, winnow
 from textloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,14 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality_classifier")
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_pii")
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = disclosure.sensitive_spans(table(spark, sf_dir, "documents"))
+    spans = F.col("spans")
+    counts = [disclosure.span_count(spans, k).alias(f"n_{name}") for k, name in enumerate(disclosure.KINDS[:4])]
+    base = disclosure.spans_text(spans, (0, 1, 2, 3))
+    return found.select(
+        "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), disclosure.spans_text(spans).alias("spans")
+    )

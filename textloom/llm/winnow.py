@@ -15,12 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import words as W
+from textloom.llm.sieve import SIEVE_BITS, in_sieve, sieve_of
 from textloom.llm.tables import Workspace, map_texts, texts_of
 
 WINDOW = 10
 GRAM = 5
-#: Bits of the sieve that is sent to the tasks: 2 MB whatever the benchmark's size.
-SIEVE_BITS = 24
 _HITS = "array<struct<n:int,gram:bigint,pos:int,around:array<bigint>>>"
 
 
@@ -81,23 +80,6 @@ def _batch(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns, schema=pa.schema([(name, _TYPES[name]) for name in columns]))
 
 
-def sieve_of(grams: DataFrame, bits: int = SIEVE_BITS) -> np.ndarray:
-    """A bit for each value of a gram hash's top ``bits`` bits that occurs: at most 2**(bits-6) rows of 64 bits."""
-    top = F.shiftrightunsigned("gram", 64 - bits)
-    filled = grams.select(
-        F.shiftright(top, 6).alias("word"), top.bitwiseAND(F.lit(63)).cast("int").alias("place")
-    ).select("word", F.expr("shiftleft(1L, place)").alias("bit"))
-    found = filled.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (bits - 6), np.int64)
-    out[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return out.view(W.U64)
-
-
-def _in_sieve(sieve: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
-    top = hashes >> W.U64(64 - bits)
-    return (sieve[(top >> W.U64(6)).astype(np.int64)] >> (top & W.U64(63))) & W.U64(1) != 0
-
-
 def document_hits(docs: DataFrame, sieve, lengths: list[int], window: int, gram: int, bits: int) -> DataFrame:
     """``doc_id, digest, n_words, hits``: kept grams, and runs as long as a short item, that pass the sieve."""
     schema = f"doc_id bigint, digest bigint, n_words bigint, hits {_HITS}"
@@ -108,12 +90,12 @@ def document_hits(docs: DataFrame, sieve, lengths: list[int], window: int, gram:
         for text in texts:
             words = W.hashed_words(text, lower=True, ends=W.MARKS)
             places, hashes = _grams(words, window, gram)
-            passed = _in_sieve(known, hashes, bits)
+            passed = in_sieve(known, hashes, bits)
             places = places[passed]
             found = _structs(window, places, hashes[passed], _around(words, places, window, gram, 0))
             for n in lengths:
                 hashes = W.gram_hashes(words, n)
-                places = np.flatnonzero(_in_sieve(known, hashes, bits))
+                places = np.flatnonzero(in_sieve(known, hashes, bits))
                 found += _structs(n, places, hashes[places], words[places[:, None] + np.arange(n)])
             out["digest"].append(W.digest(words))
             out["n_words"].append(len(words))
