@@ -36,3 +36,24 @@ g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
 FROM d JOIN g USING (t)
 """
+
+SQL["op4_substring_dedup"] = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+    SELECT doc_id, p, array_to_string(w[p : p + 12], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d)
+), least AS (
+    SELECT s, min(doc_id) AS first_id FROM win GROUP BY s
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS place
+    FROM win JOIN least USING (s) WHERE first_id < doc_id
+), kept AS (
+    SELECT doc_id, count(gone.doc_id) AS n_removed,
+        string_agg(w[all_words.place], ' ' ORDER BY all_words.place) FILTER (gone.doc_id IS NULL) AS kept
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS place FROM d) AS all_words
+    LEFT JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import disclosure, minmax, oracles, packing, quality, recipes, token_files, toxicity, urls, winnow
+from textloom.llm import (
+    disclosure, minmax, oracles, packing, quality, recipes, substrings, token_files, toxicity, urls, winnow,
+)
 from textloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +96,8 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(base, 256).alias("base_sha256"), disclosure.spans_text(spans).alias("spans")
     )
+
+
+@query("op4_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)

@@ -117,6 +117,15 @@ def lowest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(_sliding(padded, width, np.maximum) == values)
 
 
+def run_digests(words: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A hash of each of many runs of words, the same wherever the run stands."""
+    up, down = _Powers.upto(len(words) + 1)
+    total = np.empty(len(words) + 1, U64)
+    total[0] = 0
+    np.cumsum(words * up[: len(words)], out=total[1:])
+    return mix((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(U64))
+
+
 def digest(words: np.ndarray) -> int:
     """A signed 64-bit hash of a whole word sequence."""
     n = len(words)
