@@ -7,9 +7,10 @@ compared on their full shingle sets, and the confirmed links give the components
 
 No pairs within a bucket are listed. A round compares the members of each bucket with a
 few of them, its centres, and drops the centres and every bucket whose members have met
-in one component; rounds go on, with twice the centres, until no bucket is left. So a
-group of thousands of near copies costs one comparison a member, and no pair of members
-that are not yet known to be together goes uncompared.
+in one component. Between rounds, sets that hold too many shingles found nowhere else among those that are left are
+dropped, since they can be similar enough to none of them. Rounds go on, with sixteen times the
+centres, until no bucket is left. So a group of thousands of near copies costs about one
+comparison a member, and no pair that may be linked and is not yet known to be together goes uncompared.
 """
 
 from __future__ import annotations
@@ -173,8 +174,10 @@ def near_duplicates(
 def _all_links(ws: Workspace, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links that connect what the buckets hold, round by round (see the module's text)."""
     links, compared, centres, turn = None, None, 1, 0
+    # Nothing is known yet: every shingle may be shared, every node is its own component.
+    buckets = buckets.withColumn("common", F.col("n_shingles")).withColumn("root", F.col("node"))
     while True:
-        pairs = _pairs_with_centres(buckets, centres)
+        pairs = _pairs_with_centres(buckets, centres, percent)
         if compared is not None:
             pairs = pairs.join(compared, ["a", "b"], "left_anti")
         tried = ws.stage(pairs, f"tried-{turn}")
@@ -182,37 +185,44 @@ def _all_links(ws: Workspace, buckets: DataFrame, sets: DataFrame, percent: int)
         found = ws.stage(_confirmed(tried, sets, percent), f"links-{turn}")
         links = found if links is None else links.union(found)
         roots = ws.stage(component_roots(links, ws, f"roots-{turn}"), f"roots-of-{turn}")
-        rest = _unsettled(buckets, roots, centres)
+        rest = ws.stage(_unsettled(buckets, roots, centres), f"rest-{turn}")
+        # Later rounds read the sets of what is left only.
+        sets = ws.stage(sets.join(rest.select("node").distinct(), "node", "left_semi"), f"sets-{turn}")
         turn += 1
-        buckets = ws.stage(rest, f"buckets-{turn}")
-        ws.drop(f"buckets-{turn - 1}")
+        buckets = ws.stage(_linkable(rest, sets, percent), f"buckets-{turn}")
+        ws.drop(f"rest-{turn - 1}", f"buckets-{turn - 1}", "sets" if turn == 1 else f"sets-{turn - 2}")
         if buckets.isEmpty():
             return links
-        centres *= 2
-
-
-def _ranked(buckets: DataFrame) -> DataFrame:
-    return buckets.withColumn("place", F.row_number().over(Window.partitionBy("band").orderBy("node")))
+        centres *= 16
 
 
 def _with_centres(buckets: DataFrame, centres: int) -> DataFrame:
-    """``band, centre, n_centre, root_centre``: the ``centres`` smallest members of each bucket."""
-    given = ["n_shingles", "root"] if "root" in buckets.columns else ["n_shingles"]
+    """``band, centre`` and its columns: the ``centres`` members of each bucket with the fewest shingles of their own."""
+    given = ["n_shingles", "common", "root"]
+    order = F.col("n_shingles") - F.col("common")
     if centres == 1:
-        # The first round sees every bucket: minima are combined in the tasks.
-        low = buckets.groupBy("band").agg(F.min(F.struct("node", *given)).alias("low"))
+        # Minima are combined in the tasks: the first round sees every bucket.
+        low = buckets.groupBy("band").agg(F.min(F.struct(order.alias("own"), "node", *given)).alias("low"))
         chosen = low.select("band", "low.*")
     else:
-        chosen = _ranked(buckets).where(F.col("place") <= centres)
+        place = F.row_number().over(Window.partitionBy("band").orderBy(order, "node"))
+        chosen = buckets.withColumn("place", place).where(F.col("place") <= centres)
     return chosen.select("band", F.col("node").alias("centre"), *[F.col(c).alias(f"{c}_centre") for c in given])
 
 
-def _pairs_with_centres(buckets: DataFrame, centres: int) -> DataFrame:
-    """Distinct ``a, b`` of a centre and a later member that may be linked and are not yet in one component."""
-    pairs = buckets.join(_with_centres(buckets, centres), "band").where("node > centre")
-    if "root" in buckets.columns:
-        pairs = pairs.where("root <> root_centre")
-    return pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+def _pairs_with_centres(buckets: DataFrame, centres: int, percent: int) -> DataFrame:
+    """Distinct ``a, b`` of a centre and a member that may be linked and are not yet in one component."""
+    pairs = buckets.join(_with_centres(buckets, centres), "band").where("node <> centre AND root <> root_centre")
+    # What two sets share is at most what either shares with anyone.
+    most = F.least("common", "common_centre")
+    pairs = pairs.where(_linked(percent, most, F.col("n_shingles"), F.col("n_shingles_centre")))
+    return pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+
+
+def _several(members: DataFrame) -> DataFrame:
+    """Buckets whose members are in several components."""
+    bounds = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return members.join(bounds.select("band"), "band")
 
 
 def _unsettled(buckets: DataFrame, roots: DataFrame, centres: int) -> DataFrame:
@@ -221,8 +231,24 @@ def _unsettled(buckets: DataFrame, roots: DataFrame, centres: int) -> DataFrame:
     done = _with_centres(buckets, centres).select("band", F.col("centre").alias("node"))
     left = members.join(done, ["band", "node"], "left_anti")
     labelled = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return labelled.join(several.select("band"), "band").select("band", "node", "n_shingles", "root")
+    return _several(labelled).select("band", "node", "n_shingles", "root")
+
+
+def _linkable(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Members that can still have a link, with ``common``: their shingles that another member of any bucket has too.
+
+    What a set shares is at most ``common``, and the union is smallest with the smallest set that still
+    holds all of it. A set that is too far even from that is dropped from the bucket.
+    """
+    nodes = buckets.select("node").distinct()
+    shingles = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+    own = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+    counts = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    known = buckets.join(counts, "node", "left").withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
+    least = buckets.groupBy("band").agg(F.min("n_shingles").alias("least"))
+    other = F.greatest("least", "common")
+    kept = known.join(least, "band").where(_linked(percent, F.col("common"), F.col("n_shingles"), other))
+    return _several(kept).select("band", "node", "n_shingles", "common", "root")
 
 
 def _labelled(ws: Workspace, rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
