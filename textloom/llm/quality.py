@@ -16,7 +16,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.llm import words as W
@@ -221,17 +221,16 @@ def quality(
     fold: int = FOLD,
     threshold: float = 0.7,
     per_class: int = PER_CLASS,
-    label_docs: DataFrame | None = None,
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``.
 
     The vectors sum up all of ``docs``; labels come from rows outside the fold, at most ``per_class`` of
-    each class (of ``label_docs``, with its own ``doc_id``, where ``key`` is another name for the rows). Null and empty texts have no tokens and
+    each class. Null and empty texts have no tokens and
     score what a zero vector scores. Without labels of both classes the score is the share of good rows. Null ids are
     scored and never held out; repeated rows score alike; an empty table gives no rows.
     """
     source = texts_of(docs, key, text)
-    vectors, network = fit_quality(texts_of(label_docs) if label_docs is not None else source, labels, label, folds, fold, per_class)
+    vectors, network = fit_quality(source, labels, label, folds, fold, per_class)
     sent = docs.sparkSession.sparkContext.broadcast((vectors, network))
 
     def run(ids: list, texts: list) -> pa.RecordBatch:
@@ -248,3 +247,20 @@ def quality(
             (F.col("score") >= threshold).cast("int").alias("predicted"),
         )
     )
+
+
+def quality_filter(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
+    folds: int = FOLDS, fold: int = FOLD, threshold: float = 0.7, per_class: int = PER_CLASS,
+) -> Column:
+    """A condition on ``docs`` that is true for the rows scoring ``threshold`` or more: rows are judged where they are."""
+    vectors, network = fit_quality(texts_of(docs, key, text), labels, label, folds, fold, per_class)
+    sent = docs.sparkSession.sparkContext.broadcast((vectors, network))
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        own, net = sent.value
+        rows = [pooled(t, own) for t in texts.to_pylist()]
+        return pa.array(net.scores(np.stack(rows).astype(np.float64)) if rows else np.empty(0), pa.float64())
+
+    return score(F.coalesce(F.col(text).cast("string"), F.lit(""))) >= threshold
