@@ -13,22 +13,38 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Pieces a worker remembers; beyond that it starts anew.
-REMEMBERED = 1_500_000
-#: Before a single blank that begins a word: byte-level tokenizers give the blank to the word behind it.
-BEFORE_BLANKS = re.compile(r"(?= [^\s])")
+#: Pieces a worker remembers; beyond that it starts anew. Rare pieces seldom come again.
+REMEMBERED = 400_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 64
+#: Blanks beside each other, or at an end: such texts are cut before single blanks only.
+_UNEVEN = re.compile(r"\s\s|\s\Z|\A\s")
+_BEFORE_BLANKS = re.compile(r"(?= [^\s])")
 
 
 def byte_pieces(text: str) -> list[str]:
-    """For byte-level tokenizers that split before `` word``."""
-    return BEFORE_BLANKS.split(text)
+    """For byte-level tokenizers that give a blank to the word behind it and a single line end a token of its own."""
+    if _UNEVEN.search(text):
+        return _BEFORE_BLANKS.split(text)
+    out: list[str] = []
+    for line in text.split("\n"):
+        if out:
+            out.append("\n")
+        first, *rest = line.split(" ")
+        out.append(first)
+        out += [" " + word for word in rest]
+    return out
 
 
 def blank_pieces(text: str) -> list[bytes]:
-    """For tokenizers that drop white space; cut at ASCII blanks, which every such tokenizer drops."""
-    return text.encode("utf-8", "surrogatepass").split()
+    """For tokenizers that drop white space and lower letters; cut at ASCII blanks, which every such tokenizer drops."""
+    return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+def _stem(piece: str) -> str | None:
+    """The piece without the comma or full stop behind its last letter, which both tokenizers split off."""
+    letter = piece[-2:-1]
+    return piece[:-1] if piece[-1:] in (".", ",") and letter.isascii() and letter.isalpha() else None
 
 
 class Encoder:
@@ -52,20 +68,26 @@ class Encoder:
             cls._made[key] = cls(path, pieces)
         return cls._made[key]
 
-    def _learn(self, pieces: list) -> None:
-        texts = [piece if isinstance(piece, str) else piece.decode("utf-8", "surrogatepass") for piece in pieces]
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for piece, found in zip(pieces, encoded, strict=True):
-            self.known[piece] = np.array(found.ids, np.uint32).tobytes()
+    def _learn(self, new: list) -> None:
+        texts = [piece if isinstance(piece, str) else piece.decode("utf-8", "surrogatepass") for piece in new]
+        stems = [_stem(text) for text in texts]
+        wanted = list({text if stem is None else stem for text, stem in zip(texts, stems, strict=True)} | {".", ","})
+        encoded = self.tokenizer.encode_batch_fast(wanted, add_special_tokens=False)
+        ids = {text: np.array(found.ids, np.uint32).tobytes() for text, found in zip(wanted, encoded, strict=True)}
+        for piece, text, stem in zip(new, texts, stems, strict=True):
+            self.known[piece] = ids[text] if stem is None else ids[stem] + ids[text[-1]]
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """The ids of each text with ``end`` behind them, as uint32."""
         cut = [self.pieces(text) for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = {piece for pieces in cut for piece in pieces}
+        new: set = set()
+        for pieces in cut:
+            new.update(pieces)
         new.difference_update(self.known)
-        self._learn(list(new))
+        if new:
+            self._learn(list(new))
         known, last = self.known, np.array([end], np.uint32).tobytes()
         out = [np.frombuffer(b"".join([known[piece] for piece in pieces] + [last]), np.uint32) for pieces in cut]
         for piece in new:
