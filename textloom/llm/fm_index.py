@@ -50,10 +50,17 @@ class WaveletMatrix:
         return places[:n], places[n : 2 * n], places[2 * n :]
 
 
-def _pair_ranks(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Dense ranks of the pairs."""
-    joined = first.astype(np.int64) * (int(second.max(initial=0)) + 1) + second
-    return np.unique(joined, return_inverse=True)[1]
+def _ranked_pairs(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dense ranks of the pairs, and the order that sorts them."""
+    joined = first * (int(second.max(initial=0)) + 1) + second
+    order = np.argsort(joined, kind="stable")
+    return _ranks(joined[order], order), order
+
+
+def _ranks(ordered: np.ndarray, order: np.ndarray) -> np.ndarray:
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]])) if len(order) else 0
+    return out
 
 
 def _shifted(ranks: np.ndarray, by: int) -> np.ndarray:
@@ -63,18 +70,27 @@ def _shifted(ranks: np.ndarray, by: int) -> np.ndarray:
     return out
 
 
-def prefix_ranks(text: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
-    """For each length the rank of every suffix by its first words of that number, by doubling."""
-    powers = {1: np.unique(text, return_inverse=True)[1].astype(np.int64)}
-    while 2 * max(powers) <= max(lengths):
+def sorted_suffixes(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``suffixes, group, near``: suffixes in the order of their first ``depth`` words; numbers that agree for
+    suffixes with equal first ``depth`` words; and whether a suffix's first ``depth - 1`` words differ from the one's before."""
+    powers = {1: text.astype(np.int64)}
+    while 2 * max(powers) <= depth:
         size = max(powers)
-        powers[2 * size] = _pair_ranks(powers[size], _shifted(powers[size], size))
-    out = []
-    for length in lengths:
+        powers[2 * size] = _ranked_pairs(powers[size], _shifted(powers[size], size))[0]
+
+    def two_runs(length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two overlapping runs cover any length."""
         size = max(x for x in powers if x <= length)
-        # Two overlapping runs cover the length.
-        out.append(powers[size] if size == length else _pair_ranks(powers[size], _shifted(powers[size], length - size)))
-    return out
+        return powers[size], _shifted(powers[size], length - size)
+
+    group, order = _ranked_pairs(*two_runs(depth))
+    differs = np.ones(len(order), bool)
+    if depth > 1:
+        runs = [run[order] for run in two_runs(depth - 1)]
+        differs[1:] = (runs[0][1:] != runs[0][:-1]) | (runs[1][1:] != runs[1][:-1])
+    else:
+        differs[1:] = False
+    return order, group[order], differs
 
 
 class FMIndex:
@@ -82,17 +98,13 @@ class FMIndex:
 
     def __init__(self, text: np.ndarray, depth: int):
         self.depth = depth
-        shorter, full = prefix_ranks(text, (depth - 1, depth))
-        self.suffixes = np.argsort(full, kind="stable")
+        self.suffixes, self.group, first = sorted_suffixes(text, depth)
         alphabet = int(text.max(initial=0)) + 1
         self.starts = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=alphabet))])
         self.matrix = WaveletMatrix(text[self.suffixes - 1], alphabet)
-        self.group = full[self.suffixes]  # of suffixes that agree in ``depth`` words
-        near = shorter[self.suffixes]
-        first = np.concatenate([[True], near[1:] != near[:-1]]) if len(near) else np.empty(0, bool)
         bounds = np.flatnonzero(first)
         inside = np.cumsum(first) - 1
-        self.near_low, self.near_high = bounds[inside], np.concatenate([bounds[1:], [len(near)]])[inside]
+        self.near_low, self.near_high = bounds[inside], np.concatenate([bounds[1:], [len(first)]])[inside]
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One backward step: the suffixes that have ``symbol`` before what ``low`` to ``high`` begin with."""

@@ -106,7 +106,8 @@ def _cut_segments(docs: DataFrame, shared: DataFrame, window: int, gram: int) ->
         starts, stops = W.word_bounds(data)
         words = W.word_hashes(data, starts, stops)
         places, anchors = _anchors(words, window, gram)
-        own, crowded = np.isin(anchors, plain), np.isin(anchors, hot)
+        own = np.isin(anchors, plain)
+        crowded = np.isin(anchors, hot) if len(hot) else np.zeros(len(anchors), bool)
         first, end = _segments(places[own], len(words), window, gram)
         alone, alone_end = _windows(places[crowded], len(words), window, gram)
         first, end = np.concatenate([first, alone]).astype(np.int64), np.concatenate([end, alone_end]).astype(np.int64)
@@ -203,43 +204,57 @@ def _shard_results(routed: DataFrame, window: int) -> DataFrame:
     return routed.select(*columns).mapInArrow(run, "segment bigint, owners array<bigint>")
 
 
-def _cut_texts(docs: DataFrame, cuts: DataFrame, window: int, gram: int, with_text: bool) -> DataFrame:
+def _joined(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> bytes:
+    """The words with one blank between them."""
+    if len(starts) == 0:
+        return b""
+    out = data.copy()
+    out[stops[:-1]] = 0x20  # the byte behind a word that is not the last is a blank of some kind
+    edges = np.zeros(len(data) + 2, np.int8)
+    edges[starts] = 1
+    edges[np.append(stops[:-1] + 1, stops[-1])] -= 1
+    return out[np.cumsum(edges[: len(data)], dtype=np.int8).astype(bool)].tobytes()
+
+
+def _cut_texts(docs: DataFrame, cuts: DataFrame, window: int, gram: int, single: bool, with_text: bool) -> DataFrame:
     """The result rows: windows that the cuts name are cut from each text."""
 
-    def one(text: str, segments: np.ndarray, offsets: list) -> tuple[int, int, bytes]:
+    def one(text: str, segments: np.ndarray, begins: np.ndarray, counts: np.ndarray) -> tuple[int, int, bytes]:
         data = W.as_bytes(text)
         starts, stops = W.word_bounds(data)
         n = len(starts)
-        gone = np.zeros(n + 1, np.int64)
+        kept = np.arange(n)
         if len(segments):
             words = W.word_hashes(data, starts, stops)
-            places = _anchors(words, window, gram)[0]
-            first, end = _segments(places, n, window, gram)
-            alone = np.arange(max(0, n - window + 1))
-            first, end = np.concatenate([first, alone]), np.concatenate([end, alone + window])
+            first, end = _segments(_anchors(words, window, gram)[0], n, window, gram)
+            if single:
+                alone = np.arange(max(0, n - window + 1))
+                first, end = np.concatenate([first, alone]), np.concatenate([end, alone + window])
             own = W.run_digests(words, first, end).view(np.int64)
             order = np.argsort(segments)
-            at = np.minimum(np.searchsorted(segments[order], own), len(segments) - 1)
-            hit = np.flatnonzero(segments[order][at] == own)
-            for k in hit.tolist():
-                begins = first[k] + np.array(offsets[order[at[k]]], np.int64)
-                np.add.at(gone, begins, 1)
-                np.add.at(gone, begins + window, -1)
-        kept = np.flatnonzero(np.cumsum(gone)[:n] == 0)
-        raw = data.tobytes()
-        return n, n - len(kept), b" ".join([raw[a:b] for a, b in zip(starts[kept].tolist(), stops[kept].tolist(), strict=True)])
+            at = order[np.minimum(np.searchsorted(segments[order], own), len(segments) - 1)]
+            hit = segments[at] == own
+            at, first = at[hit], first[hit]
+            # Every hit's windows: its first word plus each offset that its segment names.
+            sizes = counts[at]
+            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            gone = np.repeat(first, sizes) + begins[np.repeat((np.cumsum(counts) - counts)[at], sizes) + inside]
+            edges = np.bincount(gone, minlength=n + window + 1) - np.bincount(gone + window, minlength=n + window + 1)
+            kept = np.flatnonzero(np.cumsum(edges)[:n] == 0)
+        return n, n - len(kept), _joined(data, starts[kept], stops[kept])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 1024):
                 part = batch.slice(begin, 1024)
                 ids, texts = part.column("doc_id"), part.column("text").to_pylist()
-                rows = [
-                    one(text, np.array(segments or [], np.int64), offsets or [])
-                    for text, segments, offsets in zip(
-                        texts, part.column("segments").to_pylist(), part.column("offsets").to_pylist(), strict=True
-                    )
-                ]
+                rows = []
+                for text, segments, offsets in zip(texts, part.column("segments"), part.column("offsets"), strict=True):
+                    if segments.is_valid:
+                        flat, counts = offsets.values.flatten(), offsets.values.value_lengths()
+                        rows.append(one(text, segments.values.to_numpy(), flat.to_numpy(), counts.to_numpy().astype(np.int64)))
+                    else:
+                        rows.append(one(text, none, none, none))
                 out = [
                     ids,
                     pa.array([r[0] for r in rows], pa.int64()),
@@ -250,6 +265,7 @@ def _cut_texts(docs: DataFrame, cuts: DataFrame, window: int, gram: int, with_te
                     out.append(pa.array([r[2].decode("utf-8", "surrogatepass") for r in rows], pa.string()))
                 yield pa.RecordBatch.from_arrays(out, names)
 
+    none = np.empty(0, np.int64)
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", *(["kept_text"] if with_text else [])]
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", kept_text string" if with_text else "")
     joined = docs.withColumn("_key", F.coalesce("doc_id", F.lit(_LAST))).join(cuts, F.col("_key") == F.col("owner"), "left")
@@ -276,6 +292,7 @@ def remove_repeats(
     ws = Workspace(docs.sparkSession, "substrings")
     source = texts_of(docs, key, text)
     shared = _shared_anchors(ws, source, window, gram, hot)
+    single = not shared.where(F.size("hot") > 0).isEmpty()
     rows = ws.stage(_cut_segments(source, shared, window, gram), "segments")
     ws.drop("shared")
     routed = rows.where("words IS NOT NULL")
@@ -291,4 +308,4 @@ def remove_repeats(
         .select("owner", F.col("cuts.segment").alias("segments"), F.col("cuts.begins").alias("offsets"))
     )
     cuts = ws.stage(cuts, "cuts")
-    return ws.finish(_cut_texts(source, cuts, window, gram, with_text))
+    return ws.finish(_cut_texts(source, cuts, window, gram, single, with_text))

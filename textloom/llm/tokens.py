@@ -14,7 +14,7 @@ from collections.abc import Callable
 import numpy as np
 
 #: Pieces a worker remembers; beyond that it starts anew. Rare pieces seldom come again.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 64
 #: Blanks beside each other, or at an end: such texts are cut before single blanks only.
