@@ -8,6 +8,7 @@ import model
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.functions import text
 from textloom.operators import batches, chunk, encode, mix, split, stats
 from textloom.operators import vocabulary as vocab
 from textloom.operators.clean import CleanOptions, clean_batch
@@ -294,3 +295,17 @@ def test_costly_steps_are_planned_once(spark):
         assert occurrences(chunked, *needles) == wanted
         assert occurrences(cleaned, *needles[:3]) == wanted[:3]
         assert occurrences(chunk.chunk_text(cleaned.select("text"), 10, 2, "characters"), *needles[:3]) == wanted[:3]
+
+
+def test_null_key_keeps_its_chunks(spark):
+    rows = spark.createDataFrame(
+        [("a", 0, 2), ("a", 1, 2), (None, 0, 1)], "source_file string, pos int, num_chunks int"
+    )
+    numbered = chunk.assign_chunk_ids(rows)
+    assert sorted(r.chunk_id for r in numbered.collect()) == [0, 1, 2] and numbered.columns[:3] == rows.columns
+
+
+def test_ignored_bytes_are_dropped(spark):
+    raw = spark.createDataFrame([(b"ab\xffcd\xef\xbf\xbd",)], "b binary").select(F.col("b").cast("string").alias("t"))
+    found = raw.select(text.sanitize_encoding(F.col("t"), "ignore").alias("i"), text.sanitize_encoding(F.col("t")).alias("r")).first()
+    assert (found.i, found.r) == ("abcd�", "ab�cd�")

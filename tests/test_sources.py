@@ -195,3 +195,18 @@ def test_files_to_splits(spark, tmp_path):
     assert whole.saved_paths == {"dataset": f"{out}/dataset.parquet"} and whole.statistics is None
     with pytest.raises(ValueError):
         jobs.prepare_files(spark, str(tmp_path / "absent"))
+
+
+def test_folder_name_is_no_pattern(spark, tmp_path):
+    folder = tmp_path / "a[1]{x}"
+    folder.mkdir()
+    (folder / "b.txt").write_text("one")
+    (folder / "c.rtf").write_text("two")
+    assert files.scan_files(spark, str(folder), ("*.txt",)).count() == 1
+    assert files.scan_files(spark, str(folder), ("*.txt", "*.rtf")).count() == 2
+
+
+def test_fingerprint_sees_an_edit_of_equal_length(spark):
+    rows = [("a", 3, "2024-01-01"), ("a", 3, "2024-01-02")]
+    marks = {staging.stage_fingerprint(spark.createDataFrame([r], "path string, length long, modificationTime string"), {}) for r in rows}
+    assert len(marks) == 2

@@ -71,9 +71,14 @@ def normalize_whitespace(text: Column) -> Column:
     return tidy
 
 
-def sanitize_encoding(text: Column) -> Column:
-    """Broken UTF-8 becomes U+FFFD; a no-op on valid text."""
-    return F.make_valid_utf8(text)
+def sanitize_encoding(text: Column, errors: str = "replace") -> Column:
+    """Broken UTF-8 becomes U+FFFD, or nothing with ``ignore``; a no-op on valid text."""
+    if errors != "ignore":
+        return F.make_valid_utf8(text)
+    # U+FFFD that the text itself holds stays: two noncharacters stand for it meanwhile.
+    mark, own = F.lit("\ufffd"), F.lit("\ufdd0\ufdd1")
+    dropped = F.replace(F.replace(F.make_valid_utf8(F.replace(text, mark, own)), mark, F.lit("")), own, mark)
+    return F.when(F.is_valid_utf8(text), text).otherwise(dropped)
 
 
 def truncate_text(text: Column, max_length: int) -> Column:

@@ -69,8 +69,12 @@ def assign_chunk_ids(rows: DataFrame, keys: Sequence[str] = ("source_file",)) ->
     The chunks meet their document's offset in one join; whether the offsets are
     small enough to be sent to every executor is left to the measured size.
     """
-    joined = rows.join(chunk_offsets(rows, keys), list(keys))
-    return joined.withColumn("chunk_id", F.col("first_id") + F.col("pos")).drop("first_id")
+    names = {key: f"_of_{key}" for key in keys}
+    offsets = chunk_offsets(rows, keys).withColumnsRenamed(names)
+    # A null key is a key like any other: its chunks are numbered too.
+    same = [rows[key].eqNullSafe(offsets[name]) for key, name in names.items()]
+    joined = rows.join(offsets, same)
+    return joined.withColumn("chunk_id", F.col("first_id") + F.col("pos")).drop("first_id", *names.values())
 
 
 def create_dataset(

@@ -40,7 +40,7 @@ def clean(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
     )
     tidy = normalize_whitespace(F.col("_foot")) if options.normalize_whitespace else same("_foot")
     if options.handle_encoding_errors != "strict":
-        tidy = sanitize_encoding(tidy)
+        tidy = sanitize_encoding(tidy, options.handle_encoding_errors)
     steps = steps.withColumns(
         {
             "_tidy": tidy,

@@ -60,7 +60,7 @@ def with_stem(docs: DataFrame) -> DataFrame:
     """
     named = docs.withColumn("stem", F.regexp_replace(file_name(F.col("path")), r"(?<=.)\.[^.]+$", ""))
     shared = named.groupBy("stem").agg(F.count(F.lit(1)).alias("_files")).where("_files > 1")
-    mark = F.concat(F.col("stem"), F.lit("_"), F.substring(F.md5("path"), 1, 8))
+    mark = F.concat(F.col("stem"), F.lit("_"), F.md5("path"))
     return (
         named.join(shared, "stem", "left")
         .withColumn("stem", F.when(F.col("_files").isNotNull(), mark).otherwise(F.col("stem")))

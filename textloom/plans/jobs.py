@@ -18,7 +18,7 @@ from textloom.operators.stats import split_statistics
 from textloom.operators.vocabulary import DEFAULT_SPEC, VOCABULARY_SIZE, TokenizerSpec, build_vocabulary
 from textloom.sources.datasets import write_dataset, write_splits
 from textloom.sources.files import extract_documents, scan_files
-from textloom.sources.staging import materialize_stage, stage, stage_fingerprint, stage_path
+from textloom.sources.staging import hadoop_path, materialize_stage, stage, stage_fingerprint, stage_path
 
 from textloom.sources.tables import spread_small
 
@@ -151,11 +151,16 @@ def prepare_files(
     raw = spread_small(scan_files(spark, input_dir, options.file_patterns))
     documents = extract_documents(raw, options.encoding, options.clean.handle_encoding_errors)
     # The path in the metadata is unique; the bare name may not be, below several folders.
-    documents = documents.withColumn("path", F.col("metadata.source_file"))
+    # Relative to the folder, so that ids and splits do not depend on where it lies.
+    fs, root = hadoop_path(spark, input_dir)
+    above = fs.makeQualified(root).toString().rstrip("/") + "/"
+    full = F.col("metadata.source_file")
+    inside = F.when(full.startswith(above), F.substring(full, len(above) + 1, 1 << 30)).otherwise(full)
+    documents = documents.withColumn("path", inside)
     if not (options.cache_dir and options.pre_tokenize):
         return prepare_corpus(documents, options, keys=("path",), **flags)
     parameters = {k: v for k, v in asdict(options).items() if k not in ("output_dir", "output_format")}
-    fingerprint = stage_fingerprint(raw.select("path", "length"), parameters)
+    fingerprint = stage_fingerprint(raw.select("path", "length", "modificationTime"), parameters)
     path = stage_path(options.cache_dir, "dataset", fingerprint)
     dataset, used = materialize_stage(
         spark, path, lambda: prepare_corpus(documents, options, False, False, ("path",)).dataset

@@ -42,8 +42,8 @@ def glob_to_regex(pattern: str) -> str:
 def scan_files(spark: SparkSession, folder: str, patterns: Sequence[str] = ("*.rtf",)) -> DataFrame:
     """Files in ``folder`` that match any pattern, each once.
 
-    Plain name patterns become one path glob with alternatives, so a file that matches
-    several is listed once and no shuffle is needed to remove copies. Patterns that
+    Plain name patterns become one filter on names with alternatives, so the folder is one path,
+    a file that matches several is listed once and no shuffle is needed to remove copies. Patterns that
     reach into subfolders are tested on the listed paths, before a file is opened.
     A missing folder, or one without matches, gives an empty table.
     """
@@ -52,17 +52,17 @@ def scan_files(spark: SparkSession, folder: str, patterns: Sequence[str] = ("*.r
     fs, root = hadoop_path(spark, folder)
     root = fs.makeQualified(root).toString().rstrip("/")
     reader = spark.read.format("binaryFile")
+    escaped = re.sub(r"([\\{}\[\]*?])", r"\\\1", root)  # the folder's own name is no pattern
     if any("/" in p or "[" in p for p in patterns):
         wanted = "|".join(glob_to_regex(p)[1:-1] for p in patterns)
         # The listing holds encoded paths, in which only a plus sign stands for itself.
         listed = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
         inner = F.regexp_replace(listed, "^[a-z0-9]+:/+", "/")
         base = re.escape(re.sub("^[a-z0-9]+:/+", "/", root))
-        return reader.option("recursiveFileLookup", True).load(root).where(inner.rlike(f"^{base}/(?:{wanted})$"))
+        return reader.option("recursiveFileLookup", True).load(escaped).where(inner.rlike(f"^{base}/(?:{wanted})$"))
     parts = [p.replace("{", "\\{").replace("}", "\\}") for p in patterns]
-    glob = f"{root}/" + (parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}")
-    found = fs.globStatus(hadoop_path(spark, glob)[1])
-    return reader.load(glob) if found else spark.createDataFrame([], RAW_SCHEMA)
+    names = parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}"
+    return reader.option("pathGlobFilter", names).load(escaped)
 
 
 def file_name(path: Column) -> Column:

@@ -56,11 +56,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def stage_fingerprint(inputs: DataFrame, parameters: dict[str, Any]) -> str:
-    """16 hex digits over the input files' paths and lengths and all parameters.
+    """16 hex digits over the input files' paths, lengths and change times, and all parameters.
 
-    ``inputs`` has ``path`` and ``length``; the sums below do not depend on row order.
+    ``inputs`` has ``path``, ``length`` and, where files can change in place, ``modificationTime``:
+    without it an edit of equal length is not seen. The sums below do not depend on row order.
     """
-    digest = inputs.selectExpr("md5(concat_ws(':', path, length)) AS h").selectExpr(
+    parts = ["path", "length", *(["modificationTime"] if "modificationTime" in inputs.columns else [])]
+    digest = inputs.selectExpr(f"md5(concat_ws(':', {', '.join(f'cast({p} AS string)' for p in parts)})) AS h").selectExpr(
         "count(*) AS files",
         "sum(cast(conv(substr(h, 1, 8), 16, 10) AS bigint)) AS low",
         "sum(cast(conv(substr(h, 9, 8), 16, 10) AS bigint)) AS high",
