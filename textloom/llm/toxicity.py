@@ -28,7 +28,7 @@ SLOT_BITS = 17
 WIDTH = 8
 PASSAGE = 3
 #: Bounds of what is learned from: documents a class, and bytes of each of them.
-PER_CLASS = 2000
+PER_CLASS = 1500
 TRAINING_BYTES = 1 << 15
 ROUNDS, EPOCHS, BATCH, RATE = 3, 3, 4096, 0.3
 FOLDS, FOLD = 5, 0
