@@ -15,7 +15,8 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, connection, name):
-    assert check.compare(spark, connection, SF_DIR, name).startswith("ok")
+    wanted = "ok" if name in entry.oracle_sql() else "rows only"  # the latter are compared with brute force elsewhere
+    assert check.compare(spark, connection, SF_DIR, name).startswith(wanted)
 
 
 def test_entry(spark):
