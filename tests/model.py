@@ -1,92 +1,14 @@
-"""Plain Python models of the contracts, written independently of the Spark expressions."""
+"""Small plain Python counterparts, and checks of what the chunkers promise."""
 
+import math
 import re
+from itertools import accumulate
 
-HEADER = [
-    r"https?://", r"www\.", r"Copyright", r"\(C\)", r"\d{1,2}$", r"Page \d+", r"Project Gutenberg", r"Etext",
-    r"Release Date", r"\[.*?\]$", r"Title:", r"Author:", r"Language:", r"Character set encoding:", r"[*=_-]{3,}",
-]
-FOOTER = [
-    r"\d+$", r"Page \d+", r"-\s*\d+\s*-", r"Copyright", r"\(C\)", r"End of.*Project Gutenberg",
-    r"\*\*\* END OF.*\*\*\*", r"\[.*?\]$", r"[*=_-]{3,}",
-]
 PIECE = re.compile(r" ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|[ \t\n\r\f]+")
 
 
-def any_match(patterns, line):
-    return any(re.match(p, line, re.I) for p in patterns)
-
-
-def book(text):
-    lines = text.split("\n")
-    marked = lambda word: [
-        i for i, line in enumerate(lines) if word in line.upper() and "PROJECT GUTENBERG" in line.upper()
-    ]
-    first, last = marked("*** START OF"), marked("*** END OF")
-    if first and last and first[0] + 1 < last[-1]:
-        return "\n".join(lines[first[0] + 1 : last[-1]])
-    return text
-
-
-def header_end(lines):
-    end = hits = 0
-    for i, line in enumerate(s.strip() for s in lines[:15]):
-        if line == "":
-            end = i + 1 if i < 5 else end
-            continue
-        caps = len(line) < 80 and line.isupper() and len(line.split()) < 10
-        mail = "@" in line and ("http" in line.lower() or "www" in line.lower())
-        if any_match(HEADER, line) or caps or mail:
-            end, hits = i + 1, hits + 1
-        elif hits >= 2 or len(line) > 20 or any(c.islower() for c in line):
-            break
-    return end
-
-
-def footer_start(lines):
-    n = start = len(lines)
-    hits = 0
-    for i in range(n - 1, n - 16, -1):
-        line = lines[i].strip()
-        if line == "":
-            start = i if i >= n - 3 else start
-            continue
-        caps = len(line) < 20 and i >= n - 3 and line.isupper() and len(line.split()) <= 3
-        if any_match(FOOTER, line) or caps:
-            start, hits = i, hits + 1
-        elif hits >= 1 or len(line) > 30 or any(c.islower() for c in line):
-            break
-    return start
-
-
-def headers(text):
-    lines = text.split("\n")
-    return text if len(lines) <= 15 else "\n".join(lines[header_end(lines):])
-
-
-def footers(text):
-    lines = text.split("\n")
-    return text if len(lines) <= 15 else "\n".join(lines[: footer_start(lines)])
-
-
-def whitespace(text):
-    text = text.replace("\r\n", "\n").replace("\r", "\n")
-    return re.sub("\n{3,}", "\n\n", re.sub(" +", " ", text)).strip()
-
-
-def clean(text, max_length=None, head=True, foot=True, tidy=True):
-    """(cleaned text, operations)."""
-    a = book(text)
-    b = headers(a) if head else a
-    c = footers(b) if foot else b
-    d = whitespace(c) if tidy else c
-    ops = ["pg_boilerplate_removal"] * (len(a) < len(text))
-    ops += ["header_removal"] * (head and len(b) < len(text))
-    ops += ["footer_removal"] * (foot and len(c) < len(text))
-    ops += ["whitespace_normalization"] * tidy
-    if max_length is not None and len(d) > max_length:
-        d, ops = d[:max_length], ops + ["truncation"]
-    return d, ops
+def tokens(text):
+    return PIECE.findall(text)
 
 
 def sentences(text):
@@ -94,41 +16,64 @@ def sentences(text):
     return [s for s in found if s] or [text]
 
 
-def by_characters(text, size, overlap):
-    out, cur, n = [], [], 0
-    for s in sentences(text):
-        if cur and n + len(s) > size * 4:
-            out.append(" ".join(cur))
-            tail = out[-1][-overlap * 4 :] if overlap else None
-            cur, n = ([tail], len(tail)) if overlap else ([], 0)
-        cur, n = cur + [s], n + len(s) + 1
-    out.append(" ".join(cur))
-    return [(t, len(t) // 4) for t in out]
-
-
-def tokens(text):
-    return PIECE.findall(text)
+def whitespace(text):
+    text = text.replace("\r\n", "\n").replace("\r", "\n")
+    return re.sub("\n{3,}", "\n\n", re.sub(" +", " ", text)).strip()
 
 
-def by_tokens(text, size, overlap):
-    all_tokens = tokens(text)
-    if len(all_tokens) <= size:
-        return [(text, len(all_tokens))]
-    out, held, parts = [], [], []
-    for s in sentences(text):
-        t = tokens(s)
-        if held and len(held) + len(t) > size:
-            out.append((" ".join(parts), len(held)))
-            held = held[-overlap:] if overlap else []
-            parts = ["".join(held)] if overlap else []
-        held, parts = held + t, parts + [s]
-    out.append((" ".join(parts), len(held)))
-    if len(out) > 1:
-        return out
-    out, start = [], 0
-    while True:
-        window = all_tokens[start : start + size]
-        out.append(("".join(window), len(window)))
-        if start + size >= len(all_tokens):
-            return out
-        start += size - overlap
+def between_marks(text):
+    """What stands between the first START and the last END line of a book, where there is anything."""
+    marked = re.compile(r"(?i)(?=.*project gutenberg)(?=.*\*\*\* (start|end) of).*")
+    kinds = [(m[1].lower(), i) for i, line in enumerate(text.split("\n")) if (m := marked.fullmatch(line.rstrip("\r")))]
+    starts, ends = [i for kind, i in kinds if kind == "start"], [i for kind, i in kinds if kind == "end"]
+    inner = text.split("\n")[min(starts) + 1 : max(ends)] if starts and ends else []
+    return "\n".join(inner) if inner else text
+
+
+def _taken(own, left):
+    """How many of the sentences ``left`` the chunk text ``own`` is made of."""
+    lengths = list(accumulate(len(s) + 1 for s in left))
+    n = lengths.index(len(own) + 1) + 1
+    assert own == " ".join(left[:n])
+    return n
+
+
+def check_character_chunks(text, chunks, size, overlap):
+    """Sentences in order and complete, the overlap in front, no chunk too long or closed too early."""
+    left, before, limit = sentences(text), None, 4 * size
+    for chunk, count in chunks:
+        assert count == len(chunk) // 4
+        carried = "" if before is None or not overlap else before[-4 * overlap :] + " "
+        assert chunk.startswith(carried)
+        if before is not None:
+            assert len(before) + 1 + len(left[0]) > limit
+        n = _taken(chunk[len(carried) :], left)
+        assert n == 1 or len(chunk) <= limit + 1
+        left, before = left[n:], chunk
+    assert not left
+
+
+def check_token_chunks(text, chunks, size, overlap, cut=tokens):
+    """One chunk if it fits; else packed sentences; windows where there is one sentence or too few tokens to pack."""
+    whole, parts = cut(text), sentences(text)
+    pieces = [cut(s) for s in parts]
+    if len(whole) <= size:
+        assert chunks == [(text, len(whole))]
+    elif len(parts) == 1 or sum(map(len, pieces)) <= size:
+        step = size - overlap
+        assert len(chunks) == 1 + math.ceil((len(whole) - size) / step)
+        for k, (chunk, count) in enumerate(chunks):
+            window = whole[k * step : k * step + size]
+            assert (chunk, count) == ("".join(window), len(window))
+    else:
+        done, stream, before = 0, [], 0
+        for k, (chunk, count) in enumerate(chunks):
+            kept = min(overlap, before)
+            carried = "".join(stream[-kept:]) + " " if k and overlap else ""
+            assert chunk.startswith(carried)
+            assert k == 0 or before + len(pieces[done]) > size
+            n = _taken(chunk[len(carried) :], parts[done:])
+            own = [token for piece in pieces[done : done + n] for token in piece]
+            assert count == kept + len(own) and (n == 1 or count <= size)
+            done, stream, before = done + n, stream + own, count
+        assert done == len(parts)
