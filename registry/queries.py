@@ -736,6 +736,18 @@ def split_exact(spark, sf_dir):
     return _chunk_splits(spark, sf_dir).select("chunk_id", "source_file", "split")
 
 
+@query(
+    "split_grouped",
+    "SELECT chunk_id, source_file, CASE WHEN s < a THEN 'train' WHEN s < a + b THEN 'validation' ELSE 'test' END AS split "
+    "FROM chunk_table JOIN (SELECT source_file, sum(n) OVER (ORDER BY md5('42:' || source_file)) - n AS s FROM "
+    "(SELECT source_file, count(*) AS n FROM chunk_table GROUP BY source_file)) USING (source_file) CROSS JOIN "
+    "(SELECT floor(count(*) * 0.8::DOUBLE)::BIGINT AS a, floor(count(*) * 0.1::DOUBLE)::BIGINT AS b FROM chunk_table)",
+)
+def split_grouped(spark, sf_dir):
+    made = split.split_exact(V.token_chunks(spark, sf_dir), group_col="source_file")
+    return made.select("chunk_id", "source_file", "split")
+
+
 @query(
     "split_ordered",
     "SELECT chunk_id, source_file, CASE WHEN chunk_id < a THEN 'train' WHEN chunk_id < a + b THEN 'validation' ELSE 'test' END "

@@ -28,7 +28,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_documents(spark, f"{sf_dir}/documents.parquet", "doc_id", "source", "text")
+    given = spark.conf.get("spark.textloom.partitions", None)
+    columns = ("doc_id", "source", "text")
+    return read_documents(spark, f"{sf_dir}/documents.parquet", *columns, partitions=int(given) if given else None)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,16 @@ def test_split_with_deep_cuts(spark, monkeypatch):
     assert counts == {"train": 4000, "validation": 500, "test": 500}
 
 
+def test_split_keeps_groups_whole(spark):
+    hot = F.when(F.col("chunk_id") % 3 == 0, "hot").when(F.col("chunk_id") % 7 > 0, (F.col("chunk_id") % 50).cast("string"))
+    grouped = rows(spark, 9000).withColumn("g", hot)
+    made = split.split_exact(grouped, ratios=(0.5, 0.25, 0.25), group_col="g")
+    assert made.count() == 9000
+    assert made.groupBy("g").agg(F.count_distinct("split").alias("n")).where("n > 1").isEmpty()
+    single = split.split_exact(rows(spark, 500), ratios=(0.5, 0.25, 0.25), group_col="chunk_id")
+    assert single.exceptAll(split.split_exact(rows(spark, 500), ratios=(0.5, 0.25, 0.25))).isEmpty()
+
+
 def test_split_errors(spark):
     with pytest.raises(ValueError):
         split.split_exact(rows(spark, 10), ratios=(0.8, 0.1, 0.2))

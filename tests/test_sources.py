@@ -152,16 +152,10 @@ def test_stage_cache(spark, tmp_path):
     assert [staging.materialize_stage(spark, path, lambda: spark.range(3))[1] for _ in range(2)] == [False, True]
 
 
-def test_spread(spark):
-    cores = spark.sparkContext.defaultParallelism
-    df = spark.range(1_000_000).coalesce(1)
-    assert tables.spread_small(df).rdd.getNumPartitions() == cores
-    assert tables.spread_small(spark.range(10)).rdd.getNumPartitions() == 1
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
-    try:
-        assert tables.spread_small(df).rdd.getNumPartitions() == 1
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+def test_texts_are_dealt_on_request_only(spark, tmp_path):
+    spark.range(100).selectExpr("id", "cast(id AS string) AS text").coalesce(1).write.parquet(f"{tmp_path}/t")
+    plain, dealt = (tables.read_documents(spark, f"{tmp_path}/t", "text", partitions=n) for n in (None, 5))
+    assert (plain.rdd.getNumPartitions(), dealt.rdd.getNumPartitions()) == (1, 5)
 
 
 def test_files_to_splits(spark, tmp_path):
@@ -191,12 +185,45 @@ def test_files_to_splits(spark, tmp_path):
     assert [r.cache_used for r in runs] == [False, True]
     assert {"input_ids", "attention_mask"} <= set(runs[1].dataset.columns) and "text" not in runs[1].dataset.columns
     assert runs[1].dataset.count() == total
+    uncached = {**config, "tokenization": {"pre_tokenize": True}}
+    runs.append(jobs.prepare_files(spark, source, jobs.options_from_config(uncached)))
+    ids = [sorted((r["chunk_id"], r["split"], tuple(r["input_ids"])) for r in run.dataset.collect()) for run in runs]
+    assert ids[0] == ids[1] == ids[2]
+    plain = {(r["chunk_id"], r["split"]) for r in rows}
+    assert {(i, s) for i, s, _ in ids[0]} == plain
+    for run in runs:
+        assert run.saved_paths["vocabulary"] == f"{out}/vocabulary.parquet"
+        assert {tuple(r) for r in run.vocabulary.collect()} == {
+            tuple(r) for r in spark.read.parquet(run.saved_paths["vocabulary"]).collect()
+        }
+    assert {(r["split"], r["num_examples"]) for r in runs[1].totals.collect()} == {*stats.items(), ("total", total)}
+    assert sum(r["num_examples"] for r in runs[1].source_histogram.collect()) == total
+    assert {r["success"] for r in runs[1].extraction.collect()} == {True} and runs[1].extraction.count() == 13
     whole = jobs.prepare_files(spark, source, jobs.options_from_config({**config, "tokenization": {}}), split=False)
     assert whole.saved_paths == {"dataset": f"{out}/dataset.parquet"} and whole.statistics is None
     with pytest.raises(ValueError):
         jobs.prepare_files(spark, str(tmp_path / "absent"))
 
 
+def test_balanced_files(spark, tmp_path):
+    source = str(tmp_path / "in")
+    for name in ("a.txt", "b.txt", "c.txt"):
+        write(source, name, f"The text of {name}.")
+    config = {"input": {"use_balanced_dataset": True, "sources": [{"path": "a.txt", "weight": 3}, {"path": "b.*"}]},
+              "output": {"output_dir": str(tmp_path / "out")}}
+    options = jobs.options_from_config(config)
+    names = [r["source_file"] for r in jobs.prepare_files(spark, source, options).dataset.collect()]
+    assert sorted(names) == ["a_001.txt", "a_002.txt", "a_003.txt", "b_001.txt"]
+    config["tokenization"] = {"pre_tokenize": True, "cache_dir": str(tmp_path / "cache")}
+    runs = [jobs.prepare_files(spark, source, jobs.options_from_config(config)) for _ in range(2)]
+    assert [run.cache_used for run in runs] == [False, True]
+    assert [run.dataset.count() for run in runs] == [run.cleaned.count() for run in runs] == [4, 4]
+    config["input"]["use_balanced_dataset"] = False
+    assert jobs.options_from_config(config).sources is None
+    with pytest.raises(ValueError, match="needs sources"):
+        jobs.prepare_files(spark, source, jobs.options_from_config({"input": {"use_balanced_dataset": True}}))
+
+
 def test_folder_name_is_no_pattern(spark, tmp_path):
     folder = tmp_path / "a[1]{x}"
     folder.mkdir()

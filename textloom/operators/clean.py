@@ -108,14 +108,6 @@ def filter_by_length(df: DataFrame, min_length: int) -> DataFrame:
     return df.where(F.length("text") >= min_length)
 
 
-def too_short_reason(text: Column, min_length: int) -> Column:
-    """Why a text is dropped; null when it stays."""
-    n = F.length(text)
-    return F.when(
-        n < min_length, F.concat(F.lit("too_short ("), n.cast("string"), F.lit(f" < {min_length})"))
-    )
-
-
 def clean_batch_summary(df: DataFrame, options: CleanOptions = CleanOptions()) -> DataFrame:
     """Passed, filtered and total counts; empty texts are not counted."""
     stat = F.col("cleaning_stats")

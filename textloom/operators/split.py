@@ -31,25 +31,31 @@ def split_exact(
     keys: Sequence[str] = ("chunk_id",),
     ratios: Sequence[float] = (0.8, 0.1, 0.1),
     seed: int = 42,
+    group_col: str | None = None,
 ) -> DataFrame:
     """Add ``split``: rows in hash order, cut at the exact sizes.
 
+    With ``group_col`` groups are ordered instead, and a group goes whole to the split of
+    its first row, so no group is in two splits and sizes are as near as groups allow. Rows
+    with a null group are one group.
+
     No row is moved or sorted. Counting hashes by prefix finds the two hashes at
     which the order is cut; each row then compares its own hash with them. The
     passes read only the key columns, so hand in a staged table.
     """
     check_ratios(ratios)
-    hashes = df.select(row_hash(keys, seed).alias("h"))
+    order = row_hash([group_col] if group_col else keys, seed)
+    hashes = df.select(order.alias("h"))
     counts = _prefix_counts(hashes, FIRST_DIGITS)
     total = sum(counts.values())
     if total == 0:
         raise ValueError("Cannot split empty dataset")
     train, validation = split_sizes(total, ratios)
-    first = _cut(hashes, counts, train)
-    second = _cut(hashes, counts, train + validation)
+    first = _cut(hashes, counts, train, bool(group_col))
+    second = _cut(hashes, counts, train + validation, bool(group_col))
     h = F.col("_hash")
     name = F.when(h < first, "train").when(h < second, "validation").otherwise("test")
-    return df.withColumn("_hash", row_hash(keys, seed)).withColumn("split", name).drop("_hash")
+    return df.withColumn("_hash", order).withColumn("split", name).drop("_hash")
 
 
 def _prefix_counts(hashes: DataFrame, digits: int) -> dict[str, int]:
@@ -57,8 +63,8 @@ def _prefix_counts(hashes: DataFrame, digits: int) -> dict[str, int]:
     return {row["p"]: row["count"] for row in rows}
 
 
-def _cut(hashes: DataFrame, counts: dict[str, int], rank: int) -> str:
-    """The string that exactly ``rank`` hashes sort before."""
+def _cut(hashes: DataFrame, counts: dict[str, int], rank: int, whole: bool) -> str:
+    """The string that exactly ``rank`` hashes sort before; with ``whole``, equal hashes stay together before it."""
     prefix = ""
     while True:
         for next_prefix in sorted(counts):
@@ -70,6 +76,8 @@ def _cut(hashes: DataFrame, counts: dict[str, int], rank: int) -> str:
         if rank == 0:
             return next_prefix
         if len(next_prefix) == 32:
+            if whole:
+                return next_prefix + "0"  # the next string after the group's hash
             raise ValueError("the keys must be unique: some rows have the same hash")
         prefix, held = next_prefix, counts[next_prefix]
         digits = 32 if held <= SMALL_BUCKET else len(prefix) + FIRST_DIGITS

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
@@ -14,14 +14,12 @@ from textloom.operators.clean import CleanOptions, clean_batch
 from textloom.operators.encode import encode_dataset
 from textloom.operators.mix import copy_weight, repeat_copies, with_stem
 from textloom.operators.split import split_exact
-from textloom.operators.stats import split_statistics
+from textloom.operators.stats import split_source_histogram, split_statistics, split_totals
 from textloom.operators.vocabulary import DEFAULT_SPEC, VOCABULARY_SIZE, TokenizerSpec, build_vocabulary
 from textloom.sources.datasets import write_dataset, write_splits
-from textloom.sources.files import extract_documents, scan_files
+from textloom.sources.files import extract_documents, extraction_report, scan_files
 from textloom.sources.staging import hadoop_path, materialize_stage, stage, stage_fingerprint, stage_path
 
-from textloom.sources.tables import spread_small
-
 
 @dataclass(frozen=True)
 class CorpusOptions:
@@ -42,6 +40,8 @@ class CorpusOptions:
     vocab_size: int = VOCABULARY_SIZE
     cache_dir: str | None = None
     spec: TokenizerSpec = DEFAULT_SPEC
+    #: Patterns and weights of a balanced run from files; without them every file counts once.
+    sources: Sequence[Mapping[str, Any]] | None = None
 
 
 @dataclass
@@ -49,9 +49,13 @@ class CorpusResult:
     cleaned: DataFrame
     dataset: DataFrame
     statistics: DataFrame | None = None
+    totals: DataFrame | None = None
+    source_histogram: DataFrame | None = None
     vocabulary: DataFrame | None = None
     saved_paths: dict[str, str] = field(default_factory=dict)
     cache_used: bool = False
+    #: One row per scanned file, failed ones included (``prepare_files`` only).
+    extraction: DataFrame | None = None
 
     def split(self, name: str) -> DataFrame:
         return self.dataset.where(F.col("split") == name).drop("split")
@@ -83,6 +87,7 @@ def options_from_config(config: Mapping[str, Any]) -> CorpusOptions:
         max_length=tokens.get("model_max_length"),
         cache_dir=tokens.get("cache_dir") if tokens.get("cache_tokenized", True) else None,
         spec=spec.with_special_tokens(tokens.get("special_tokens")),
+        sources=tuple(given["input"].get("sources", ())) if given["input"].get("use_balanced_dataset") else None,
     )
 
 
@@ -137,18 +142,29 @@ def prepare_balanced_corpus(
     Copies are equal, so each document is cleaned and chunked once and its chunks
     are repeated afterwards.
     """
-    weighted = with_stem(copy_weight(documents, entries)).select("path", "stem", "weight", "text")
-    cleaned = clean_batch(weighted, options.clean)
+    cleaned = _cleaned_weighted(documents, entries, options)
     size, overlap = options.chunk_size, options.chunk_overlap
     rows = repeat_copies(staged_chunks(cleaned, size, overlap, options.chunk_by, ("stem",), "weight"))
     return _finish(repeat_copies(cleaned), rows, options, save, split, ("source_file",))
 
 
+def _cleaned_weighted(
+    documents: DataFrame, entries: Sequence[Mapping[str, Any]], options: CorpusOptions
+) -> DataFrame:
+    weighted = with_stem(copy_weight(documents, entries)).select("path", "stem", "weight", "text")
+    return clean_batch(weighted, options.clean)
+
+
 def prepare_files(
     spark: SparkSession, input_dir: str, options: CorpusOptions = CorpusOptions(), **flags: bool
 ) -> CorpusResult:
-    """From a folder of files; with ``cache_dir`` set, encoded chunks are kept by fingerprint."""
-    raw = spread_small(scan_files(spark, input_dir, options.file_patterns))
+    """From a folder of files, as weighted copies where ``options.sources`` says so.
+
+    With ``cache_dir`` set, encoded chunks with their split, and the vocabulary, are kept by fingerprint.
+    """
+    if options.sources is not None and not options.sources:
+        raise ValueError("a balanced dataset needs sources")
+    raw = scan_files(spark, input_dir, options.file_patterns)
     documents = extract_documents(raw, options.encoding, options.clean.handle_encoding_errors)
     # The path in the metadata is unique; the bare name may not be, below several folders.
     # Relative to the folder, so that ids and splits do not depend on where it lies.
@@ -157,18 +173,52 @@ def prepare_files(
     full = F.col("metadata.source_file")
     inside = F.when(full.startswith(above), F.substring(full, len(above) + 1, 1 << 30)).otherwise(full)
     documents = documents.withColumn("path", inside)
-    if not (options.cache_dir and options.pre_tokenize):
-        return prepare_corpus(documents, options, keys=("path",), **flags)
+
+    def run(save: bool = True, split: bool = True) -> CorpusResult:
+        if options.sources is None:
+            return prepare_corpus(documents, options, save, split, ("path",))
+        return prepare_balanced_corpus(documents, options.sources, options, save, split)
+
+    if options.cache_dir and options.pre_tokenize:
+        result = _cached(spark, raw, documents, options, run, **flags)
+    else:
+        result = run(**flags)
+    result.extraction = extraction_report(raw, options.encoding, options.clean.handle_encoding_errors)
+    return result
+
+
+def _cached(
+    spark: SparkSession,
+    raw: DataFrame,
+    documents: DataFrame,
+    options: CorpusOptions,
+    run: Callable[..., CorpusResult],
+    save: bool = True,
+    split: bool = True,
+) -> CorpusResult:
+    """The result of ``run`` from the tables kept for these files and options, or kept now."""
     parameters = {k: v for k, v in asdict(options).items() if k not in ("output_dir", "output_format")}
     fingerprint = stage_fingerprint(raw.select("path", "length", "modificationTime"), parameters)
-    path = stage_path(options.cache_dir, "dataset", fingerprint)
+    made: list[CorpusResult] = []
+
+    def fresh() -> CorpusResult:
+        if not made:
+            made.append(run(save=False))
+        return made[0]
+
+    # The split is kept with the rows: it is the same as without a cache.
     dataset, used = materialize_stage(
-        spark, path, lambda: prepare_corpus(documents, options, False, False, ("path",)).dataset
+        spark, stage_path(options.cache_dir, "dataset", fingerprint), lambda: fresh().dataset
     )
-    cleaned = clean_batch(documents, options.clean)
-    result = _split_and_save(cleaned, dataset, options, flags.get("save", True), flags.get("split", True))
-    result.cache_used = used
-    return result
+    vocabulary, _ = materialize_stage(
+        spark, stage_path(options.cache_dir, "vocabulary", fingerprint), lambda: fresh().vocabulary
+    )
+    if options.sources is None:
+        cleaned = clean_batch(documents, options.clean)
+    else:
+        cleaned = repeat_copies(_cleaned_weighted(documents, options.sources, options))
+    result = CorpusResult(cleaned, dataset if split else dataset.drop("split"), vocabulary=vocabulary, cache_used=used)
+    return _save(_counted(result, dataset) if split else result, options, save, split)
 
 
 def _finish(
@@ -178,31 +228,32 @@ def _finish(
     if split:
         rows = split_exact(rows, (*keys, "pos"), options.ratios, options.seed)
         columns = [*columns, "split"]
-    statistics = split_statistics(rows) if split else None
     dataset = assign_chunk_ids(rows, keys).withColumn("processing_timestamp", F.current_timestamp())
     dataset = dataset.select(*columns)
     if options.pre_tokenize:
         vocabulary = stage(build_vocabulary(rows, options.vocab_size, options.spec), "vocabulary")
         dataset = encode_dataset(dataset, vocabulary, spec=options.spec, max_length=options.max_length)
-    result = CorpusResult(cleaned, dataset, statistics, vocabulary)
-    return _save(result, options, split) if save and options.output_dir else result
+    result = CorpusResult(cleaned, dataset, vocabulary=vocabulary)
+    return _save(_counted(result, rows) if split else result, options, save, split)
 
 
-def _split_and_save(
-    cleaned: DataFrame, dataset: DataFrame, options: CorpusOptions, save: bool, split: bool
-) -> CorpusResult:
-    """The same end for a chunk table that is kept already."""
-    result = CorpusResult(cleaned, dataset)
-    if split:
-        result.dataset = split_exact(dataset, ("chunk_id",), options.ratios, options.seed)
-        result.statistics = split_statistics(result.dataset)
-    return _save(result, options, split) if save and options.output_dir else result
+def _counted(result: CorpusResult, rows: DataFrame) -> CorpusResult:
+    """The result with the counts of ``rows``, which have a split."""
+    result.statistics, result.totals = split_statistics(rows), split_totals(rows)
+    result.source_histogram = split_source_histogram(rows.na.fill("unknown", ["source_file"]))
+    return result
 
 
-def _save(result: CorpusResult, options: CorpusOptions, split: bool) -> CorpusResult:
+def _save(result: CorpusResult, options: CorpusOptions, save: bool, split: bool) -> CorpusResult:
+    """The tables in the output folder; encoded ones with the vocabulary that reads them."""
+    if not (save and options.output_dir):
+        return result
     if split:
         result.saved_paths = write_splits(result.dataset, options.output_dir, options.output_format)
     else:
         path = write_dataset(result.dataset, options.output_dir, options.output_format)
         result.saved_paths = {"dataset": path}
+    if result.vocabulary is not None:
+        path = write_dataset(result.vocabulary, options.output_dir, "parquet", "vocabulary")
+        result.saved_paths["vocabulary"] = path
     return result

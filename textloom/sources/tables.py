@@ -4,26 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-SMALLEST_SLICE = 256 * 1024  # bytes of input that are worth a task of their own
 
+def read_documents(spark: SparkSession, path: str, *columns: str, partitions: int | None = None) -> DataFrame:
+    """The wanted columns of a parquet table.
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Rows dealt over all cores when the input is too small to give each one a scan task.
-
-    A file is read in splits of ``maxPartitionBytes`` and never finer than its row
-    groups, so a small table would keep most cores idle in the costly text steps.
-    From one full split per core on, the scan is parallel enough and nothing moves.
+    ``partitions`` deals the rows anew, for a small file whose single row group would keep
+    all cores but one idle. That shuffles the texts, so a table of many files goes without.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    given = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(given)
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    if size >= cores * split:
-        return df
-    return df.repartition(max(1, min(cores, size // SMALLEST_SLICE)))
-
-
-def read_documents(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """The wanted columns of a parquet table, ready for row-by-row text work."""
-    return spread_small(spark.read.parquet(path).select(*columns))
+    rows = spark.read.parquet(path).select(*columns)
+    return rows.repartition(partitions) if partitions else rows
