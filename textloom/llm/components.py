@@ -30,14 +30,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return joined.union(least.select("a", F.col("low").alias("b"))).distinct()
 
 
-def component_roots(links: DataFrame, ws: Workspace, name: str) -> DataFrame:
+def component_roots(links: DataFrame, ws: Workspace, name: str, known: DataFrame | None = None) -> DataFrame:
     """``node, root`` for every linked node: ``root`` is the smallest node of its component.
 
     ``links`` has bigint columns ``a`` and ``b`` in any order, repeated or not; rows with
-    a null or with ``a = b`` link nothing. An edge leaves as many rows as it takes, so a
+    a null or with ``a = b`` link nothing. ``known`` are roots found before, which the links
+    add to: a component counts with one edge a node, not with all the links that made it. An edge leaves as many rows as it takes, so a
     node with many links costs no more than its links; nodes' minima are combined in the
     tasks first, and the join on a node with many links is one that Spark can split.
     """
+    if known is not None:
+        links = links.union(known.select(F.col("node").alias("a"), F.col("root").alias("b")))
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges, step = ws.stage(edges, f"{name}-0"), 0
     before = _state(edges)

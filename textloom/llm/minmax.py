@@ -167,13 +167,12 @@ def near_duplicates(
     ws.drop("bands")
     wanted = classes.join(buckets.select("node").distinct(), "node", "left_semi")
     sets = ws.stage(_sets_of(source, wanted, shingle), "sets")
-    links = _all_links(ws, buckets, sets, percent)
-    return ws.finish(_labelled(ws, rows_, classes, links))
+    return ws.finish(_labelled(ws, rows_, classes, _all_roots(ws, buckets, sets, percent)))
 
 
-def _all_links(ws: Workspace, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links that connect what the buckets hold, round by round (see the module's text)."""
-    links, compared, centres, turn = None, None, 1, 0
+def _all_roots(ws: Workspace, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``node, root`` of what confirmed links connect, round by round (see the module's text)."""
+    roots, compared, centres, turn = None, None, 1, 0
     # Nothing is known yet: every shingle may be shared, every node is its own component.
     buckets = buckets.withColumn("common", F.col("n_shingles")).withColumn("root", F.col("node"))
     while True:
@@ -183,8 +182,8 @@ def _all_links(ws: Workspace, buckets: DataFrame, sets: DataFrame, percent: int)
         tried = ws.stage(pairs, f"tried-{turn}")
         compared = tried if compared is None else compared.union(tried)
         found = ws.stage(_confirmed(tried, sets, percent), f"links-{turn}")
-        links = found if links is None else links.union(found)
-        roots = ws.stage(component_roots(links, ws, f"roots-{turn}"), f"roots-of-{turn}")
+        if roots is None or not found.isEmpty():
+            roots = ws.stage(component_roots(found, ws, f"roots-{turn}", roots), f"roots-of-{turn}")
         rest = ws.stage(_unsettled(buckets, roots, centres), f"rest-{turn}")
         # Later rounds read the sets of what is left only.
         sets = ws.stage(sets.join(rest.select("node").distinct(), "node", "left_semi"), f"sets-{turn}")
@@ -192,7 +191,7 @@ def _all_links(ws: Workspace, buckets: DataFrame, sets: DataFrame, percent: int)
         buckets = ws.stage(_linkable(rest, sets, percent), f"buckets-{turn}")
         ws.drop(f"rest-{turn - 1}", f"buckets-{turn - 1}", "sets" if turn == 1 else f"sets-{turn - 2}")
         if buckets.isEmpty():
-            return links
+            return roots
         centres *= 16
 
 
@@ -251,7 +250,7 @@ def _linkable(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _several(kept).select("band", "node", "n_shingles", "common", "root")
 
 
-def _labelled(ws: Workspace, rows: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(ws: Workspace, rows: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
     """Each document with its component's smallest id."""
     # Classes that hold rows of one id belong together (only where ids repeat).
     named = rows.where("set_key IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "set_key")
@@ -262,7 +261,8 @@ def _labelled(ws: Workspace, rows: DataFrame, classes: DataFrame, links: DataFra
         .join(nodes.select(F.col("set_key").alias("low"), F.col("node").alias("root")), "low")
         .select(F.col("node").alias("a"), F.col("root").alias("b"))
     )
-    roots = component_roots(links.union(repeated), ws, "final")
+    repeated = ws.stage(repeated, "repeated")
+    roots = known if repeated.isEmpty() else component_roots(repeated, ws, "final", known)
     joined = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
     of_class = joined.join(least, "root").select(F.col("set_key").alias("class_key"), "component_id")
