@@ -177,6 +177,16 @@ def test_near_duplicates(docs):
         assert all(r.kept == (r.doc_id == r.component_id) for r in found.collect())
 
 
+def test_parities_never_tell_more_than_the_sets_differ():
+    rng = np.random.default_rng(5)
+    for size, other in [(0, 0), (1, 0), (40, 3), (300, 60), (5000, 900)]:
+        common, left, right = (rng.integers(0, 2**64, n, dtype=np.uint64) for n in (size, other, other // 2))
+        marks = [minmax.parities(np.unique(np.concatenate([common, own]))) for own in (left, right)]
+        differ = sum(int(x).bit_count() for x in (marks[0] ^ marks[1]).view(np.uint64))
+        assert len(marks[0]) == minmax.CELLS // 64 and differ <= len(left) + len(right)
+        assert (differ == 0) == (other == 0)
+
+
 def test_near_duplicates_in_a_crowd(spark):
     """A family whose members are partly too far from each other: rounds beyond the first are needed."""
     words = [f"q{i}" for i in range(60)]

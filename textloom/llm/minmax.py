@@ -7,14 +7,18 @@ compared on their full shingle sets, and the confirmed links give the components
 
 No pairs within a bucket are listed. A round compares the members of each bucket with a
 few of them, its centres, and drops the centres and every bucket whose members have met
-in one component. Between rounds, sets that hold too many shingles found nowhere else among those that are left are
-dropped, since they can be similar enough to none of them. Rounds go on, with sixteen times the
-centres, until no bucket is left. So a group of thousands of near copies costs about one
-comparison a member, and no pair that may be linked and is not yet known to be together goes uncompared.
+in one component. Rounds go on, with ``GROWTH`` times the centres, until no bucket is left. So a group of
+thousands of near copies costs about one comparison a member, and no pair that may be linked and is not yet
+known to be together goes uncompared. From the second round on, a member carries the parity of its shingles in
+each of ``CELLS`` cells: two sets differ in at least as many shingles as parities, so most pairs that are
+not similar enough are known inside the join, without reading a set. The rest meet on full sets.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -30,6 +34,12 @@ PERCENT = 80
 PERMUTATIONS = 70
 #: Of 140 values in 28 bands, sets of similarity 0.85 share no band once in 10 million times; 0.8: once in 70 thousand.
 ROWS = 5
+#: Centres of a bucket in a round, as a multiple of those in the round before.
+GROWTH = 64
+#: Cells whose parities stand for a set in the bound on what two sets share; 64 a column, so that the
+#: bound is a short compiled expression.
+CELLS = 1024
+_MARKS = [f"mark_{i}" for i in range(CELLS // 64)]
 _CHUNK = 1 << 17
 
 
@@ -72,6 +82,12 @@ def _set_key(shingles: np.ndarray) -> bytes:
     return first.tobytes() + second.tobytes()
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether each cell of hashes holds an odd number of the shingles, as ``CELLS / 64`` numbers."""
+    cells = np.bincount((shingles >> W.U64(64 - CELLS.bit_length() + 1)).astype(np.int64), minlength=CELLS)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame, size: int, permutations: int, rows: int) -> DataFrame:
     """``doc_id, n_shingles, set_key, bands``; key and bands are null without words."""
 
@@ -92,25 +108,28 @@ def sketches(docs: DataFrame, size: int, permutations: int, rows: int) -> DataFr
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, shingles`` of the wanted classes, from one document of each."""
+    """``node, shingles`` and the columns of ``parities``, of the wanted classes, from one document of each."""
 
     def run(ids: list, texts: list) -> pa.RecordBatch:
-        keys, kept = [], []
+        keys, kept, marks = [], [], []
         for text in texts:
             shingles = shingle_set(text, size)
             keys.append(_set_key(shingles) if len(shingles) else None)
             kept.append(shingles.view(np.int64))
+            marks.append(parities(shingles))
+        columns = np.array(marks, np.int64).reshape(-1, len(_MARKS)).T
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(kept, pa.list_(pa.int64()))],
-            ["doc_id", "set_key", "shingles"],
+            [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(kept, pa.list_(pa.int64())), *map(pa.array, columns)],
+            ["doc_id", "set_key", "shingles", *_MARKS],
         )
 
     firsts = wanted.select(F.col("first_id"), F.col("set_key").alias("class_key"), "node")
     chosen = docs.join(firsts.select("first_id").distinct(), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
-    sets = map_texts(chosen, run, "doc_id bigint, set_key binary, shingles array<bigint>")
+    numbers = ", ".join(f"{mark} bigint" for mark in _MARKS)
+    sets = map_texts(chosen, run, f"doc_id bigint, set_key binary, shingles array<bigint>, {numbers}")
     same = [F.col("set_key") == F.col("class_key"), F.col("doc_id").eqNullSafe(F.col("first_id"))]
     # Rows that repeat an id and a text give the same set again: one is enough.
-    return sets.join(firsts, same).dropDuplicates(["node"]).select("node", "shingles")
+    return sets.join(firsts, same).dropDuplicates(["node"]).select("node", "shingles", *_MARKS)
 
 
 def _linked(percent: int, shared: Column, a: Column, b: Column) -> Column:
@@ -172,39 +191,34 @@ def near_duplicates(
 
 def _all_roots(ws: Workspace, buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """``node, root`` of what confirmed links connect, round by round (see the module's text)."""
-    roots, compared, centres, turn = None, None, 1, 0
-    # Nothing is known yet: every shingle may be shared, every node is its own component.
-    buckets = buckets.withColumn("common", F.col("n_shingles")).withColumn("root", F.col("node"))
+    roots, centres, turn = None, 1, 0
+    # Nothing is known yet: every node is its own component.
+    buckets = buckets.withColumn("root", F.col("node"))
     while True:
-        pairs = _pairs_with_centres(buckets, centres, percent)
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        tried = ws.stage(pairs, f"tried-{turn}")
-        compared = tried if compared is None else compared.union(tried)
+        tried = ws.stage(_pairs_with_centres(buckets, centres, percent), f"tried-{turn}")
         found = ws.stage(_confirmed(tried, sets, percent), f"links-{turn}")
         if roots is None or not found.isEmpty():
             roots = ws.stage(component_roots(found, ws, f"roots-{turn}", roots), f"roots-of-{turn}")
-        rest = ws.stage(_unsettled(buckets, roots, centres), f"rest-{turn}")
-        # Later rounds read the sets of what is left only.
-        sets = ws.stage(sets.join(rest.select("node").distinct(), "node", "left_semi"), f"sets-{turn}")
+        rest = _unsettled(buckets, roots, centres)
+        if turn == 0:
+            rest = rest.join(sets.drop("shingles"), "node")
         turn += 1
-        buckets = ws.stage(_linkable(rest, sets, percent), f"buckets-{turn}")
-        ws.drop(f"rest-{turn - 1}", f"buckets-{turn - 1}", "sets" if turn == 1 else f"sets-{turn - 2}")
+        buckets = ws.stage(rest, f"buckets-{turn}")
+        ws.drop(*[f"{name}-{turn - 1}" for name in ("tried", "links", "buckets")])
         if buckets.isEmpty():
             return roots
-        centres *= 16
+        centres *= GROWTH
 
 
 def _with_centres(buckets: DataFrame, centres: int) -> DataFrame:
-    """``band, centre`` and its columns: the ``centres`` members of each bucket with the fewest shingles of their own."""
-    given = ["n_shingles", "common", "root"]
-    order = F.col("n_shingles") - F.col("common")
+    """``band, centre`` and its columns: the ``centres`` first members of each bucket."""
+    given = [c for c in buckets.columns if c not in ("band", "node")]
     if centres == 1:
         # Minima are combined in the tasks: the first round sees every bucket.
-        low = buckets.groupBy("band").agg(F.min(F.struct(order.alias("own"), "node", *given)).alias("low"))
+        low = buckets.groupBy("band").agg(F.min(F.struct("node", *given)).alias("low"))
         chosen = low.select("band", "low.*")
     else:
-        place = F.row_number().over(Window.partitionBy("band").orderBy(order, "node"))
+        place = F.row_number().over(Window.partitionBy("band").orderBy("node"))
         chosen = buckets.withColumn("place", place).where(F.col("place") <= centres)
     return chosen.select("band", F.col("node").alias("centre"), *[F.col(c).alias(f"{c}_centre") for c in given])
 
@@ -212,42 +226,22 @@ def _with_centres(buckets: DataFrame, centres: int) -> DataFrame:
 def _pairs_with_centres(buckets: DataFrame, centres: int, percent: int) -> DataFrame:
     """Distinct ``a, b`` of a centre and a member that may be linked and are not yet in one component."""
     pairs = buckets.join(_with_centres(buckets, centres), "band").where("node <> centre AND root <> root_centre")
-    # What two sets share is at most what either shares with anyone.
-    most = F.least("common", "common_centre")
-    pairs = pairs.where(_linked(percent, most, F.col("n_shingles"), F.col("n_shingles_centre")))
+    first, second = F.col("n_shingles"), F.col("n_shingles_centre")
+    pairs = pairs.where(_linked(percent, F.least(first, second), first, second))
+    if _MARKS[0] in buckets.columns:
+        # Sets that differ in d shingles share (both sizes - d) / 2 of them.
+        differ = reduce(add, [F.bit_count(F.col(mark).bitwiseXOR(F.col(f"{mark}_centre"))) for mark in _MARKS])
+        pairs = pairs.where((100 + percent) * differ <= (100 - percent) * (first + second))
     return pairs.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
 
 
-def _several(members: DataFrame) -> DataFrame:
-    """Buckets whose members are in several components."""
-    bounds = members.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return members.join(bounds.select("band"), "band")
-
-
 def _unsettled(buckets: DataFrame, roots: DataFrame, centres: int) -> DataFrame:
     """Buckets without this round's centres, as far as their members are in several components."""
-    members = buckets.select("band", "node", "n_shingles")
     done = _with_centres(buckets, centres).select("band", F.col("centre").alias("node"))
-    left = members.join(done, ["band", "node"], "left_anti")
+    left = buckets.drop("root").join(done, ["band", "node"], "left_anti")
     labelled = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    return _several(labelled).select("band", "node", "n_shingles", "root")
-
-
-def _linkable(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Members that can still have a link, with ``common``: their shingles that another member of any bucket has too.
-
-    What a set shares is at most ``common``, and the union is smallest with the smallest set that still
-    holds all of it. A set that is too far even from that is dropped from the bucket.
-    """
-    nodes = buckets.select("node").distinct()
-    shingles = sets.join(nodes, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
-    own = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
-    counts = own.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-    known = buckets.join(counts, "node", "left").withColumn("common", F.col("n_shingles") - F.coalesce("own", F.lit(0)))
-    least = buckets.groupBy("band").agg(F.min("n_shingles").alias("least"))
-    other = F.greatest("least", "common")
-    kept = known.join(least, "band").where(_linked(percent, F.col("common"), F.col("n_shingles"), other))
-    return _several(kept).select("band", "node", "n_shingles", "common", "root")
+    bounds = labelled.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return labelled.join(bounds.select("band"), "band")
 
 
 def _labelled(ws: Workspace, rows: DataFrame, classes: DataFrame, known: DataFrame) -> DataFrame:
