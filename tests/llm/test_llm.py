@@ -280,6 +280,54 @@ def test_sensitive_spans(spark):
     assert "ann@" not in clean[0] and "[EMAIL]" in clean[0] and "[TERM]" in clean[0]
 
 
+def test_terms_of_rare_entities(spark):
+    """An entity of one or of two texts is given away by what stands beside it alone; words of many texts are not."""
+    rows = [(0, f"{prose(20)} Quixada mailed ann@corp.example.com w1 w2 {prose(20)}"), (1, "and Quixada was here " + prose(20))]
+    rows += [(2 + i, f"{prose(9)} Ozymand {'vwxyz'[i]} w3 bob@corp.example.com w4 {prose(9)}") for i in range(2)]
+    rows += [(4, prose(30) + " then Unheard w5")]
+    rows += [(10 + i, prose(60)) for i in range(200)] + [(5, rows[0][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = dict(rows)
+    found = disclosure.sensitive_spans(frame, disclosure=0.7).collect()
+    terms = {r.doc_id: {texts[r.doc_id][s.start : s.stop] for s in r.spans if s.kind == 4} for r in found}
+    assert terms.pop(0) == terms.pop(5) == {"Quixada", "mailed"} and terms.pop(1) == {"Quixada"}
+    assert all(own >= {"Ozymand"} and own <= {"Ozymand", *"vwxyz"} for own in (terms.pop(2), terms.pop(3)))
+    assert not any(terms.values()) and len(found) == len(rows)
+
+
+def test_terms_by_brute_force(spark):
+    """Every term span with the production thresholds, tasks that meet many common terms included."""
+    mails = [f"m{i}@x.org" for i in range(30)]
+    names = [f"n{i}" for i in range(2000)]
+    rows = []
+    for i in range(300):
+        words = [str(w) for w in RNG.choice(LEXICON, 30)] + [str(w) for w in RNG.choice(names, 3)]
+        if i % 5 == 0:
+            words.append(mails[min(i // 5, int(RNG.integers(0, 30)))])
+        RNG.shuffle(words)
+        rows.append((i, " ".join(words)))
+    rows.append((400, rows[5][1]))
+    apart = {t: t.split() for _, t in rows}
+    n, has, of, both = len(apart), defaultdict(set), defaultdict(set), defaultdict(set)
+    for text, whole in apart.items():
+        for w in whole:
+            (of if "@" in w else has)[w].add(text)
+        for at in (j for j, w in enumerate(whole) if "@" in w):
+            for w in whole[max(0, at - 8) : at + 9]:
+                if "@" not in w:
+                    both[whole[at], w].add(text)
+    want = set()
+    for (e, t), texts in both.items():
+        share = len(of[e]) / n
+        if np.log((len(texts) + 1.5 * share) / (len(has[t]) + 1.5) / share) >= 0.8 * -np.log(share) - 1e-9:
+            want.add(t)
+    found = disclosure.sensitive_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(2)).collect()
+    texts = dict(rows)
+    assert want and len(found) == len(rows)
+    for r in found:
+        assert [texts[r.doc_id][s.start : s.stop] for s in r.spans if s.kind == 4] == [w for w in texts[r.doc_id].split() if w in want]
+
+
 def test_url_filter(spark):
     rules = (urls.Rule(True, "com"), urls.Rule(False, "example.com", "/en/"), urls.Rule(True, "www.example.com", "/en/"), urls.Rule(False, "net", "/es/"))
     fixed = ["http://X.Example.com/en/1", "https://www.example.com/en/2?q", "http://a.org/en", None, "", "no scheme", "http://b.net/es/#x", "http://com", "http://com/"]

@@ -5,12 +5,15 @@ the term makes the entity nearly certain: its pointwise mutual information with
 the entity's own information, reaches ``DISCLOSURE``. Both come from counts over the whole corpus: in
 how many different texts the entity occurs, the term occurs, and the term stands within ``REACH``
 words of the entity. Copies of a text count once, so that repetition alone gives nothing away.
+No count is too small to be judged: ``SMOOTHING`` more texts are thought to hold the term, and the entity as often
+as any text does. One text is enough for the only one with its entity among a hundred or more; a frequent entity needs more.
 Such terms are spans of kind ``term``; a sanitised text has all spans replaced by their kind.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,8 @@ from textloom.llm.tables import Workspace, map_texts, texts_of
 
 KINDS = ("email", "ip", "card", "phone", "term")
 REACH = 8
-#: Share of an entity's information that a term may reveal, and texts that must show it.
-DISCLOSURE, SUPPORT = 0.8, 3
+#: Share of an entity's information that a term may reveal, and texts added to those that hold the term.
+DISCLOSURE, SMOOTHING = 0.8, 1.5
 
 # The base patterns.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -142,6 +145,48 @@ def _scan(docs: DataFrame) -> DataFrame:
     )
 
 
+def _frequencies(docs: DataFrame, sieve, repeated, bits: int) -> DataFrame:
+    """``term, alone, here``: of the terms that pass the sieve, in how many of a task's different texts each occurs.
+
+    ``alone`` counts texts without copies only, so that its sum over all tasks is never more than there are different
+    texts with the term; neither is the largest ``here``.
+    """
+
+    def summed(parts: list) -> tuple:
+        terms, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        return terms, *(np.bincount(place, np.concatenate([p[i] for p in parts]), len(terms)).astype(np.int64) for i in (1, 2))
+
+    def rows(found: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64)), *map(pa.array, found[1:])], ["term", "alone", "here"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: set[int] = set()
+        parts, held = [], 0
+        for batch in batches:
+            for text in batch.column("text"):
+                text = text.as_py()
+                data = W.as_bytes(text, lower=True)
+                digest = W.digest(W.word_hashes(data, *W.word_bounds(data, np.zeros(256, bool))))
+                if digest in known:
+                    continue
+                known.add(digest)
+                hashes = _terms(text, data, base_spans(text))[0]
+                terms = np.unique(hashes[in_sieve(sieve.value, hashes, bits)])
+                copied = in_sieve(repeated.value, np.array([digest], np.int64).view(W.U64), bits)[0]
+                parts.append((terms, np.full(len(terms), int(not copied)), np.ones(len(terms), np.int64)))
+                held += len(terms)
+                if held > 1 << 20:
+                    parts = [summed(parts)]
+                    held = len(parts[0][0])
+                    if held > 1 << 19:
+                        yield rows(parts[0])
+                        parts, held = [], 0
+        if held:
+            yield rows(summed(parts))
+
+    return docs.select("text").mapInArrow(run, "term bigint, alone bigint, here bigint")
+
+
 def _places(docs: DataFrame, sieve, bits: int) -> DataFrame:
     """``doc_id, digest, places``: where terms that pass the sieve stand."""
 
@@ -165,7 +210,7 @@ def _places(docs: DataFrame, sieve, bits: int) -> DataFrame:
 
 
 def sensitive_spans(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, support: int = SUPPORT
+    docs: DataFrame, key: str = "doc_id", text: str = "text", disclosure: float = DISCLOSURE, smoothing: float = SMOOTHING
 ) -> DataFrame:
     """One row per document: ``doc_id, digest, spans``; spans are ``(start, kind, stop)`` in code points, kinds as in ``KINDS``.
 
@@ -178,22 +223,32 @@ def sensitive_spans(
     source = texts_of(docs, key, text)
     scanned = ws.stage(_scan(source), "scanned")
     pairs = scanned.select("digest", F.explode("pairs").alias("p")).select("digest", "p.entity", "p.term").distinct()
-    near = ws.stage(
-        pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= support), "near"
-    )
-    sieve = spark.sparkContext.broadcast(sieve_of(near.select(F.col("term").alias("gram")), SIEVE_BITS))
-    places = ws.stage(_places(source, sieve, SIEVE_BITS), "places")
-    seen = places.select("digest", F.explode("places").alias("p")).select("digest", "p.term").distinct()
-    n_term = seen.join(near.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    n_texts = float(max(scanned.select("digest").distinct().count(), 1))
     named = scanned.select("digest", F.explode("entities").alias("entity")).distinct()
     n_entity = named.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    n_texts = scanned.select("digest").distinct().count()
-    own = F.log(F.lit(float(max(n_texts, 1))) / F.col("n_entity"))
-    shared = F.log(F.col("n_both") * F.lit(float(max(n_texts, 1))) / (F.col("n_entity") * F.col("n_term")))
-    disclosing = ws.stage(
-        near.join(n_term, "term").join(n_entity, "entity").where((own > 0) & (shared >= disclosure * own)).select("term").distinct(),
-        "disclosing",
+    # The share of texts with the entity among those with the term is (n_both + smoothing * share) / (n_term + smoothing);
+    # solved for n_term, that is how many texts a term may at most occur in and still disclose.
+    share = F.col("n_entity") / F.lit(n_texts)
+    most = (F.col("n_both") + smoothing * share) * F.pow(share, F.lit(disclosure - 1)) - smoothing + 1e-9
+    terms = ws.stage(
+        pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
+        .join(n_entity, "entity").where(share < 1).withColumn("most", most).where(F.col("n_both") <= F.col("most"))
+        .groupBy("term").agg(F.max("most").alias("most")),
+        "terms",
+    )
+    sieve = spark.sparkContext.broadcast(sieve_of(terms.select(F.col("term").alias("gram")), SIEVE_BITS))
+    copied = scanned.groupBy(F.col("digest").alias("gram")).count().where("count > 1")
+    repeated = spark.sparkContext.broadcast(sieve_of(copied, SIEVE_BITS))
+    least = _frequencies(source, sieve, repeated, SIEVE_BITS).groupBy("term").agg(
+        F.greatest(F.sum("alone"), F.max("here")).alias("least")
     )
+    # What surely occurs in too many texts is not looked up; of the rest every text is counted.
+    rare = ws.stage(terms.join(least, "term").where(F.col("least") <= F.col("most")).select("term", "most"), "rare")
+    sieve = spark.sparkContext.broadcast(sieve_of(rare.select(F.col("term").alias("gram")), SIEVE_BITS))
+    places = ws.stage(_places(source, sieve, SIEVE_BITS), "places")
+    seen = places.select("digest", F.explode("places").alias("p")).select("digest", "p.term").distinct()
+    n_term = seen.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    disclosing = ws.stage(rare.join(n_term, "term").where(F.col("n_term") <= F.col("most")).select("term"), "disclosing")
     found = (
         places.select("doc_id", "digest", F.explode("places").alias("p"))
         .select("doc_id", "digest", "p.term", "p.start", "p.stop")
