@@ -391,6 +391,21 @@ def test_classifiers(spark):
     assert scores[901] > 10 * np.median(clean) and scores[902] < 0.5  # unseen misspellings lie far from clean text
 
 
+def test_toxicity_learns_from_whole_texts():
+    """The only toxic passage of a long text lies behind its first 32 KB."""
+    texts, labels, rng = [], [], np.random.default_rng(4)
+    for i in range(60):
+        start = " ".join(60 * str(w) for w in rng.choice(LEXICON, 240))
+        assert len(start) > 1 << 15
+        texts.append(start + (" you idiot scum" * 3 if i % 2 else "") + " " + " ".join(rng.choice(LEXICON, 50)))
+        labels.append(i % 2)
+    model = toxicity.train(texts[:40], labels[:40], {0: 20, 1: 20})
+    assert np.mean([(model.score(t) >= 0.5) == y for t, y in zip(texts[40:], labels[40:], strict=True)]) > 0.9
+    bags, table = toxicity._Bags(texts[:4], 17), rng.normal(0, 1, 1 << 17)
+    whole = [toxicity.passage_means(*toxicity.subwords(t), table) for t in texts[:4]]
+    assert np.allclose(bags.means(table), np.concatenate(whole))
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     items = spark.createDataFrame([], "item_id long, text string")

@@ -27,9 +27,10 @@ SIZES = (3, 4, 5)
 SLOT_BITS = 17
 WIDTH = 8
 PASSAGE = 3
-#: Bounds of what is learned from: documents a class, and bytes of each of them.
+#: Bound of what is learned from: documents a class, each of them whole.
 PER_CLASS = 1500
-TRAINING_BYTES = 1 << 15
+#: Passages whose means are taken at once.
+BLOCK_PASSAGES = 1 << 16
 ROUNDS, EPOCHS, BATCH, RATE = 3, 3, 4096, 0.3
 FOLDS, FOLD = 5, 0
 
@@ -88,7 +89,7 @@ class _Bags:
     def __init__(self, texts: list[str], bits: int):
         slots, sizes, owner = [], [], []
         for i, text in enumerate(texts):
-            own, passage = subwords(text.encode("utf-8", "surrogatepass")[:TRAINING_BYTES], bits)
+            own, passage = subwords(text, bits)
             order = np.argsort(passage, kind="stable")
             n = np.bincount(passage) if len(own) else np.zeros(0, int)
             slots.append(own[order])
@@ -107,7 +108,11 @@ class _Bags:
     def means(self, table: np.ndarray) -> np.ndarray:
         if len(self.sizes) == 0:
             return np.zeros(0)
-        return np.add.reduceat(table[self.slots], self.starts[:-1]) / self.sizes
+        sums = []
+        for first in range(0, len(self.sizes), BLOCK_PASSAGES):
+            starts = self.starts[first : first + BLOCK_PASSAGES + 1]
+            sums.append(np.add.reduceat(table[self.slots[starts[0] : starts[-1]]], starts[:-1] - starts[0]))
+        return np.concatenate(sums) / self.sizes
 
 
 def fit_line(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -206,15 +211,15 @@ def toxicity(
 ) -> DataFrame:
     """One row per document: ``doc_id, held_out, score, predicted``.
 
-    Labels are learned from rows outside the fold only, from at most ``per_class`` of each class and
-    ``TRAINING_BYTES`` of each text; every document is scored as a whole. Null and empty texts have no
+    Labels are learned from rows outside the fold only, from at most ``per_class`` of each class; every
+    document is learned from, calibrated with and scored as a whole. Null and empty texts have no
     n-grams and score what the bias gives. Without labels of both classes the score is the share of
     toxic rows for all. Null ids are scored and never held out. Repeated rows score alike.
     """
     source = texts_of(docs, key, text)
     sample, prior = labelled_sample(source, labels, label, folds, fold, per_class)
-    # Cut on the executors already: the driver holds at most 2 * per_class * TRAINING_BYTES characters.
-    rows = sample.select("doc_id", F.left("text", F.lit(TRAINING_BYTES)).alias("text"), "label").toPandas()
+    # Whole texts are a twelfth of their n-grams' numbers: they go to the driver, which makes the bags.
+    rows = sample.select("doc_id", "text", "label").toPandas()
     rows = rows.sort_values(["doc_id", "label", "text"])
     mixed = np.random.Generator(np.random.PCG64(5)).permutation(len(rows))
     model = train(rows["text"].iloc[mixed].tolist(), rows["label"].iloc[mixed].tolist(), prior)
