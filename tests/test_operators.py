@@ -201,6 +201,17 @@ def test_encoding(spark, broadcast):
     assert ends["input_ids"] == [0, 0]
 
 
+def test_encoders_agree_on_repeated_and_null_keys(spark):
+    rows = [(1, "a b"), (1, "c"), (1, "a b"), (None, "b c a"), (None, None), (2, "")]
+    df = spark.createDataFrame(rows, "chunk_id long, text string").repartition(3)
+    vocabulary = spark.createDataFrame([("a", 7), ("b", 8), (" b", 9), ("c", 10)], "token string, id int")
+    ways = [
+        sorted(((r.chunk_id, r.text, r.input_ids) for r in encode.encode_tokens(df, vocabulary, ["chunk_id"], broadcast=b).collect()), key=repr)
+        for b in (True, False)
+    ]
+    assert ways[0] == ways[1] and len(ways[0]) == len(rows) and all(ids for _, text, ids in ways[1] if text)
+
+
 def test_encode_dataset(spark):
     vocabulary = vocab.build_vocabulary(texts(spark), 100).persist()
     df = texts(spark).withColumn("kept", F.lit("k"))

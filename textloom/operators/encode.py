@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from textloom.functions.tokens import pad_right, tokenize, truncate_ids
 from textloom.operators.batches import pad_to_longest
 from textloom.operators.vocabulary import DEFAULT_SPEC, TokenizerSpec
+from textloom.sources.staging import stage
 
 # A vocabulary within these bounds is sent to every executor; a larger one is joined.
 MAX_SENT_TOKENS = 1_000_000
@@ -54,24 +55,26 @@ def encode_tokens(
     text_column: str = "text",
     broadcast: bool | None = None,
 ) -> DataFrame:
-    """Add ``input_ids``. ``keys`` name a row; they are used only when the vocabulary is joined.
+    """Add ``input_ids``. Every row is encoded on its own, also where ``keys`` repeat or are null.
 
     The usual vocabulary is bounded and looked up in Arrow batches, so no row moves.
-    A vocabulary beyond the bounds is joined to the exploded tokens instead.
+    A vocabulary beyond the bounds is joined to the exploded tokens instead; the rows are
+    numbered and staged first, so that a lost executor cannot change a row's number.
     """
     tokens = tokenize(F.coalesce(F.col(text_column), F.lit("")))
     if fits_broadcast(vocabulary) if broadcast is None else broadcast:
         ids = _lookup(vocabulary, spec.unk_id)(tokens)
         return df.withColumn("input_ids", _with_ends(ids, spec))
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "encode")
     joined = (
-        df.select(*keys, F.posexplode(tokens).alias("_pos", "token"))
+        rows.select("_row", F.posexplode(tokens).alias("_pos", "token"))
         .join(vocabulary.select("token", "id"), "token", "left")
-        .groupBy(*keys)
+        .groupBy("_row")
         .agg(F.collect_list(F.struct("_pos", F.coalesce("id", F.lit(spec.unk_id)).alias("id"))).alias("_ids"))
-        .select(*keys, F.transform(F.array_sort("_ids"), lambda t: t["id"]).alias("input_ids"))
+        .select("_row", F.transform(F.array_sort("_ids"), lambda t: t["id"]).alias("input_ids"))
     )
     none = F.array().cast("array<int>")
-    return df.join(joined, list(keys), "left").withColumn(
+    return rows.join(joined, "_row", "left").drop("_row").withColumn(
         "input_ids", _with_ends(F.coalesce("input_ids", none), spec)
     )
 
