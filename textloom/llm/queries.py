@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
-    disclosure, minmax, oracles, packing, quality, recipes, substrings, token_files, toxicity, urls, winnow,
+    disclosure, minmax, oracles, packing, quality, recipes, repair, substrings, token_files, toxicity, urls, winnow,
 )
 from textloom.llm.tables import table
 
@@ -101,3 +101,9 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
+@query("op12_conversation_structure_repair")
+def conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair_conversations(repair.damaged(conversations), conversations.select("conv_id"))
