@@ -128,3 +128,37 @@ SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce
 FROM (SELECT DISTINCT g, conv_id FROM given) LEFT JOIN counted USING (g) LEFT JOIN ended USING (g)
     LEFT JOIN (SELECT g, v0 FROM ahead WHERE i = 0) USING (g)
 """
+
+SQL["op11_source_divergence_audit"] = r"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t, row_number() OVER () AS d FROM documents
+), w AS (
+    SELECT lang, source, d, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS (
+    SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT d) >= 3
+), langs AS (
+    SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM d
+), counts AS (
+    SELECT g.lang, g.source, k.term, k.total, coalesce(c, 0) AS c FROM groups g JOIN kept k USING (lang)
+    LEFT JOIN (SELECT lang, source, term, count(*) AS c FROM w GROUP BY ALL) USING (lang, source, term)
+), shares AS (
+    SELECT lang, source, term, c, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER (PARTITION BY lang, source) + v) AS p,
+        1 + (1000000000::HUGEINT * (total + 1)) // (n + v) AS q
+    FROM counts JOIN langs USING (lang)
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE c > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+WHERE part = 'pair' OR rank <= 200
+"""

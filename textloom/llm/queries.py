@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
-    disclosure, minmax, oracles, packing, quality, recipes, repair, substrings, token_files, toxicity, urls, winnow,
+    disclosure, divergence, minmax, oracles, packing, quality, recipes, repair, substrings, token_files, toxicity, urls, winnow,
 )
 from textloom.llm.tables import table
 
@@ -107,3 +107,8 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return repair.repair_conversations(repair.damaged(conversations), conversations.select("conv_id"))
+
+
+@query("op11_source_divergence_audit")
+def source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
