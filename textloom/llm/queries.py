@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.llm import (
-    disclosure, divergence, minmax, oracles, packing, quality, recipes, repair, substrings, token_files, toxicity, urls, winnow,
+    disclosure, divergence, minmax, neighbours, oracles, packing, quality, recipes, repair, substrings, token_files, toxicity, urls, winnow,
 )
 from textloom.llm.tables import table
 
@@ -112,3 +112,8 @@ def conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame
 @query("op11_source_divergence_audit")
 def source_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_approximate_nearest_neighbours")
+def approximate_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
