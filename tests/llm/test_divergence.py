@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from textloom.llm import divergence as D
@@ -69,6 +70,27 @@ def test_equals_plain_counting(spark):
     assert rows_of(D.divergence(frame, least=2, top=3)) == plain(rows, 2, 3)
 
 
+def test_merge_in_small_portions(spark, monkeypatch):
+    """Many runs of short slices, and terms summed as soon as they are complete."""
+    monkeypatch.setattr(D, "SLICE_TERMS", 3)
+    rows = made(120, 6)
+    blocks = [D._Language() for _ in range(6)]
+    wanted, documents = defaultdict(Counter), Counter()
+    for i, text, _, source in rows:
+        blocks[i % 6].add(source or "", (text or "").encode())
+        words = [w for part in D.words_of((text or "").encode()) for w in part]
+        documents.update(set(words))
+        wanted[source or ""].update(words)
+    parts = [D._slices("en", block, run, 2) for run, block in enumerate(blocks)]
+    slices = sorted((r for part in parts for r in part.to_pylist()), key=lambda r: (r["shard"], r["lang"], r["first"], r["run"]))
+    batches = [pa.RecordBatch.from_pylist(slices[i : i + 4], schema=parts[0].schema) for i in range(0, len(slices), 4)]
+    got = [r for out in D.merged(batches, 2, 5) for r in out.to_pylist()]
+    assert len(got) > 5 and sorted(r["term"].encode() for r in got) == sorted(t for t, n in documents.items() if n >= 2)
+    for r in got:
+        counts = {s: own[r["term"].encode()] for s, own in wanted.items() if own[r["term"].encode()]}
+        assert {p["source"]: p["count"] for p in r["postings"]} == counts and r["total"] == sum(counts.values())
+
+
 def test_groups_without_terms(spark):
     rows = [(1, "", "en", "a"), (2, None, "en", "b"), (3, "one two", "en", "c"), (4, "12 34", "fr", "a"), (5, "one", None, None)]
     rows += [(5, "one", None, None)] * 2

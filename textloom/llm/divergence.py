@@ -1,8 +1,7 @@
 """How far the sources of a language drift apart in their terms: single-pass in-memory indexing, then pair corrections.
 
-A task reads its documents once and builds postings in memory: per language the documents of each term, per source its
-occurrences. When memory is full the block is spilled as a run: its terms in order, cut into hash shards and these into
-short slices. A shard's slices arrive ordered by their first term, so merging them with a heap holds one slice a run,
+A task reads its documents once and builds postings in memory: per language the terms of each document with their counts. When memory is full the block is spilled as a run: its terms in order, cut into hash shards and these into
+short slices. A shard's slices arrive ordered by their first term and are merged with a heap, which holds a few slices a run,
 whatever the shard's size. Out come, term by term, the postings of the whole corpus.
 
 A source that lacks a term gives it the same share as every other term it lacks. So the divergence of two sources over all
@@ -15,11 +14,13 @@ from __future__ import annotations
 
 import heapq
 import zlib
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,8 +30,8 @@ from textloom.llm.tables import Workspace
 LEAST_DOCUMENTS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
-#: Postings a task holds before it spills a run.
-BLOCK_POSTINGS = 1 << 19
+#: Terms of documents a task holds before it spills a run, and postings it holds before it sums what is complete.
+BLOCK_POSTINGS, MERGED_POSTINGS = 3 << 20, 1 << 18
 #: Terms in a slice of a run.
 SLICE_TERMS = 1 << 10
 #: Bytes of a text that are cut into words at once.
@@ -63,91 +64,88 @@ def words_of(text: bytes) -> Iterator[list[bytes]]:
         start = stop
 
 
-class Block:
-    """Postings in memory: per language how many documents have a term, per source how often it has it."""
+class _Language:
+    """A block's documents in one language: each of their terms by number, source and count."""
 
     def __init__(self) -> None:
-        self.documents: dict[str, Counter] = {}
-        self.counts: dict[str, dict[str, Counter]] = {}
-        self.held = 0
-
-    def add(self, lang: str, source: str, text: bytes) -> None:
-        counts = self.counts.setdefault(lang, {}).setdefault(source, Counter())
-        documents = self.documents.setdefault(lang, Counter())
-        before, distinct = len(counts) + len(documents), set()
-        for words in words_of(text):
-            counts.update(words)
-            distinct.update(words)
-        documents.update(distinct)
-        self.held += len(counts) + len(documents) - before
-
-    def slices(self, run: int, shards: int) -> Iterator[dict]:
-        """The run: for each language and shard its terms in order, cut into slices."""
-        for lang, documents in sorted(self.documents.items()):
-            terms = sorted(documents)
-            if not terms:
-                continue
-            number = {term: i for i, term in enumerate(terms)}
-            sources = sorted(s for s, own in self.counts[lang].items() if own)
-            place = np.concatenate([np.fromiter(map(number.__getitem__, self.counts[lang][s]), np.int64) for s in sources])
-            source = np.repeat(np.arange(len(sources)), [len(self.counts[lang][s]) for s in sources])
-            count = np.concatenate([np.fromiter(self.counts[lang][s].values(), np.int64) for s in sources])
-            order = np.argsort(place, kind="stable")
-            place, source, count = place[order], source[order], count[order]
-            firsts = np.searchsorted(place, np.arange(len(terms) + 1))
-            shard = np.fromiter((zlib.crc32(term) % shards for term in terms), np.int64, len(terms))
-            by_shard = np.argsort(shard, kind="stable")
-            bounds = np.flatnonzero(np.diff(shard[by_shard], prepend=-1, append=-1))
-            for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                for begin in range(low, high, SLICE_TERMS):
-                    own = by_shard[begin : min(begin + SLICE_TERMS, high)]
-                    sizes = firsts[own + 1] - firsts[own]
-                    taken = np.repeat(firsts[own], sizes) + _within(sizes)
-                    names = [terms[i] for i in own.tolist()]
-                    yield {
-                        "shard": int(shard[own[0]]), "lang": lang, "first": names[0], "run": run, "sources": sources,
-                        "terms": names, "documents": [documents[t] for t in names], "sizes": sizes.tolist(),
-                        "source": source[taken].tolist(), "count": count[taken].tolist(),
-                    }
-
-
-def _within(sizes: np.ndarray) -> np.ndarray:
-    """0, 1, ... for each of the sizes, one behind the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
-
-
-_SLICE = {
-    "shard": pa.int32(), "lang": pa.string(), "first": pa.binary(), "run": pa.int64(), "sources": pa.list_(pa.string()),
-    "terms": pa.list_(pa.binary()), "documents": pa.list_(pa.int64()), "sizes": pa.list_(pa.int32()),
-    "source": pa.list_(pa.int32()), "count": pa.list_(pa.int64()),
-}
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.sources: defaultdict[str, int] = defaultdict(count().__next__)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def add(self, source: str, text: bytes) -> int:
+        portions = words_of(text)
+        own = Counter(next(portions, ()))
+        for words in portions:
+            own.update(words)
+        numbers = np.fromiter(map(self.numbers.__getitem__, own), np.int32, len(own))
+        counts = np.fromiter(own.values(), np.int64, len(own))
+        self.parts.append((numbers, np.full(len(own), self.sources[source], np.int32), counts))
+        return len(own)
+
+
+def _lists(values: pa.Array, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)
+
+
+def _slices(lang: str, block: _Language, run: int, shards: int) -> pa.RecordBatch | None:
+    """A language's part of a run: per shard its terms in order, cut into slices."""
+    if not block.numbers:
+        return None
+    number, source, times = (np.concatenate([part[i] for part in block.parts]) for i in range(3))
+    documents = np.bincount(number, minlength=len(block.numbers))
+    terms = pa.array(list(block.numbers), pa.binary())
+    rank = np.empty(len(terms), np.int64)
+    rank[pc.sort_indices(terms).to_numpy()] = np.arange(len(terms))
+    shard = np.fromiter((zlib.crc32(term) % shards for term in block.numbers), np.int64, len(terms))
+    order = np.lexsort((rank, shard))
+    place = np.empty(len(terms), np.int64)
+    place[order] = np.arange(len(terms))
+    # Occurrences of a term in a source, over all documents, in the order of the terms.
+    key = place[number] * len(block.sources) + source
+    by_key = np.argsort(key, kind="stable")
+    key = key[by_key]
+    firsts = np.flatnonzero(np.diff(key, prepend=-1))
+    key, times = key[firsts], np.add.reduceat(times[by_key], firsts)
+    sizes = np.bincount(key // len(block.sources), minlength=len(terms))
+    starts = np.flatnonzero(np.diff(shard[order], prepend=-1))
+    begins = np.concatenate([np.arange(low, high, SLICE_TERMS) for low, high in zip(starts, [*starts[1:], len(terms)], strict=True)])
+    ends = np.append(begins[1:], len(terms))
+    terms, postings = terms.take(pa.array(order)), np.cumsum(sizes)
+    names = pa.array(list(block.sources) * len(begins), pa.string())
+    columns = {
+        "shard": pa.array(shard[order[begins]].astype(np.int32)), "lang": pa.array([lang] * len(begins), pa.string()),
+        "first": terms.take(pa.array(begins)), "run": pa.array(np.full(len(begins), run)),
+        "sources": _lists(names, np.arange(1, len(begins) + 1) * len(block.sources)), "terms": _lists(terms, ends),
+        "documents": _lists(pa.array(documents[order]), ends), "sizes": _lists(pa.array(sizes.astype(np.int32)), ends),
+        "source": _lists(pa.array((key % len(block.sources)).astype(np.int32)), postings[ends - 1]),
+        "count": _lists(pa.array(times), postings[ends - 1]),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def spilled_runs(docs: DataFrame, shards: int, block_postings: int = BLOCK_POSTINGS) -> DataFrame:
     """Slices of the runs of all tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, runs = Block(), TaskContext.get().partitionId() << 32
+        block: dict[str, _Language] = {}
+        number, held = TaskContext.get().partitionId() << 32, 0
 
         def spilled() -> Iterator[pa.RecordBatch]:
-            rows: list[dict] = []
-            for row in block.slices(runs, shards):
-                rows.append(row)
-                if len(rows) == 64:
-                    yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(list(_SLICE.items())))
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema=pa.schema(list(_SLICE.items())))
+            for lang, own in sorted(block.items()):
+                out = _slices(lang, own, number, shards)
+                for start in range(0, out.num_rows if out else 0, 32):
+                    yield out.slice(start, 32)
 
         for batch in batches:
             langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
             texts = batch.column("text").cast(pa.binary())
             for lang, source, text in zip(langs, sources, texts, strict=True):
-                block.add(lang, source, text.as_py())
-                if block.held >= block_postings:
+                if lang not in block:
+                    block[lang] = _Language()
+                held += block[lang].add(source, text.as_py())
+                if held >= block_postings:
                     yield from spilled()
-                    block, runs = Block(), runs + 1
+                    block, number, held = {}, number + 1, 0
         yield from spilled()
 
     return docs.select("lang", "source", "text").mapInArrow(
@@ -157,73 +155,116 @@ def spilled_runs(docs: DataFrame, shards: int, block_postings: int = BLOCK_POSTI
     )
 
 
-class _Cursor:
-    """A slice being read; slices of one run do not overlap."""
-
-    __slots__ = ("terms", "documents", "ends", "source", "count", "sources", "at")
+def _within(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each of the sizes, one behind the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
 
-    def __init__(self, row: dict):
-        self.terms, self.documents, self.sources = row["terms"], row["documents"], row["sources"]
-        self.ends, self.source, self.count, self.at = [0, *np.cumsum(row["sizes"]).tolist()], row["source"], row["count"], 0
 
+class _Slice:
+    """A slice of a run, read up to ``at``."""
 
-def merged(slices: Iterable[dict]) -> Iterator[tuple[str, bytes, int, dict[str, int]]]:
-    """``lang, term, documents, occurrences by source`` of slices ordered by shard, language and first term."""
-    heap: list[tuple[bytes, int, _Cursor]] = []
-    opened, at = 0, None
+    def __init__(self, batch: pa.RecordBatch, row: int, sources: Callable[[str], int]):
+        own = {name: batch.column(name)[row].values for name in ("sources", "terms", "documents", "sizes", "source", "count")}
+        self.terms, self.documents, self.sizes = own["terms"], own["documents"].to_numpy(), own["sizes"].to_numpy()
+        known = np.fromiter(map(sources, own["sources"].to_pylist()), np.int64, len(own["sources"]))
+        self.source, self.count = known[own["source"].to_numpy()], own["count"].to_numpy()
+        self.ends, self.at = np.concatenate([[0], np.cumsum(self.sizes)]), 0
 
-    def lowest() -> tuple[bytes, int, dict[str, int]]:
-        term, documents, counts = heap[0][0], 0, {}
-        while heap and heap[0][0] == term:
-            _, number, cursor = heap[0]
-            i = cursor.at
-            documents += cursor.documents[i]
-            for j in range(cursor.ends[i], cursor.ends[i + 1]):
-                source = cursor.sources[cursor.source[j]]
-                counts[source] = counts.get(source, 0) + cursor.count[j]
-            cursor.at = i + 1
-            if cursor.at < len(cursor.terms):
-                heapq.heapreplace(heap, (cursor.terms[cursor.at], number, cursor))
+    def upto(self, bound: bytes | None) -> int:
+        """Place of the first term that is not below ``bound``."""
+        low, high = self.at, len(self.terms)
+        while bound is not None and low < high:
+            middle = (low + high) // 2
+            if self.terms[middle].as_py() < bound:
+                low = middle + 1
             else:
-                heapq.heappop(heap)
-        return term, documents, counts
-
-    for row in slices:
-        group = (row["shard"], row["lang"])
-        # Terms below a slice's first are complete; so is all of another shard or language.
-        while heap and (group != at or heap[0][0] < row["first"]):
-            yield at[1], *lowest()
-        at, opened = group, opened + 1
-        heapq.heappush(heap, (row["first"], opened, _Cursor(row)))
-    while heap:
-        yield at[1], *lowest()
+                high = middle
+        return high
+
+    def take(self, stop: int) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        begin, self.at = self.at, stop
+        low, high = self.ends[begin], self.ends[stop]
+        return (
+            self.terms.slice(begin, stop - begin), self.documents[begin:stop], self.sizes[begin:stop],
+            self.source[low:high], self.count[low:high],
+        )
 
 
-def kept_terms(runs: DataFrame, shards: int, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """``lang, term, total, postings`` of the terms that stand in at least ``least`` documents of their language."""
-    columns = {"lang": pa.string(), "term": pa.string(), "total": pa.int64()}
-    posting = pa.list_(pa.struct([("source", pa.string()), ("count", pa.int64())]))
+def _summed(parts: list[tuple], least: int, names: list[str], lang: str) -> pa.RecordBatch:
+    """``lang, term, total, postings`` of the terms of several slices, ordered by term."""
+    terms = pa.concat_arrays([p[0] for p in parts]).dictionary_encode()
+    code = terms.indices.to_numpy()
+    documents = np.bincount(code, np.concatenate([p[1] for p in parts])).astype(np.int64)
+    key = np.repeat(code, np.concatenate([p[2] for p in parts])).astype(np.int64) * len(names) + np.concatenate([p[3] for p in parts])
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    firsts = np.flatnonzero(np.diff(key, prepend=-1))
+    times = np.add.reduceat(np.concatenate([p[4] for p in parts])[order], firsts)
+    code, source = key[firsts] // len(names), key[firsts] % len(names)
+    good = documents[code] >= least
+    code, source, times = code[good], source[good], times[good]
+    starts = np.flatnonzero(np.diff(code, prepend=-1))
+    values = pa.StructArray.from_arrays([pa.array(names, pa.string()).take(pa.array(source)), pa.array(times)], ["source", "count"])
+    total = np.add.reduceat(times, starts) if len(starts) else np.empty(0, np.int64)
+    return pa.RecordBatch.from_pydict(
+        {
+            "lang": pa.array([lang] * len(starts), pa.string()), "term": pc.cast(
+                terms.dictionary.take(pa.array(code[starts])), options=pc.CastOptions(pa.string(), allow_invalid_utf8=True)
+            ),
+            "total": pa.array(total), "postings": _lists(values, np.append(starts, len(code))[1:]),
+        }
+    )
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield batch.slice(i, 1).to_pylist()[0]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[dict] = []
-        schema = pa.schema([*columns.items(), ("postings", posting)])
-        for lang, term, documents, counts in merged(rows(batches)):
-            if documents >= least:
-                postings = [{"source": s, "count": n} for s, n in counts.items()]
-                out.append({"lang": lang, "term": term.decode("utf-8", "replace"), "total": sum(counts.values()), "postings": postings})
-            if len(out) == 4096:
-                yield pa.RecordBatch.from_pylist(out, schema=schema)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+def merged(batches: Iterable[pa.RecordBatch], least: int, at_once: int = MERGED_POSTINGS) -> Iterator[pa.RecordBatch]:
+    """Terms with their postings, of slices ordered by shard, language and first term.
 
+    The heap holds the open slices by the term that each is at. Terms below the first of the slice that comes next are
+    complete; when enough postings are held, they are taken from all slices that have such terms.
+    """
+    heap: list[tuple[bytes, int, _Slice]] = []
+    sources: defaultdict[str, int] = defaultdict(count().__next__)
+    held = opened = 0
+    at = None
+
+    def complete(bound: bytes | None) -> pa.RecordBatch:
+        nonlocal held
+        parts, rest = [], []
+        while heap and (bound is None or heap[0][0] < bound):
+            _, number, own = heapq.heappop(heap)
+            parts.append(own.take(own.upto(bound)))
+            held -= len(parts[-1][3])
+            if own.at < len(own.terms):
+                rest.append((own.terms[own.at].as_py(), number, own))
+        for item in rest:
+            heapq.heappush(heap, item)
+        return _summed(parts, least, list(sources), at[1])
+
+    for batch in batches:
+        groups = list(zip(batch.column("shard").to_pylist(), batch.column("lang").to_pylist(), strict=True))
+        for row, (group, first) in enumerate(zip(groups, batch.column("first").to_pylist(), strict=True)):
+            if heap and group != at:
+                yield complete(None)
+            elif held >= at_once and heap[0][0] < first:
+                yield complete(first)
+            if group != at:
+                sources.clear()
+                sources.default_factory = count().__next__
+            at, opened = group, opened + 1
+            own = _Slice(batch, row, sources.__getitem__)
+            held += len(own.count)
+            heapq.heappush(heap, (first, opened, own))
+    if heap:
+        yield complete(None)
+
+
+def kept_terms(runs: DataFrame, shards: int, least: int = LEAST_DOCUMENTS, at_once: int = MERGED_POSTINGS) -> DataFrame:
+    """``lang, term, total, postings`` of the terms that stand in at least ``least`` documents of their language."""
     ordered = runs.repartition(shards, "shard").sortWithinPartitions("shard", "lang", "first", "run")
-    return ordered.mapInArrow(run, "lang string, term string, total bigint, postings array<struct<source:string,count:bigint>>")
+    return ordered.mapInArrow(
+        lambda batches: merged(batches, least, at_once), "lang string, term string, total bigint, postings array<struct<source:string,count:bigint>>"
+    )
 
 
 def _share(count: Column, total: Column) -> Column:
@@ -328,43 +369,40 @@ def divergence(
     runs = ws.stage(spilled_runs(given, shards, block_postings), "runs")
     terms = ws.stage(kept_terms(runs, shards, least), "terms")
     ws.drop("runs")
-    languages = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("n"))
+    languages = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("total").alias("n_lang"))
     postings = terms.select("lang", "term", "total", F.inline("postings"))
     sums = postings.groupBy("lang", "source").agg(F.sum("count").alias("n"))
     groups = ws.stage(
         given.select("lang", "source").distinct().join(sums, ["lang", "source"], "left")
-        .join(languages.select("lang", "v"), "lang", "left")
+        .join(languages, "lang", "left")
         .select(
             "lang", "source", F.monotonically_increasing_id().alias("number"),
-            F.coalesce("n", F.lit(0).cast("bigint")).alias("n"), F.coalesce("v", F.lit(0).cast("bigint")).alias("v"),
+            *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n", "v", "n_lang")],
         )
         .withColumn("p0", F.when(F.col("v") > 0, _share(F.lit(0).cast("bigint"), F.col("n") + F.col("v"))).otherwise(1)),
         "groups",
     )
     shares = ws.stage(
         postings.join(groups, ["lang", "source"]).select(
-            "lang", "term", "total", "number", _share(F.col("count"), F.col("n") + F.col("v")).alias("p"), "p0"
+            "lang", "term", "number", _share(F.col("count"), F.col("n") + F.col("v")).alias("p"), "p0",
+            _share(F.col("total"), F.col("n_lang") + F.col("v")).alias("q"),
         ),
         "shares",
     )
-    return ws.finish(_term_part(shares, groups, languages, top).unionByName(_pair_part(ws, shares, groups)))
+    return ws.finish(_term_part(shares, groups, top).unionByName(_pair_part(ws, shares, groups)))
 
 
-def _ranked(rows: DataFrame, most: int | None = None) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
-    ranked = rows.withColumn("rank", place)
-    return ranked if most is None else ranked.where(F.col("rank") <= most)
+def _place(group: str) -> Column:
+    return F.row_number().over(Window.partitionBy(group).orderBy(F.desc("value"), "item")).alias("rank")
 
 
-def _term_part(shares: DataFrame, groups: DataFrame, languages: DataFrame, top: int) -> DataFrame:
-    of_language = _share(F.col("total"), F.col("n") + F.col("v"))
-    above = (
-        shares.join(languages, "lang").withColumn("q", of_language).where("p > q")
-        .join(groups.select("number", "source"), "number")
-        .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), _drift(F.col("p"), F.col("q")).alias("value"))
-    )
+def _term_part(shares: DataFrame, groups: DataFrame, top: int) -> DataFrame:
+    above = shares.where("p > q").select("number", F.col("term").alias("item"), _drift(F.col("p"), F.col("q")).alias("value"))
     # Each task keeps its own first ones before the rest is ranked, so a source of any size sends few rows.
-    return _ranked(above, top)
+    first = above.select("*", _place("number")).where(F.col("rank") <= top)
+    return first.join(groups.select("number", "lang", "source"), "number").select(
+        "lang", "source", F.lit("term").alias("part"), "item", "value", "rank"
+    )
 
 
 def _pair_part(ws: Workspace, shares: DataFrame, groups: DataFrame) -> DataFrame:
@@ -396,6 +434,5 @@ def _pair_part(ws: Workspace, shares: DataFrame, groups: DataFrame) -> DataFrame
     )
     base = _wide(F.col("v")) * _wide(_drift(F.col("pa"), F.col("pb")))
     value = (base + F.coalesce("more", F.lit(0).cast("decimal(38,0)"))).cast("bigint")
-    return _ranked(
-        pairs.join(more, ["a", "b"], "left").select("lang", "source", F.lit("pair").alias("part"), "item", value.alias("value"))
-    )
+    valued = pairs.join(more, ["a", "b"], "left").select("lang", "source", "a", "item", value.alias("value"))
+    return valued.select("lang", "source", F.lit("pair").alias("part"), "item", "value", _place("a"))
