@@ -555,10 +555,27 @@ def encode_dataset(spark, sf_dir):
 def encode_joined(spark, sf_dir):
     """The way taken by a vocabulary beyond the broadcast bounds."""
     table, vocabulary = _chunk_vocabulary(spark, sf_dir)
-    rows = encode.encode_tokens(table, vocabulary, ("chunk_id",), broadcast=False)
+    rows = encode.encode_tokens(table, vocabulary, ("chunk_id",), broadcast=False, head_tokens=500, keep_text=False)
     return rows.select("chunk_id", listed(tokens.truncate_ids(F.col("input_ids"), 1024)).alias("input_ids"))
 
 
+@query(
+    "encode_both_ways",
+    f"SELECT doc_id, way, {S.joined('ids')} AS input_ids FROM (SELECT doc_id, "
+    f"list_transform({S.tokens('text')}, lambda t: coalesce(m[t], {SPEC.unk_id})) AS ids FROM docs, "
+    "(SELECT map(list(token), list(id)) AS m FROM vocab)) CROSS JOIN (SELECT unnest(['sent', 'joined']) AS way)",
+)
+def encode_both_ways(spark, sf_dir):
+    """Keys that repeat or are null, and a column with a name that the encoder would like to use."""
+    docs = V.documents(spark, sf_dir).select("doc_id", F.expr("nullif(doc_id % 7, 0)").alias("key"), F.lit(1).alias("_row"), "text")
+    vocabulary = staging.stage(vocab.build_vocabulary(docs, VOCAB_SIZE), "vocabulary")
+    ways = [
+        encode.encode_tokens(docs, vocabulary, ("key",), broadcast=sent, head_tokens=100).withColumn("way", F.lit(way))
+        for way, sent in (("sent", True), ("joined", False))
+    ]
+    return ways[0].unionByName(ways[1]).where("_row = 1").select("doc_id", "way", listed("input_ids").alias("input_ids"))
+
+
 @query("truncate_ids", f"SELECT chunk_id, {S.joined('ids[:100]')} AS input_ids FROM chunk_ids")
 def truncate_ids(spark, sf_dir):
     table, vocabulary = _chunk_vocabulary(spark, sf_dir)
