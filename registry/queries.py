@@ -878,9 +878,15 @@ def materialize_stage(spark, sf_dir):
     listing = spark.read.format("binaryFile").load(f"{sf_dir}/documents.parquet").select("path", "length")
     fingerprint = staging.stage_fingerprint(listing, {"columns": rows.columns})
     path = staging.stage_path(staging.new_folder(spark, "cache"), "documents", fingerprint, "train")
-    staging.materialize_stage(spark, path, lambda: rows)
+
+    def first():
+        # Another writer of the same table finishes while this one still builds: one whole table is left.
+        staging.materialize_stage(spark, path, lambda: rows)
+        return rows.limit(0)
+
+    _, late = staging.materialize_stage(spark, path, first)
     kept, used = staging.materialize_stage(spark, path, lambda: rows.limit(0))
-    return kept.withColumn("kept", F.lit(used))
+    return kept.withColumn("kept", F.lit(used and late))
 
 
 _NO_OUTPUT = jobs.CorpusOptions(output_dir=None)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators.chunk import assign_chunk_ids, staged_chunks
-from textloom.sources.staging import stage
+from textloom.sources.staging import Scratch, stage
 from textloom.sources.tables import read_documents
 
 START_LINE = "*** START OF THE PROJECT GUTENBERG EBOOK X ***"
@@ -95,6 +95,7 @@ def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def token_chunks(spark: SparkSession, sf_dir: str, size: int = 512, overlap: int = 50) -> DataFrame:
     """The documents' chunks by tokens with their ids, staged."""
-    rows = staged_chunks(documents(spark, sf_dir), size, overlap)
-    table = assign_chunk_ids(rows).select("chunk_id", "source_file", "text", "text_length", "token_count")
-    return stage(table, "chunk-table")
+    with Scratch(spark):
+        rows = staged_chunks(documents(spark, sf_dir), size, overlap)
+        table = assign_chunk_ids(rows).select("chunk_id", "source_file", "text", "text_length", "token_count")
+        return stage(table, "chunk-table", outer=True)

@@ -237,3 +237,55 @@ def test_fingerprint_sees_an_edit_of_equal_length(spark):
     rows = [("a", 3, "2024-01-01"), ("a", 3, "2024-01-02")]
     marks = {staging.stage_fingerprint(spark.createDataFrame([r], "path string, length long, modificationTime string"), {}) for r in rows}
     assert len(marks) == 2
+
+
+def test_scratch_owns_its_tables(spark):
+    with staging.Scratch(spark) as outside:
+        with staging.Scratch(spark):
+            inner = staging.stage(spark.range(5).toDF("n"), "inner").inputFiles()[0]
+            kept = staging.stage(spark.range(7).toDF("n"), "kept", outer=True)
+            assert staging.path_exists(spark, inner)
+        assert not staging.path_exists(spark, inner) and kept.count() == 7
+        outside.hold()
+    assert kept.count() == 7
+    path = kept.inputFiles()[0]
+    outside.drop()
+    assert not staging.path_exists(spark, path)
+    with pytest.raises(ValueError), staging.Scratch(spark) as failed:
+        failed.hold()
+        path = staging.stage(spark.range(1).toDF("n"), "failed").inputFiles()[0]
+        raise ValueError
+    assert not staging.path_exists(spark, path)
+
+
+def test_folders_of_dead_applications(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "shared_dir", lambda _: str(tmp_path))
+    other = f"{staging.shared_dir(spark)}/textloom/local-gone"
+    staging.write_text(spark, f"{other}/_lease", "")
+    staging.write_text(spark, f"{other}/rows-1/part", "x")
+    own = staging.new_folder(spark, "own")
+    assert "local-gone" not in staging.sweep(spark, 3600)
+    assert staging.sweep(spark, -1) == ["local-gone"] and not staging.path_exists(spark, other)
+    assert staging.path_exists(spark, own.rsplit("/", 1)[0])
+
+
+def test_two_writers_leave_one_whole_table(spark, tmp_path):
+    path = staging.stage_path(str(tmp_path), "rows", "0" * 16)
+    late = lambda: staging.materialize_stage(spark, path, lambda: spark.range(9))[0].limit(2)
+    table, used = staging.materialize_stage(spark, path, late)
+    assert used and table.count() == 9
+    assert [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == [path.rsplit("/", 1)[1]]
+    # A lost file, a half-written manifest and a build that fails.
+    next(p for p in (tmp_path / path.rsplit("/", 1)[1]).glob("part-*")).unlink()
+    assert staging.read_manifest(spark, path) is None
+    with pytest.raises(ZeroDivisionError):
+        staging.materialize_stage(spark, path, lambda: 1 // 0)
+    assert staging.materialize_stage(spark, path, lambda: spark.range(4))[0].count() == 4
+    staging.write_text(spark, f"{path}/{staging.MANIFEST}", "{")
+    assert staging.materialize_stage(spark, path, lambda: spark.range(3))[0].count() == 3
+    # What a dead writer left goes with its lease.
+    left = f"{tmp_path}/_{path.rsplit('/', 1)[1]}.dead"
+    staging.write_text(spark, f"{left}/part-0", "x")
+    staging.write_text(spark, f"{path}/{staging.MANIFEST}", "{")
+    staging.materialize_stage(spark, path, lambda: spark.range(3), lease_seconds=-1)
+    assert not staging.path_exists(spark, left)

@@ -18,7 +18,7 @@ from textloom.operators.stats import split_source_histogram, split_statistics, s
 from textloom.operators.vocabulary import DEFAULT_SPEC, VOCABULARY_SIZE, TokenizerSpec, build_vocabulary
 from textloom.sources.datasets import write_dataset, write_splits
 from textloom.sources.files import extract_documents, extraction_report, scan_files
-from textloom.sources.staging import hadoop_path, materialize_stage, stage, stage_fingerprint, stage_path
+from textloom.sources.staging import Scratch, hadoop_path, materialize_stage, stage, stage_fingerprint, stage_path
 
 
 @dataclass(frozen=True)
@@ -56,6 +56,19 @@ class CorpusResult:
     cache_used: bool = False
     #: One row per scanned file, failed ones included (``prepare_files`` only).
     extraction: DataFrame | None = None
+    #: Owner of the staged tables that the frames above read.
+    scratch: Scratch | None = None
+
+    def close(self) -> None:
+        """Drops the staged tables; what was written to the output folder stays. Also the end of a ``with`` block."""
+        if self.scratch is not None:
+            self.scratch.drop()
+
+    def __enter__(self) -> CorpusResult:
+        return self
+
+    def __exit__(self, *error: object) -> None:
+        self.close()
 
     def split(self, name: str) -> DataFrame:
         return self.dataset.where(F.col("split") == name).drop("split")
@@ -126,8 +139,15 @@ def prepare_corpus(
     cleaned = clean_batch(documents, options.clean)
     size, overlap = options.chunk_size, options.chunk_overlap
     extra = [] if "source_file" in keys else ["source_file"]
-    rows = staged_chunks(cleaned, size, overlap, options.chunk_by, keys, *extra)
-    return _finish(cleaned, rows, options, save, split, keys)
+    with Scratch(documents.sparkSession) as scratch:
+        rows = staged_chunks(cleaned, size, overlap, options.chunk_by, keys, *extra)
+        return _held(_finish(cleaned, rows, options, save, split, keys), scratch)
+
+
+def _held(result: CorpusResult, scratch: Scratch) -> CorpusResult:
+    result.scratch = scratch
+    scratch.hold()
+    return result
 
 
 def prepare_balanced_corpus(
@@ -144,8 +164,9 @@ def prepare_balanced_corpus(
     """
     cleaned = _cleaned_weighted(documents, entries, options)
     size, overlap = options.chunk_size, options.chunk_overlap
-    rows = repeat_copies(staged_chunks(cleaned, size, overlap, options.chunk_by, ("stem",), "weight"))
-    return _finish(repeat_copies(cleaned), rows, options, save, split, ("source_file",))
+    with Scratch(documents.sparkSession) as scratch:
+        rows = repeat_copies(staged_chunks(cleaned, size, overlap, options.chunk_by, ("stem",), "weight"))
+        return _held(_finish(repeat_copies(cleaned), rows, options, save, split, ("source_file",)), scratch)
 
 
 def _cleaned_weighted(
@@ -217,6 +238,8 @@ def _cached(
         cleaned = clean_batch(documents, options.clean)
     else:
         cleaned = repeat_copies(_cleaned_weighted(documents, options.sources, options))
+    for result in made:  # what is kept was read from these for the last time
+        result.close()
     result = CorpusResult(cleaned, dataset if split else dataset.drop("split"), vocabulary=vocabulary, cache_used=used)
     return _save(_counted(result, dataset) if split else result, options, save, split)
 
