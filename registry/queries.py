@@ -7,6 +7,7 @@ engines hand over plain values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -931,6 +932,84 @@ S.CTES["doc_tidied"] = f"SELECT doc_id, source_file, {S.whitespace('text')} AS t
 S.chunk_tokens("doc_chunks", "doc_tidied")
 
 
+def _document_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with a text file for each document, in a folder per source."""
+    folder = staging.new_folder(spark, "files")
+    rows = V.table(spark, sf_dir, "documents").select("source", "text")
+    rows.write.option("maxRecordsPerFile", 1).partitionBy("source").text(folder)
+    return folder
+
+
+def _job_rows(result: jobs.CorpusResult, tokens_of: Column) -> DataFrame:
+    """The sizes of the splits and, over all of them, the tokens: what file names do not change."""
+    whole = result.dataset.agg(F.sum(tokens_of).cast("bigint").alias("all_tokens"))
+    sizes = result.dataset.groupBy("split").agg(F.count(F.lit(1)).alias("num_examples"))
+    return sizes.crossJoin(F.broadcast(whole))
+
+
+def _job_sql(chunks: str, number: str = "count(*)", tokens: str = "sum(token_count)") -> str:
+    sizes = [("train", "floor(n * 0.8::DOUBLE)"), ("validation", "floor(n * 0.1::DOUBLE)")]
+    sizes.append(("test", f"n - {sizes[0][1]} - {sizes[1][1]}"))
+    totals = f"(SELECT ({number})::BIGINT AS n, ({tokens})::BIGINT AS all_tokens FROM {chunks})"
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS split, ({size})::BIGINT AS num_examples, all_tokens FROM {totals}" for name, size in sizes
+    )
+
+
+_JOB_CONFIG = {
+    "input": {"file_patterns": ["source=*/*.txt"]},
+    "processing": {"chunk_size": 512, "chunk_overlap": 50},
+    "output": {"random_seed": 42},
+}
+
+
+@query("run_pipeline_files", _job_sql("doc_chunks"))
+def run_pipeline_files(spark, sf_dir):
+    """From files to saved splits, read back from the output folder."""
+    options = jobs.options_from_config(_JOB_CONFIG | {"output": {"output_dir": staging.new_folder(spark, "out")}})
+    with jobs.prepare_files(spark, _document_files(spark, sf_dir), options):
+        pass
+    return _job_rows(jobs.read_corpus(spark, options.output_dir), F.col("token_count"))
+
+
+_JOB_WEIGHTS = [{"path": "source=src1/*", "weight": 3}, {"path": "source=src2/*.txt", "weight": 2}, {"path": "absent/*"}]
+
+
+@query(
+    "run_balanced_files",
+    _job_sql(
+        "(SELECT token_count, CASE WHEN source_file LIKE 'src1\\_%' ESCAPE '\\' THEN 3 WHEN source_file LIKE 'src2\\_%' ESCAPE '\\' "
+        "THEN 2 END AS w FROM doc_chunks) WHERE w > 0", "sum(w)", "sum(w * token_count)",
+    ),
+)
+def run_balanced_files(spark, sf_dir):
+    """The same with weighted copies, as a config asks for them."""
+    out = staging.new_folder(spark, "out")
+    config = {**_JOB_CONFIG, "output": {"output_dir": out, "format": "parquet"}}
+    config["input"] = {**_JOB_CONFIG["input"], "use_balanced_dataset": True, "sources": _JOB_WEIGHTS}
+    with jobs.prepare_files(spark, _document_files(spark, sf_dir), jobs.options_from_config(config)):
+        pass
+    return _job_rows(jobs.read_corpus(spark, out), F.col("token_count"))
+
+
+@query(
+    "run_pipeline_encoded",
+    f"SELECT j.*, least({VOCAB_SIZE}, {len(SPEC.special_tokens)} + v)::BIGINT AS vocabulary FROM ("
+    + _job_sql("doc_chunks", tokens=f"sum(least(len({S.tokens('text')}), 256))")
+    + f") j, (SELECT count(DISTINCT token) AS v FROM (SELECT unnest({S.tokens('text')}) AS token FROM doc_chunks))",
+)
+def run_pipeline_encoded(spark, sf_dir):
+    """Encoded rows and their vocabulary, written by the job and read back together."""
+    out = staging.new_folder(spark, "out")
+    config = {**_JOB_CONFIG, "output": {"output_dir": out}, "tokenization": {"pre_tokenize": True, "model_max_length": 256}}
+    options = replace(jobs.options_from_config(config), vocab_size=VOCAB_SIZE)
+    with jobs.prepare_files(spark, _document_files(spark, sf_dir), options):
+        pass
+    result = jobs.read_corpus(spark, out, options.spec)
+    size = result.vocabulary.agg(F.count(F.lit(1)).alias("vocabulary"))
+    return _job_rows(result, F.size("input_ids")).crossJoin(F.broadcast(size))
+
+
 @query("stream_clean_chunk", "SELECT doc_id, pos, text, token_count FROM doc_chunks")
 def stream_clean_chunk(spark, sf_dir):
     return _chunk_rows(_drained(spark, streams.clean_and_chunk(_arriving(spark, sf_dir).drop("source"))))

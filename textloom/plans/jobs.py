@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from textloom.operators.chunk import CHUNK_COLUMNS, assign_chunk_ids, staged_chunks
 from textloom.operators.clean import CleanOptions, clean_batch
@@ -15,10 +18,12 @@ from textloom.operators.encode import encode_dataset
 from textloom.operators.mix import copy_weight, repeat_copies, with_stem
 from textloom.operators.split import split_exact
 from textloom.operators.stats import split_source_histogram, split_statistics, split_totals
-from textloom.operators.vocabulary import DEFAULT_SPEC, VOCABULARY_SIZE, TokenizerSpec, build_vocabulary
+from textloom.operators.vocabulary import DEFAULT_SPEC, VOCABULARY_SIZE, TokenizerSpec, build_vocabulary, tokenizer_fingerprint
 from textloom.sources.datasets import write_dataset, write_splits
 from textloom.sources.files import extract_documents, extraction_report, scan_files
-from textloom.sources.staging import Scratch, hadoop_path, materialize_stage, stage, stage_fingerprint, stage_path
+from textloom.sources.staging import (
+    Scratch, hadoop_path, materialize_stage, read_manifest, read_text, stage, stage_fingerprint, stage_path, write_text,
+)
 
 
 @dataclass(frozen=True)
@@ -267,10 +272,14 @@ def _counted(result: CorpusResult, rows: DataFrame) -> CorpusResult:
     return result
 
 
+JOB = "_job.json"
+
+
 def _save(result: CorpusResult, options: CorpusOptions, save: bool, split: bool) -> CorpusResult:
-    """The tables in the output folder; encoded ones with the vocabulary that reads them."""
+    """The tables in the output folder, encoded ones with the vocabulary that reads them, and what the job wrote."""
     if not (save and options.output_dir):
         return result
+    spark = result.dataset.sparkSession
     if split:
         result.saved_paths = write_splits(result.dataset, options.output_dir, options.output_format)
     else:
@@ -279,4 +288,43 @@ def _save(result: CorpusResult, options: CorpusOptions, save: bool, split: bool)
     if result.vocabulary is not None:
         path = write_dataset(result.vocabulary, options.output_dir, "parquet", "vocabulary")
         result.saved_paths["vocabulary"] = path
+    told = {k: v for k, v in asdict(options).items() if k != "output_dir"}
+    digest = hashlib.sha256(json.dumps(told, sort_keys=True, default=str).encode()).hexdigest()[:16]
+    rows = {name: read_manifest(spark, path)["rows"] for name, path in result.saved_paths.items()}
+    columns = result.dataset.drop("split").schema.jsonValue()
+    job = {"options": told, "fingerprint": digest, "rows": rows, "format": options.output_format, "columns": columns}
+    if result.vocabulary is not None:
+        job["vocabulary"] = tokenizer_fingerprint(spark.read.parquet(path), options.spec).first()["fingerprint"]
+    write_text(spark, f"{options.output_dir.rstrip('/')}/{JOB}", json.dumps(job, sort_keys=True, default=str))
     return result
+
+
+def read_corpus(spark: SparkSession, output_dir: str, spec: TokenizerSpec = DEFAULT_SPEC) -> CorpusResult:
+    """What a job wrote to ``output_dir``, read back: the dataset with its split, statistics, the vocabulary.
+
+    An error where a table is missing, has other files than its manifest lists or other rows than the job counted, or
+    where the vocabulary is not the one the ids were made with (under ``spec``).
+    """
+    root = output_dir.rstrip("/")
+    text = read_text(spark, f"{root}/{JOB}")
+    if text is None:
+        raise FileNotFoundError(f"{root} holds no output of a job")
+    job = json.loads(text)
+    schema, dataset, paths = StructType.fromJson(job["columns"]), None, {}
+    for name, rows in job["rows"].items():
+        paths[name] = path = f"{root}/{name}.{'parquet' if name == 'vocabulary' else job['format']}"
+        known = read_manifest(spark, path)
+        if known is None or known["rows"] != rows:
+            raise ValueError(f"{path} is not the table of {rows} rows that the job wrote")
+        if name != "vocabulary":
+            reader = spark.read.schema(schema)
+            part = reader.json(path) if job["format"] == "jsonl" else reader.parquet(path)
+            part = part if name == "dataset" else part.withColumn("split", F.lit(name))
+            dataset = part if dataset is None else dataset.unionByName(part)
+    result = CorpusResult(dataset, dataset, saved_paths=paths)
+    if "vocabulary" in job:
+        result.vocabulary = spark.read.parquet(paths["vocabulary"])
+        if tokenizer_fingerprint(result.vocabulary, spec).first()["fingerprint"] != job["vocabulary"]:
+            raise ValueError(f"{paths['vocabulary']} is not the vocabulary that the ids were made with")
+    countable = "split" in dataset.columns and {"source_file", "text_length", "token_count"} <= set(dataset.columns)
+    return _counted(result, dataset) if countable else result

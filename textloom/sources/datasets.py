@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from textloom.sources.staging import hadoop_path, path_exists
+from textloom.sources.staging import hadoop_path, path_exists, read_manifest, write_manifest
 
 logger = logging.getLogger(__name__)
 
@@ -36,12 +36,24 @@ def write_dataset(
     if not output_dir:
         raise ValueError("output_dir must be set to save a dataset")
     path = f"{output_dir.rstrip('/')}/{filename or split_name or 'dataset'}.{fmt}"
-    writer = df.write.mode("overwrite")
+    counted, rows = _counted(df, {"rows": F.count(F.lit(1))})
+    _write(counted.write.mode("overwrite"), fmt, path)
+    write_manifest(df.sparkSession, path, rows=rows()["rows"])
+    return path
+
+
+def _write(writer: DataFrameWriter, fmt: str, path: str) -> None:
     if fmt == "jsonl":
         writer.option("ignoreNullFields", False).json(path)
     else:
         writer.parquet(path)
-    return path
+
+
+def _counted(df: DataFrame, counts: dict[str, Column]) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The rows, and what their writing will have counted on the way."""
+    seen = Observation()
+    counted = df.observe(seen, *[value.alias(name) for name, value in counts.items()])
+    return counted, lambda: {name: seen.get.get(name) or 0 for name in counts}
 
 
 def write_splits(
@@ -49,20 +61,22 @@ def write_splits(
 ) -> dict[str, str]:
     """One output per split, all written in a single pass over ``df``.
 
-    The rows are written partitioned by ``split`` next to the outputs, and each
-    partition's folder is then given its name. With ``partitioned`` they stay one
+    The rows are counted on the way, for each split's manifest. They are written partitioned by ``split`` next to the
+    outputs, and each partition's folder is then given its name. With ``partitioned`` they stay one
     table below ``dataset.fmt``, which costs no renaming on an object store.
     """
     fmt = _check_format(fmt)
     spark, root = df.sparkSession, output_dir.rstrip("/")
     written = f"{root}/dataset.{fmt}" if partitioned else f"{root}/_writing-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite").partitionBy("split")
-    if fmt == "jsonl":
-        writer.option("ignoreNullFields", False).json(written)
-    else:
-        writer.parquet(written)
+    counted, rows = _counted(df, {name: F.count_if(F.col("split") == name) for name in SPLITS})
+    _write(counted.write.mode("overwrite").partitionBy("split"), fmt, written)
+    number = rows()
     if partitioned:
-        return {name: f"{written}/split={name}" for name in SPLITS}
+        paths = {name: f"{written}/split={name}" for name in SPLITS}
+        for name, path in paths.items():
+            if path_exists(spark, path):
+                write_manifest(spark, path, rows=number[name])
+        return paths
     paths = {}
     for name in SPLITS:
         paths[name] = f"{root}/{name}.{fmt}"
@@ -75,6 +89,7 @@ def write_splits(
         if not fs.rename(source, target):
             raise OSError(f"could not rename {source.toString()} to {paths[name]}")
         fs.create(hadoop_path(spark, f"{paths[name]}/_SUCCESS")[1], True).close()
+        write_manifest(spark, paths[name], rows=number[name])
     fs.delete(hadoop_path(spark, written)[1], True)
     return paths
 
@@ -115,7 +130,7 @@ def read_splits(
     if not path_exists(spark, data_dir):
         raise FileNotFoundError(f"Data directory not found: {data_dir}")
     table = None
-    for name in splits or SPLITS:
+    for name in SPLITS if splits is None else splits:
         try:
             rows = read_split(spark, data_dir, name, schema, fmt).withColumn("split", F.lit(name))
         except FileNotFoundError as error:
@@ -138,23 +153,24 @@ def stream_split(
     return reader.json(path) if _check_format(fmt or found) == "jsonl" else reader.parquet(path)
 
 
-def dataset_info(spark: SparkSession, data_dir: str, schema: StructType | str) -> DataFrame:
-    """Available splits: path, format, size in bytes, rows."""
-    table = None
+def count_rows(spark: SparkSession, path: str, fmt: str) -> int:
+    """Rows of a written table: as its manifest says, if its files are those that the manifest lists.
+
+    Otherwise they are counted; of parquet that reads the files' footers only.
+    """
+    known = read_manifest(spark, path)
+    if known is not None and "rows" in known:
+        return known["rows"]
+    return (spark.read.schema("_row string").json(path) if fmt == "jsonl" else spark.read.parquet(path)).count()
+
+
+def dataset_info(spark: SparkSession, data_dir: str, schema: StructType | str | None = None) -> DataFrame:
+    """Available splits: path, format, size in bytes, rows. No data is read where manifests tell the rows."""
+    rows = []
     for name in SPLITS:
         found = find_split(spark, data_dir, name)
-        if found is None:
-            continue
-        path, fmt = found
-        fs, p = hadoop_path(spark, path)
-        info = read_split(spark, data_dir, name, schema).agg(F.count(F.lit(1)).alias("num_rows")).select(
-            F.lit(name).alias("split"),
-            F.lit(path).alias("path"),
-            F.lit(fmt).alias("format"),
-            F.lit(fs.getContentSummary(p).getLength()).cast("bigint").alias("size"),
-            "num_rows",
-        )
-        table = info if table is None else table.unionByName(info)
-    if table is None:
-        return spark.createDataFrame([], "split string, path string, format string, size bigint, num_rows bigint")
-    return table
+        if found is not None:
+            path, fmt = found
+            fs, p = hadoop_path(spark, path)
+            rows.append((name, path, fmt, fs.getContentSummary(p).getLength(), count_rows(spark, path, fmt)))
+    return spark.createDataFrame(rows, "split string, path string, format string, size bigint, num_rows bigint")
