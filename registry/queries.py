@@ -112,15 +112,20 @@ _FILE_BYTES = (
 )
 
 
+_MARKUP = r"'{\rtf1\ansi\ansicpg1252{\fonttbl\f0 Arial;}{\*\generator x;}\f0 ' || " + _RAW_RTF + " || '}'"
+
+
+def _read(text: str) -> str:
+    return f"CASE doc_id % 5 WHEN 1 THEN {_MARKUP} ELSE {text} END"
+
+
 @query(
     "decode_text",
-    f"SELECT doc_id, {_FILE_TEXT} AS replaced, NOT ({_BAD}) AS strict_ok, text AS ignored FROM documents "
-    "WHERE doc_id % 5 <> 1",
+    f"SELECT doc_id, {_read(_FILE_TEXT)} AS replaced, NOT ({_BAD}) AS strict_ok, {_read('text')} AS ignored FROM documents",
 )
 def decode_text(spark, sf_dir):
-    # The RTF rows hold markup, which rtf_to_text covers.
     content = F.col("content")
-    return V.raw_files(spark, sf_dir).where(files.file_suffix(F.col("path")) != ".rtf").select(
+    return V.raw_files(spark, sf_dir).select(
         "doc_id",
         files.decode_bytes(content).alias("replaced"),
         files.decode_bytes(content, errors="strict").isNotNull().alias("strict_ok"),
@@ -128,6 +133,25 @@ def decode_text(spark, sf_dir):
     )
 
 
+@query(
+    "decode_latin1",
+    "SELECT doc_id, text AS latin, replace(replace(text, 'é', chr(8364)), 'ü', chr(65533)) AS windows, "
+    "NOT contains(text, 'ü') AS strict_ok, replace(replace(text, 'é', chr(8364)), 'ü', '') AS ignored "
+    "FROM (SELECT doc_id, regexp_replace(text, '[^\\x00-\\x7Féü]', '?', 'g') AS text FROM documents)",
+)
+def decode_latin1(spark, sf_dir):
+    """Single-byte files, read inside the JVM; the same texts with a byte that cp1252 has elsewhere, and one that it lacks."""
+    text = F.regexp_replace("text", "[^\\x00-\\x7Féü]", "?")
+    odd = F.encode(F.translate(text, "éü", "\x80\x81"), "ISO-8859-1")
+    return V.table(spark, sf_dir, "documents").select(
+        "doc_id",
+        files.decode_bytes(F.encode(text, "ISO-8859-1"), "latin-1").alias("latin"),
+        files.decode_bytes(odd, "cp1252").alias("windows"),
+        files.decode_bytes(odd, "cp1252", "strict").isNotNull().alias("strict_ok"),
+        files.decode_bytes(odd, "cp1252", "ignore").alias("ignored"),
+    )
+
+
 @query(
     "route_format",
     "SELECT doc_id, ['.txt', '.rtf', '.txt', '.pdf', '.txt'][doc_id % 5 + 1] AS suffix, doc_id % 5 <> 3 AS supported "
@@ -341,7 +365,23 @@ text_step(
 )
 text_step("strip_text", text.strip, f"SELECT doc_id, {S.strip('text')} AS text FROM dirty")
 text_step("normalize_whitespace", text.normalize_whitespace, f"SELECT doc_id, {S.whitespace('text')} AS text FROM dirty")
-text_step("sanitize_encoding", text.sanitize_encoding, "SELECT doc_id, text FROM dirty")
+_BYTES = (
+    f"CASE doc_id % 5 WHEN 0 THEN replace(text, chr(10), chr(13) || chr(10)) WHEN 1 THEN {_MARKUP} "
+    "WHEN 2 THEN <broken> WHEN 3 THEN text ELSE replace(text, chr(10), chr(13)) END"
+)
+
+
+def _sanitized(name: str, errors: str, broken: str) -> None:
+    """All files' bytes as they are, a fifth of them broken at both ends."""
+
+    @query(name, "SELECT doc_id, " + _BYTES.replace("<broken>", broken) + " AS text FROM documents")
+    def run(spark, sf_dir):
+        given = F.col("content").cast("string")
+        return V.raw_files(spark, sf_dir).select("doc_id", text.sanitize_encoding(given, errors).alias("text"))
+
+
+_sanitized("sanitize_encoding", "replace", _REPLACED)
+_sanitized("sanitize_ignore", "ignore", "text")
 text_step("truncate_text", lambda t: text.truncate_text(t, 1000), "SELECT doc_id, left(text, 1000) AS text FROM dirty")
 
 
@@ -637,6 +677,23 @@ def special_tokens(spark, sf_dir):
     )
 
 
+_KEYED = padded("ids", "w", SPEC.pad_id)
+
+
+@query(
+    "pad_to_longest_keys",
+    f"SELECT chunk_id, batch_id, {S.joined(_KEYED)} AS input_ids FROM (SELECT chunk_id, batch_id, ids, "
+    "max(len(ids)) OVER (PARTITION BY batch_id) AS w FROM (SELECT chunk_id, ids, (row_number() OVER (ORDER BY "
+    "nullif(chunk_id % 3, 0) NULLS FIRST, md5(chunk_id::VARCHAR)) - 1) // 100 AS batch_id FROM chunk_ids))",
+)
+def pad_to_longest_keys(spark, sf_dir):
+    """Batches in the order of two keys, the first repeated and null, the second a string."""
+    table, vocabulary = _chunk_vocabulary(spark, sf_dir)
+    rows = table.withColumns({"third": F.expr("nullif(chunk_id % 3, 0)"), "mark": F.md5(F.col("chunk_id").cast("string"))})
+    rows = encode.encode_dataset(rows, vocabulary, ("third", "mark"), padding=True, padding_style="longest", batch_size=100)
+    return rows.select("chunk_id", "batch_id", listed("input_ids").alias("input_ids"))
+
+
 _SETTINGS = vocab.settings_text(SPEC)
 
 
@@ -1020,7 +1077,12 @@ def stream_clean_chunk(spark, sf_dir):
     "SELECT source AS source_file, count(*) AS num_texts, sum(length(text))::BIGINT AS total_chars FROM documents GROUP BY source",
 )
 def stream_corpus_statistics(spark, sf_dir):
+    """Three batches, the last of which comes a second time after it was counted."""
     path = staging.new_folder(spark, "counts")
-    rows = _arriving(spark, sf_dir).select(F.col("source").alias("source_file"), "text")
-    streams.write_source_counts(rows, f"{path}/table", f"{path}/checkpoint").awaitTermination()
-    return streams.latest_source_counts(spark.read.parquet(f"{path}/table"))
+    rows = V.table(spark, sf_dir, "documents").select(F.col("source").alias("source_file"), "text", (F.col("doc_id") % 3).alias("_part"))
+    for part in range(3):
+        rows.where(F.col("_part") == part).drop("_part").coalesce(1).write.mode("append").parquet(f"{path}/files")
+    arriving = spark.readStream.schema(rows.drop("_part").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/files")
+    streams.write_source_counts(arriving, f"{path}/table", f"{path}/checkpoint").awaitTermination()
+    streams.add_source_counts(rows.where("_part = 2"), 2, f"{path}/table")
+    return streams.read_source_counts(spark, f"{path}/table").select("source_file", "num_texts", "total_chars")

@@ -1,6 +1,7 @@
 """Ids, splits, weights, vocabulary, encoding, batches, statistics, streams."""
 
 import math
+import os
 import random
 from collections import Counter
 
@@ -12,7 +13,7 @@ from textloom.functions import text
 from textloom.operators import batches, chunk, encode, mix, split, stats
 from textloom.operators import vocabulary as vocab
 from textloom.operators.clean import CleanOptions, clean_batch
-from textloom.operators.ids import running_offsets
+from textloom.operators.ids import dense_numbers, running_offsets
 from textloom.sources import files
 from textloom.streaming import streams
 
@@ -295,8 +296,20 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got.count() == batch.count() and got.exceptAll(batch).isEmpty()
     counts = str(tmp_path / "counts")
     streams.write_source_counts(stream(), counts, str(tmp_path / "c2")).awaitTermination()
-    latest = streams.latest_source_counts(spark.read.parquet(counts))
+    latest = streams.read_source_counts(spark, counts)
     assert latest.exceptAll(stats.source_counts(df)).isEmpty() and latest.count() == 3
+    # Three batches: the last two versions stay, and a batch that comes again adds nothing.
+    assert sorted(os.listdir(counts)) == ["version-1", "version-2"]
+    assert not streams.add_source_counts(df, 2, counts) and not streams.add_source_counts(df, 0, counts)
+    assert streams.read_source_counts(spark, counts).exceptAll(stats.source_counts(df)).isEmpty()
+    assert streams.add_source_counts(df, 7, counts)
+    doubled = stats.source_counts(df.union(df))
+    assert streams.read_source_counts(spark, counts).exceptAll(doubled).isEmpty()
+    # A version that lost a file does not count as written: the batch is added again to the one before.
+    next(f for f in (tmp_path / "counts" / "version-7").glob("part-*")).unlink()
+    assert streams.read_source_counts(spark, counts).exceptAll(stats.source_counts(df)).isEmpty()
+    assert streams.add_source_counts(df, 7, counts)
+    assert streams.read_source_counts(spark, counts).exceptAll(doubled).isEmpty()
 
 
 def occurrences(df, *needles):
@@ -315,7 +328,7 @@ def test_costly_steps_are_planned_once(spark):
         cleaned = clean_batch(documents, options)
         chunked = chunk.chunk_text(cleaned.select("source_file", "text"), 10, 2)
         wanted = [1, 2, 1, 2]  # the last 15 lines and the cut; whole text and sentence tokens
-        needles = ("reverse(transform(split(", "substring_index(", "rtf_texts(", "regexp_extract_all(")
+        needles = ("reverse(transform(split(", "substring_index(", "parsed(", "regexp_extract_all(")
         assert occurrences(chunked, *needles) == wanted
         assert occurrences(cleaned, *needles[:3]) == wanted[:3]
         assert occurrences(chunk.chunk_text(cleaned.select("text"), 10, 2, "characters"), *needles[:3]) == wanted[:3]
@@ -333,3 +346,55 @@ def test_ignored_bytes_are_dropped(spark):
     raw = spark.createDataFrame([(b"ab\xffcd\xef\xbf\xbd",)], "b binary").select(F.col("b").cast("string").alias("t"))
     found = raw.select(text.sanitize_encoding(F.col("t"), "ignore").alias("i"), text.sanitize_encoding(F.col("t")).alias("r")).first()
     assert (found.i, found.r) == ("abcd�", "ab�cd�")
+
+
+def test_ignored_bytes_beside_the_signs_that_stand_in(spark):
+    samples = [b"\xef\xb7\x90s\xff\xef\xb7\x90b", "\ufdd0\ufdd1".encode() + b"\xc3", "\ufffd\ufdd0".encode() + b"\xe2\x82", b"ok"]
+    raw = spark.createDataFrame([(i, b) for i, b in enumerate(samples)], "i int, b binary").select("i", F.col("b").cast("string").alias("t"))
+    found = raw.select("i", text.sanitize_encoding(F.col("t"), "ignore").alias("x")).orderBy("i").collect()
+    assert [r["x"] for r in found] == [b.decode("utf-8", "ignore") for b in samples]
+
+
+def test_numbers_in_the_order_of_any_keys(spark):
+    rows = [(i, None if i % 5 == 0 else f"k{i % 4}", i % 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "i int, k string, _slot int").repartition(7)
+    got = dense_numbers(df, ("k", "_slot"), "n").orderBy("n").collect()
+    assert [r["n"] for r in got] == list(range(200)) and sorted(r["i"] for r in got) == list(range(200))
+    keys = [(r["k"] is not None, r["k"] or "", r["_slot"]) for r in got]
+    assert keys == sorted(keys)
+    one = dense_numbers(spark.createDataFrame([(None,)] * 50, "k string").repartition(4), ("k",), "n")
+    assert sorted(r["n"] for r in one.collect()) == list(range(50))
+
+
+def test_hash_tells_nulls_and_colons_apart(spark):
+    rows = [(None, "x"), ("x", None), ("a:b", "c"), ("a", "b:c"), ("a\\", "b"), ("a", "\\b"), ("\\0", "x"), ("", "x"), ("", "")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert df.select(split.row_hash(("a", "b"), 1).alias("h")).distinct().count() == len(rows)
+
+
+def test_tail_of_a_large_vocabulary(spark):
+    """Head tokens meet no exchange; rows without other tokens meet no join."""
+    texts = ["the cat", "the dog the dog zzz", "", None, "cat zzz unknown", "the the"]
+    df = spark.createDataFrame([(None, t, i) for i, t in enumerate(texts)], "key int, text string, _row int").repartition(3)
+    vocabulary = spark.createDataFrame(
+        [("<|endoftext|>", 0, 0), ("<|unknown|>", 1, 0), ("the", 2, 9), (" the", 3, 8), (" dog", 4, 7), (" cat", 5, 6), ("cat", 6, 2), (" zzz", 7, 1)],
+        "token string, id int, freq bigint",
+    )
+    wanted = {0: [2, 5], 1: [2, 4, 3, 4, 7], 2: [], 3: [], 4: [6, 7, 1], 5: [2, 3]}
+    for options in ({"broadcast": True}, {"broadcast": False, "head_tokens": 2}, {"broadcast": False, "head_tokens": 100}):
+        got = encode.encode_tokens(df, vocabulary, ("key",), **options)
+        assert got.columns == ["key", "text", "_row", "input_ids"]
+        assert {r["_row"]: r["input_ids"] for r in got.collect()} == wanted, options
+    assert "text" not in encode.encode_tokens(df, vocabulary, ("key",), broadcast=False, keep_text=False).columns
+
+
+def test_texts_stay_where_names_are_settled(spark, tmp_path):
+    rows = [(f"{d}/n{i}.txt", f"text {i}") for d in "ab" for i in range(5)] + [("c/only.txt", "x")]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "path string, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    named = mix.with_stem(docs)
+    plan = named._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan.split("BroadcastExchange")[0]
+    stems = [r["stem"] for r in named.collect()]
+    assert len(set(stems)) == 11 and "only" in stems and all(s.startswith("n") or s == "only" for s in stems)

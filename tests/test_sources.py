@@ -40,7 +40,7 @@ BAD = [b"\xff", b"a\xc3", b"\xc0\xafb", b"\xed\xa0\x80c", b"\xf0\x9f\x98d", b"ok
 
 
 @pytest.mark.parametrize("errors", files.ERROR_MODES)
-@pytest.mark.parametrize("encoding", ["utf-8", "latin-1", "utf-16"])
+@pytest.mark.parametrize("encoding", ["utf-8", "latin-1", "utf-16", "cp1252", "cp1251", "ascii", "koi8-r", "mac-roman", "iso8859-15"])
 def test_decoding_equals_python(spark, encoding, errors):
     def wanted(raw):
         try:
@@ -289,3 +289,73 @@ def test_two_writers_leave_one_whole_table(spark, tmp_path):
     staging.write_text(spark, f"{path}/{staging.MANIFEST}", "{")
     staging.materialize_stage(spark, path, lambda: spark.range(3), lease_seconds=-1)
     assert not staging.path_exists(spark, left)
+
+
+def test_every_byte_of_single_byte_encodings(spark):
+    df = spark.createDataFrame([(bytearray(range(256)), bytearray(b"a"))], "every binary, plain binary")
+    for codec in files.SINGLE_BYTE:
+        got = df.select(
+            *[files.decode_bytes(F.col("every"), codec, e).alias(e) for e in files.ERROR_MODES],
+            files.decode_bytes(F.col("plain"), codec, "strict").alias("plain"),
+        )
+        assert "Arrow" not in got._jdf.queryExecution().executedPlan().toString()
+        row, every = got.first(), bytes(range(256))
+        try:
+            strict = every.decode(codec).replace("\r", "\n")
+        except UnicodeDecodeError:
+            strict = None
+        assert row["strict"] == strict and row["plain"] == "a", codec
+        assert row["replace"] == every.decode(codec, "replace").replace("\r", "\n"), codec
+        assert row["ignore"] == every.decode(codec, "ignore").replace("\r", "\n"), codec
+
+
+def test_text_files_pass_no_python(spark, tmp_path):
+    write(tmp_path, "a.txt", "one")
+    write(tmp_path, "b.rtf", r"{\rtf1 two}")
+    raw = files.scan_files(spark, str(tmp_path), ["*.txt"])
+    assert [files.may_match_rtf(p) for p in (["*.txt"], ["*.txt", "*.RTF"], ["*"], ["a*/*.text", "x.txt"], ["*.*"])] == [
+        False, True, True, False, True,
+    ]
+    plain = files.extract_documents(raw, rtf=False)
+    assert "Arrow" not in plain._jdf.queryExecution().executedPlan().toString()
+    assert [r["text"] for r in plain.collect()] == ["one"]
+
+
+def test_output_is_checked_when_it_is_read(spark, tmp_path):
+    for i in range(30):
+        write(tmp_path / "in", f"{i}.txt", f"Text number {i}. It has some words.\n")
+    out = str(tmp_path / "out")
+    options = jobs.CorpusOptions(file_patterns=("*.txt",), output_dir=out, pre_tokenize=True, chunk_size=5, chunk_overlap=1)
+    with jobs.prepare_files(spark, str(tmp_path / "in"), options) as result:
+        wanted = result.dataset.drop("processing_timestamp").collect()
+        tables = list(result.scratch.folders)
+        assert tables and all(staging.path_exists(spark, t) for t in tables)
+    assert not any(staging.path_exists(spark, t) for t in tables)
+    back = jobs.read_corpus(spark, out)
+    assert sorted(map(str, back.dataset.drop("processing_timestamp").select(*wanted[0].asDict()).collect())) == sorted(map(str, wanted))
+    assert back.vocabulary.count() > 5
+    with pytest.raises(FileNotFoundError):
+        jobs.read_corpus(spark, str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="vocabulary"):
+        jobs.read_corpus(spark, out, options.spec.with_special_tokens({"pad_token": "<pad>"}))
+    info = {r["split"]: r["num_rows"] for r in datasets.dataset_info(spark, out).collect()}
+    assert sum(info.values()) == len(wanted)
+    damaged = next(p for p in (tmp_path / "out" / "train.jsonl").glob("part-*"))
+    damaged.with_name(f".{damaged.name}.crc").unlink()
+    damaged.write_text("{}\n")
+    with pytest.raises(ValueError, match="train"):
+        jobs.read_corpus(spark, out)
+    assert datasets.dataset_info(spark, out).count() == 3  # counted, as the manifest no longer holds
+
+
+def test_rows_are_counted_while_written(spark, tmp_path):
+    rows = spark.createDataFrame([(i, "train" if i < 5 else "test") for i in range(7)], "n int, split string")
+    for partitioned in (False, True):
+        for fmt in datasets.FORMATS:
+            folder = str(tmp_path / f"{fmt}{partitioned}")
+            paths = datasets.write_splits(rows, folder, fmt, partitioned)
+            assert staging.read_manifest(spark, paths["train"])["rows"] == 5
+            assert {r["split"]: r["num_rows"] for r in datasets.dataset_info(spark, folder).collect()}["test"] == 2
+    empty = datasets.write_dataset(rows.where("n > 9"), str(tmp_path / "none"), "parquet")
+    assert staging.read_manifest(spark, empty)["rows"] == 0
+    assert datasets.read_splits(spark, str(tmp_path / "jsonlFalse"), "n int", []).count() == 0

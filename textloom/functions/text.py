@@ -75,9 +75,10 @@ def sanitize_encoding(text: Column, errors: str = "replace") -> Column:
     """Broken UTF-8 becomes U+FFFD, or nothing with ``ignore``; a no-op on valid text."""
     if errors != "ignore":
         return F.make_valid_utf8(text)
-    # U+FFFD that the text itself holds stays: two noncharacters stand for it meanwhile.
-    mark, own = F.lit("\ufffd"), F.lit("\ufdd0\ufdd1")
-    dropped = F.replace(F.replace(F.make_valid_utf8(F.replace(text, mark, own)), mark, F.lit("")), own, mark)
+    # U+FFFD that the text itself holds is written as a sign and a letter meanwhile, and so is that sign.
+    bad, sign, of_sign, of_bad = F.lit("\ufffd"), F.lit("\ufdd0"), F.lit("\ufdd0s"), F.lit("\ufdd0b")
+    safe = F.make_valid_utf8(F.replace(F.replace(text, sign, of_sign), bad, of_bad))
+    dropped = F.replace(F.replace(F.replace(safe, bad, F.lit("")), of_bad, bad), of_sign, sign)
     return F.when(F.is_valid_utf8(text), text).otherwise(dropped)
 
 

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import let
 from textloom.functions.tokens import pad_right
+from textloom.operators.ids import dense_numbers
 from textloom.operators.vocabulary import TokenizerSpec
 
 IGNORED = -100  # the label a loss skips
 
 
-def with_batches(df: DataFrame, order: str, batch_size: int) -> DataFrame:
-    """``batch_id`` from a column that numbers the rows 0, 1, 2, ..."""
-    return df.withColumn("batch_id", F.call_function("div", F.col(order), F.lit(batch_size)))
+#: Columns that number the rows 0, 1, 2, ... wherever this library makes them.
+DENSE = ("chunk_id",)
+
+
+def with_batches(df: DataFrame, order: str | Sequence[str], batch_size: int) -> DataFrame:
+    """``batch_id``: rows in the order of a column or several, ``batch_size`` at a time.
+
+    ``chunk_id`` numbers the rows already; by other columns, of any type, repeated or null, they are numbered first.
+    """
+    keys = [order] if isinstance(order, str) else list(order)
+    if len(keys) == 1 and keys[0] in DENSE:
+        return df.withColumn("batch_id", F.call_function("div", F.col(keys[0]), F.lit(batch_size)))
+    return dense_numbers(df, keys, "batch_id").withColumn("batch_id", F.call_function("div", F.col("batch_id"), F.lit(batch_size)))
 
 
 def _batch_width(multiple: int | None) -> Column:
@@ -26,7 +39,7 @@ def _batch_width(multiple: int | None) -> Column:
 
 
 def pad_to_longest(
-    df: DataFrame, order: str, batch_size: int = 1000, pad_id: int = 0, pad_to_multiple_of: int | None = None
+    df: DataFrame, order: str | Sequence[str], batch_size: int = 1000, pad_id: int = 0, pad_to_multiple_of: int | None = None
 ) -> DataFrame:
     """Right-pad ids and mask to the width of the row's batch; adds ``batch_id``."""
     return (
@@ -44,7 +57,7 @@ def pad_to_longest(
 
 def collate_causal_lm(
     df: DataFrame,
-    order: str = "chunk_id",
+    order: str | Sequence[str] = "chunk_id",
     batch_size: int = 8,
     pad_id: int = 0,
     pad_to_multiple_of: int | None = None,

@@ -34,9 +34,10 @@ def fits_broadcast(vocabulary: DataFrame) -> bool:
 
 
 def vocabulary_head(vocabulary: DataFrame, tokens: int = HEAD_TOKENS) -> DataFrame:
-    """The most frequent tokens; at most ``tokens * HEAD_TOKEN_BYTES`` bytes of them."""
+    """The most frequent tokens, without frequencies those of the smallest ids; at most ``tokens * HEAD_TOKEN_BYTES`` bytes."""
     short = vocabulary.where(F.octet_length("token") <= HEAD_TOKEN_BYTES)
-    return short.orderBy(F.desc("freq"), "id").limit(tokens)
+    order = [F.desc("freq"), "id"] if "freq" in vocabulary.columns else ["id"]
+    return short.orderBy(*order).limit(tokens)
 
 
 class _Sent:
@@ -113,7 +114,7 @@ def encode_tokens(
     tokens = tokenize(F.coalesce(F.col(text_column), F.lit("")))
     given = [c for c in df.columns if keep_text or c != text_column]
     if broadcast is None:
-        vocabulary = stage(vocabulary.select("token", "id", "freq"), "vocabulary")
+        vocabulary = stage(vocabulary, "vocabulary")
         broadcast = fits_broadcast(vocabulary)
     unknown = F.lit(spec.unk_id)
     if broadcast:
@@ -181,7 +182,7 @@ def encode_dataset(
     if padding and max_length and padding_style == "max_length":
         encoded = pad_to_max_length(encoded, max_length, spec.pad_id)
     elif padding:
-        encoded = pad_to_longest(encoded, keys[0], batch_size, spec.pad_id)
+        encoded = pad_to_longest(encoded, keys, batch_size, spec.pad_id)
     return encoded if return_attention_mask else encoded.drop("attention_mask")
 
 

@@ -42,3 +42,22 @@ def running_offsets(rows: DataFrame, keys: Sequence[str], count: str) -> DataFra
         *keys, (F.col("_base") + F.col("_within")).alias("first_id")
     )
 
+
+def dense_numbers(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``: 0, 1, 2, ... in the order of ``keys`` of any type, nulls first, repeated keys in any order.
+
+    Rows are range-partitioned by the keys and, where these repeat, by a number of their own, so rows that share a key may
+    lie in several partitions. They are written once with their slot; the slots' counts give each its base.
+    """
+    slot, own = (c + "_" * sum(x.startswith(c) for x in df.columns) for c in ("_slot", "_own"))
+    ranged = stage(
+        df.withColumn(own, F.monotonically_increasing_id()).repartitionByRange(*keys, own).withColumn(slot, F.spark_partition_id()),
+        "numbered",
+    )
+    # One row per partition.
+    before = Window.orderBy(slot).rowsBetween(Window.unboundedPreceding, -1)
+    bases = ranged.groupBy(slot).agg(F.count(F.lit(1)).alias("_n")).select(
+        slot, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base")
+    )
+    place = F.row_number().over(Window.partitionBy(slot).orderBy(*keys, own))
+    return ranged.join(F.broadcast(bases), slot).withColumn(name, F.col("_base") + place - 1).drop("_base", slot, own)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.sources.files import file_name, glob_to_regex
+from textloom.sources.staging import stage
 
 
 def usable_weights(entries: Sequence[Mapping[str, Any]]) -> list[tuple[str, int]]:
@@ -53,18 +54,29 @@ def copy_weight(docs: DataFrame, entries: Sequence[Mapping[str, Any]]) -> DataFr
     return docs.withColumn("weight", F.greatest(none, none, *weights)).where(F.col("weight").isNotNull())
 
 
+# Shared stems within these bounds are sent to every executor; more of them are joined.
+MAX_SENT_STEMS, MAX_SENT_STEM_BYTES = 500_000, 32 * 1024 * 1024
+
+
 def with_stem(docs: DataFrame) -> DataFrame:
     """Add ``stem``: the name without its suffix, made unique where files share it.
 
-    Only stems held by several files are joined back: one row each, found by counting.
+    Names are settled before a text is read: a scan of the paths alone counts the stems, and those held by several
+    files, one row each, are written down. Within the bounds they go to the texts, so that no text moves.
     """
-    named = docs.withColumn("stem", F.regexp_replace(file_name(F.col("path")), r"(?<=.)\.[^.]+$", ""))
-    shared = named.groupBy("stem").agg(F.count(F.lit(1)).alias("_files")).where("_files > 1")
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("stem", F.regexp_replace(file_name(F.col("path")), r"(?<=.)\.[^.]+$", ""))
+
+    counted = named(docs.select("path")).groupBy("stem").agg(F.count(F.lit(1)).alias("_files")).where("_files > 1")
+    shared = stage(counted.select("stem", F.lit(True).alias("_shared")), "shared-stems")
+    size = shared.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("stem")), F.lit(0)).alias("b")).first()
+    if size["n"] <= MAX_SENT_STEMS and size["b"] <= MAX_SENT_STEM_BYTES:
+        shared = F.broadcast(shared)
     mark = F.concat(F.col("stem"), F.lit("_"), F.md5("path"))
     return (
-        named.join(shared, "stem", "left")
-        .withColumn("stem", F.when(F.col("_files").isNotNull(), mark).otherwise(F.col("stem")))
-        .drop("_files")
+        named(docs).join(shared, "stem", "left")
+        .withColumn("stem", F.when(F.col("_shared"), mark).otherwise(F.col("stem")))
+        .drop("_shared")
     )
 
 

@@ -22,8 +22,16 @@ def split_sizes(total: int, ratios: Sequence[float]) -> tuple[int, int]:
 
 
 def row_hash(keys: Sequence[str], seed: int) -> Column:
-    """md5 of the seed and the row's unique keys: the shuffled order, without a shuffle."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    """md5 of the seed and the row's unique keys: a random order, without a shuffle.
+
+    Keys are joined by colons; their own colons are escaped and a null has a sign of its own, so different keys differ.
+    """
+    def written(key: str) -> Column:
+        text = F.col(key).cast("string")
+        escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit(":"), F.lit("\\:"))
+        return F.coalesce(escaped, F.lit("\\0"))
+
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[written(k) for k in keys]))
 
 
 def split_exact(

@@ -20,7 +20,7 @@ from textloom.operators.split import split_exact
 from textloom.operators.stats import split_source_histogram, split_statistics, split_totals
 from textloom.operators.vocabulary import DEFAULT_SPEC, VOCABULARY_SIZE, TokenizerSpec, build_vocabulary, tokenizer_fingerprint
 from textloom.sources.datasets import write_dataset, write_splits
-from textloom.sources.files import extract_documents, extraction_report, scan_files
+from textloom.sources.files import extract_documents, extraction_report, may_match_rtf, scan_files
 from textloom.sources.staging import (
     Scratch, hadoop_path, materialize_stage, read_manifest, read_text, stage, stage_fingerprint, stage_path, write_text,
 )
@@ -191,7 +191,8 @@ def prepare_files(
     if options.sources is not None and not options.sources:
         raise ValueError("a balanced dataset needs sources")
     raw = scan_files(spark, input_dir, options.file_patterns)
-    documents = extract_documents(raw, options.encoding, options.clean.handle_encoding_errors)
+    rtf = may_match_rtf(options.file_patterns)
+    documents = extract_documents(raw, options.encoding, options.clean.handle_encoding_errors, rtf)
     # The path in the metadata is unique; the bare name may not be, below several folders.
     # Relative to the folder, so that ids and splits do not depend on where it lies.
     fs, root = hadoop_path(spark, input_dir)
@@ -209,7 +210,7 @@ def prepare_files(
         result = _cached(spark, raw, documents, options, run, **flags)
     else:
         result = run(**flags)
-    result.extraction = extraction_report(raw, options.encoding, options.clean.handle_encoding_errors)
+    result.extraction = extraction_report(raw, options.encoding, options.clean.handle_encoding_errors, rtf)
     return result
 
 

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from textloom.functions.rows import where_computed
-from textloom.functions.text import normalize_newlines
+from textloom.functions.text import normalize_newlines, sanitize_encoding
 from textloom.sources.rtf import rtf_to_text
 from textloom.sources.staging import hadoop_path, path_exists
 
@@ -78,16 +78,44 @@ def is_utf8(encoding: str) -> bool:
     return encoding.lower().replace("_", "-") in ("utf-8", "utf8")
 
 
+# Codecs in which each byte is a character of its own.
+SINGLE_BYTE = ("ascii", "iso8859-1", "iso8859-2", "iso8859-15", "cp437", "cp850", "cp1250", "cp1251", "cp1252", "koi8-r", "mac-roman")
+
+
+def _decode_single(content: Column, codec: str, errors: str) -> Column:
+    """Bytes as latin-1, then each sign that the codec reads otherwise exchanged; all inside the JVM."""
+    given, wanted, undefined = [], [], []
+    for number in range(256):
+        sign = bytes([number]).decode(codec, "ignore")
+        if not sign:
+            undefined.append(chr(number))
+        elif sign != chr(number):
+            given.append(chr(number))
+            wanted.append(sign)
+    text = F.decode(content, "ISO-8859-1")
+    lost = "".join(undefined)
+    whole = F.translate(text, lost, "") == text if undefined else F.lit(True)
+    if errors == "replace":
+        given, wanted = given + undefined, wanted + ["\ufffd"] * len(undefined)
+    elif errors == "ignore":
+        given = given + undefined  # signs without a partner go
+    made = F.translate(text, "".join(given), "".join(wanted)) if given else text
+    return F.when(whole, made) if errors == "strict" else made
+
+
 def decode_bytes(content: Column, encoding: str = "utf-8", errors: str = "replace") -> Column:
-    r"""Text of ``content``; null where a strict reading fails. Line ends become ``\n``."""
+    r"""Text of ``content``; null where a strict reading fails. Line ends become ``\n``.
+
+    UTF-8 and single-byte encodings are read inside the JVM, others batch by batch in Python.
+    """
     if errors not in ERROR_MODES:
         raise ValueError(f"errors must be one of {ERROR_MODES}, got {errors!r}")
-    if is_utf8(encoding) and errors != "ignore":
+    codec = codecs.lookup(encoding).name
+    if is_utf8(encoding):
         text = content.cast("string")
-        if errors == "replace":
-            text = F.make_valid_utf8(text)
-        else:
-            text = F.when(F.is_valid_utf8(text), text)
+        text = F.when(F.is_valid_utf8(text), text) if errors == "strict" else sanitize_encoding(text, errors)
+    elif codec in SINGLE_BYTE:
+        text = _decode_single(content, codec, errors)
     else:
         text = _python_decode(encoding, errors)(content)
     return normalize_newlines(text)
@@ -96,37 +124,51 @@ def decode_bytes(content: Column, encoding: str = "utf-8", errors: str = "replac
 def _python_decode(encoding: str, errors: str):
     def one(raw: bytes | None) -> str | None:
         try:
-            return None if raw is None else bytes(raw).decode(encoding, errors)
+            return None if raw is None else raw.decode(encoding, errors)
         except UnicodeDecodeError:
             return None
 
-    @F.pandas_udf(StringType())
-    def decode(contents: pd.Series) -> pd.Series:
-        return contents.map(one)
+    @F.arrow_udf("string")
+    def decode(contents: pa.Array) -> pa.Array:
+        return pa.array([one(raw) for raw in contents.to_pylist()], pa.string())
 
     return decode
 
 
-@F.pandas_udf(StringType())
-def rtf_texts(sources: pd.Series) -> pd.Series:
-    return sources.map(lambda s: None if s is None else rtf_to_text(s))
+def rtf_texts(source: Column) -> Column:
+    """Plain text of RTF markup, a whole batch at a time."""
 
+    @F.arrow_udf("string")
+    def parsed(sources: pa.Array) -> pa.Array:
+        return pa.array([None if s is None else rtf_to_text(s) for s in sources.to_pylist()], pa.string())
 
-def extraction_report(raw: DataFrame, encoding: str = "utf-8", errors: str = "replace") -> DataFrame:
-    """One row per file, failures included: text (null if failed) and metadata columns."""
+    return parsed(source)
+
+
+def may_match_rtf(patterns: Sequence[str]) -> bool:
+    """Whether a file that one of the patterns lists can be RTF."""
+    return not all(re.search(r"\.[A-Za-z0-9]+$", p) and not p.lower().endswith(".rtf") for p in patterns)
+
+
+def extraction_report(raw: DataFrame, encoding: str = "utf-8", errors: str = "replace", rtf: bool = True) -> DataFrame:
+    """One row per file, failures included: text (null if failed) and metadata columns.
+
+    Without ``rtf``, for files none of which is RTF, no row passes a Python operator.
+    """
     suffix = file_suffix(F.col("path"))
     unsupported = F.concat(
         F.lit("Unsupported file type: "), F.col("_suffix"), F.lit(". Supported: .rtf, .txt")
     )
     undecodable = F.concat(F.lit("Encoding error reading "), F.col("path"), F.lit(f": not valid {encoding}"))
     # Only .rtf texts travel to Python; the other rows send a null.
+    rtf_text = rtf_texts(F.when(F.col("_suffix") == ".rtf", F.col("_decoded"))) if rtf else F.lit(None).cast("string")
     return (
         raw.withColumn("_suffix", suffix)
         .withColumn(
             "_decoded",
             F.when(F.col("_suffix").isin(".txt", ".rtf"), decode_bytes(F.col("content"), encoding, errors)),
         )
-        .withColumn("_rtf", rtf_texts(F.when(F.col("_suffix") == ".rtf", F.col("_decoded"))))
+        .withColumn("_rtf", rtf_text)
         .withColumn("text", F.when(F.col("_suffix") == ".rtf", F.col("_rtf")).otherwise(F.col("_decoded")))
         .select(
             "text",
@@ -148,9 +190,9 @@ def extraction_totals(report: DataFrame) -> DataFrame:
     )
 
 
-def extract_documents(raw: DataFrame, encoding: str = "utf-8", errors: str = "replace") -> DataFrame:
+def extract_documents(raw: DataFrame, encoding: str = "utf-8", errors: str = "replace", rtf: bool = True) -> DataFrame:
     """Successful files as documents: text, source_file (bare name), metadata."""
-    report = extraction_report(raw, encoding, errors)
+    report = extraction_report(raw, encoding, errors, rtf)
     return (
         where_computed(report, F.col("success"))
         .select(

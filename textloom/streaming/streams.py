@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textloom.operators.chunk import chunk_text
 from textloom.operators.clean import CleanOptions, clean_batch
 from textloom.operators.stats import source_counts
+from textloom.sources.staging import drop_folder, hadoop_path, materialize_stage, read_manifest
 
 
 def clean_and_chunk(
@@ -31,28 +32,51 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
     )
 
 
-def write_source_counts(documents: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Running texts and characters per source file.
+VERSIONS_KEPT = 2
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    fs, root = hadoop_path(spark, path)
+    names = [e.getPath().getName() for e in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n.removeprefix("version-")) for n in names if n.startswith("version-"))
+
 
-    Each batch writes the sources it changed under its own number, so a replayed
-    batch replaces its own rows; ``latest_source_counts`` reads the current state.
+def add_source_counts(documents: DataFrame, batch: int, path: str) -> bool:
+    """Add one batch to the counts kept in ``path``; false where that batch, or a later one, is in them already.
+
+    The counts after a batch are one whole table, a row per source, published in one step under the batch's number. So a
+    batch that is replayed, or was cut off half-way, counts once, and a reader reads one version however many batches
+    there were. The last ``VERSIONS_KEPT`` versions stay, for readers that have begun.
     """
+    spark = documents.sparkSession
+    known = _versions(spark, path)
+    if known and known[-1] >= batch and read_manifest(spark, f"{path}/version-{known[-1]}") is not None:
+        return False
+    counts = source_counts(documents)
+    if earlier := [v for v in known if v < batch]:
+        before = spark.read.parquet(f"{path}/version-{earlier[-1]}").select(*counts.columns)
+        counts = counts.unionByName(before).groupBy("source_file").agg(
+            *[F.sum(c).alias(c) for c in counts.columns if c != "source_file"]
+        )
+    materialize_stage(spark, f"{path}/version-{batch}", lambda: counts)
+    for old in _versions(spark, path)[:-VERSIONS_KEPT]:
+        drop_folder(spark, f"{path}/version-{old}")
+    return True
 
-    def save(changed: DataFrame, batch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
+def write_source_counts(documents: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Running texts and characters per source file; ``read_source_counts`` reads their current state."""
     return (
-        source_counts(documents)
-        .writeStream.outputMode("update")
-        .foreachBatch(save)
+        documents.writeStream.foreachBatch(lambda rows, batch: add_source_counts(rows, batch, path))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def latest_source_counts(table: DataFrame) -> DataFrame:
-    """The newest row of every source file; counts only grow, so the largest is the newest."""
-    return table.groupBy("source_file").agg(
-        F.max("num_texts").alias("num_texts"), F.max("total_chars").alias("total_chars")
-    )
+def read_source_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts after the last whole batch."""
+    for version in reversed(_versions(spark, path)):
+        if read_manifest(spark, f"{path}/version-{version}") is not None:
+            return spark.read.parquet(f"{path}/version-{version}")
+    raise FileNotFoundError(f"no counts in {path}")
