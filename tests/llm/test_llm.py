@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 from textloom.llm import (
     components, disclosure, fm_index, minmax, packing, quality, recipes, substrings, token_files, tokens, toxicity, urls, winnow,
 )
+from textloom.llm import labels as labels_module
 from textloom.llm import words as W
 from textloom.llm.tables import Workspace
 
@@ -122,6 +123,30 @@ def test_encoder_agrees_with_whole_texts():
             assert ids.tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids + [5]
 
 
+def test_encoder_on_special_strings():
+    """Equal to the library as it comes; plain on request."""
+    texts = ["a <|endoftext|> b", "a<|endoftext|>b.", "<|startoftext|>", "x <|endoftext|><|endoftext|>  y", "<|ENDOFTEXT|>", "no <| one"]
+    for path, pieces in ((BYTE, tokens.byte_pieces), (WORD, tokens.blank_pieces)):
+        library, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        plain.encode_special_tokens = True
+        for codec, option in ((library, False), (plain, True)):
+            got = tokens.Encoder(path, pieces, option).encode(texts, 5)
+            assert [ids.tolist() for ids in got] == [codec.encode(t, add_special_tokens=False).ids + [5] for t in texts]
+
+
+def test_encoder_keeps_what_is_used(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    own = tokens.Encoder(WORD, tokens.blank_pieces)
+    learned = []
+    learn = own._learn
+    monkeypatch.setattr(own, "_learn", lambda new: (learned.extend(new), learn(new)))
+    for i in range(60):
+        text = f"the often{i % 2} used word rare{i}x and{i}y {'z' * 70}"
+        assert own.encode([text], 1)[0].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids + [1]
+        assert len(own.known) < 40 and len(own.older) < 40
+    assert learned.count(b"the") == learned.count(b"word") == 1
+
+
 def test_exact_duplicates(docs):
     for bits in (64, 2):
         rows = recipes.exact_duplicates(docs, least=16, most=64, hash_bits=bits).collect()
@@ -352,16 +377,35 @@ def test_token_index():
         assert block.find(keys).tolist() == list(range(len(keys))) and (block.find(keys + (1 << 41)) == -1).all()
 
 
+def test_sanitised_rows_that_repeat_an_id(spark):
+    rows = [(1, "mail a@b.co now"), (1, "long and clean text without anything here"), (1, "mail a@b.co now"), (None, "ip 1.2.3.4"), (None, None), (2, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    clean = disclosure.sanitised(frame, disclosure.sensitive_spans(frame)).collect()
+    want = [(1, "mail [EMAIL] now")] * 2 + [rows[1], (None, "ip [IP]"), (None, ""), (2, "")]
+    assert sorted(map(tuple, clean), key=str) == sorted(want, key=str)
+    none = frame.limit(0)
+    assert disclosure.sanitised(none, disclosure.sensitive_spans(none)).count() == 0
+
+
+def test_labelled_rows_are_bounded(spark):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(500)] + [(8, "other"), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(7, 1), (7, 1), (8, 0), (None, 0)], "doc_id long, toxic int")
+    rows, _ = labels_module.labelled_sample(docs, labels, "toxic", 5, 0, 1)
+    assert sorted((r["doc_id"], r["label"]) for r in rows.collect()) == [(7, 1), (8, 0)]
+
+
 def test_token_files(spark, docs):
     codec = Tokenizer.from_file(BYTE)
     rows = token_files.token_files(docs, BYTE, block_ids=300).collect()
-    ordered = sorted(((i, t or "") for i, t in ROWS), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    want, start = [], 0
-    for doc_id, text in ordered:
-        ids = np.array(codec.encode(text, add_special_tokens=False).ids + [0], "<u4")
-        want.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
-        start += len(ids)
-    assert sorted((tuple(r) for r in rows), key=lambda r: r[1]) == want
+    got = sorted((tuple(r) for r in rows), key=lambda r: r[1])
+    want = []
+    for doc_id, text in ROWS:
+        ids = np.array(codec.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
+        want.append((doc_id, len(ids), zlib.crc32(ids.tobytes())))
+    order = lambda r: (r[0] is not None, r[0] or 0)
+    assert [r[0] for r in got] == [r[0] for r in sorted(want, key=order)]
+    assert sorted([(r[0], *r[2:]) for r in got], key=str) == sorted(want, key=str)
+    assert [r[1] for r in got] == np.concatenate([[0], np.cumsum([r[2] for r in got])[:-1]]).tolist()
     ws = Workspace(spark, "files")
     token_files.write_token_files(docs, ws.folder, BYTE, block_ids=300)
     assert {r.doc_id: r.ids for r in token_files.read_documents(spark, ws.folder, [8, 11, 999]).collect()} == {

@@ -117,33 +117,52 @@ def plan_packing(counts: dict[int, int], capacity: int) -> list[Run]:
     return runs
 
 
-def _cut(ids: np.ndarray, capacity: int) -> list[tuple[int, np.ndarray]]:
-    return [(start, ids[start : start + capacity]) for start in range(0, len(ids), capacity)]
-
-
-def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids: bool) -> DataFrame:
+def _pieces(encoded: list[np.ndarray], capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each piece: its document's place in the list, its number in the document, its length."""
+    sizes = np.array([len(ids) for ids in encoded], np.int64)
+    pieces = -(-sizes // capacity)
+    document = np.repeat(np.arange(len(encoded)), pieces)
+    piece = np.arange(len(document)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return document, piece, np.minimum(sizes[document] - piece * capacity, capacity)
+
+
+def _counted(length: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Each piece's number among the pieces of its length; ``seen`` counts on."""
+    order = np.argsort(length, kind="stable")
+    ranked = length[order]
+    number = np.empty(len(length), np.int64)
+    number[order] = seen[ranked] + np.arange(len(ranked)) - np.searchsorted(ranked, ranked)
+    seen += np.bincount(length, minlength=len(seen))
+    return number
+
+
+def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_ids: bool, plain_specials: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, slot, number`` and ``ids``: ``number`` counts a length within its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(tokenizer, blank_pieces)
+        encoder = Encoder.of(tokenizer, blank_pieces, plain_specials)
         slot = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
-                rows: dict[str, list] = {name: [] for name in names}
                 encoded = encoder.encode(part.column("text").to_pylist(), end_id)
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
-                    for piece, (start, own) in enumerate(_cut(ids, capacity)):
-                        row = (doc_id, piece, start, len(own), zlib.crc32(own.astype("<u4").tobytes()), slot, seen[len(own)])
-                        for name, value in zip(names, (*row, own.astype(np.int32)), strict=False):
-                            rows[name].append(value)
-                        seen[len(own)] += 1
-                yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([(n, types[n]) for n in names]))
-
-    types = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(),
-             "slot": pa.int32(), "number": pa.int64(), "ids": pa.list_(pa.int32())}
-    names = [name for name in types if with_ids or name != "ids"]
+                document, piece, length = _pieces(encoded, capacity)
+                start = piece * capacity
+                own = zip(document.tolist(), start.tolist(), (start + length).tolist(), strict=True)
+                crcs = [zlib.crc32(encoded[d][a:b]) for d, a, b in own]
+                columns = {
+                    "doc_id": part.column("doc_id").take(pa.array(document)), "piece": pa.array(piece.astype(np.int32)),
+                    "start": pa.array(start), "length": pa.array(length), "ids_crc32": pa.array(crcs, pa.int64()),
+                    "slot": pa.array(np.full(len(piece), slot, np.int32)), "number": pa.array(_counted(length, seen)),
+                }
+                if with_ids:
+                    # Pieces follow each other as their ids do.
+                    ends = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+                    ids = np.concatenate(encoded).view(np.int32) if encoded else np.empty(0, np.int32)
+                    columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+                yield pa.RecordBatch.from_pydict(columns)
+
     schema = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, slot int, number bigint"
     return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
 

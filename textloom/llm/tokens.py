@@ -2,7 +2,8 @@
 
 Neither tokenizer used here lets a token reach over the places where a text is cut, so
 the ids of the pieces, put together, are the ids of the text. Most pieces have been
-seen before in the same worker; only new ones go through the tokenizer.
+seen before in the same worker; only new ones go through the tokenizer. A text that holds a special token's string goes through
+it whole.
 """
 
 from __future__ import annotations
@@ -13,8 +14,9 @@ from collections.abc import Callable
 
 import numpy as np
 
-#: Pieces a worker remembers; beyond that it starts anew. Rare pieces seldom come again.
-REMEMBERED = 1_000_000
+#: Pieces in each of the two generations that a worker remembers. When the younger one is full, the older one goes; what
+#: was used since moves on, so frequent pieces are learned once.
+REMEMBERED = 500_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 64
 #: Blanks beside each other, or at an end: such texts are cut before single blanks only.
@@ -48,24 +50,32 @@ def _stem(piece: str) -> str | None:
 
 
 class Encoder:
-    """Ids of texts under one tokenizer file; one per worker and file."""
+    """Ids of texts under one tokenizer file; one per worker and file.
 
-    _made: dict[tuple[str, str], Encoder] = {}
+    The strings of special tokens (``<|endoftext|>`` and the like) are these tokens, as the library has it; with
+    ``plain_specials`` they are ordinary text.
+    """
 
-    def __init__(self, path: str, pieces: Callable[[str], list]):
+    _made: dict[tuple[str, str, bool], Encoder] = {}
+
+    def __init__(self, path: str, pieces: Callable[[str], list], plain_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = plain_specials
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # In any case: pieces are lowered for some files, and must not become such a string by that.
+        self.special = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.pieces = pieces
         self.known: dict[str | bytes, bytes] = {}
+        self.older: dict[str | bytes, bytes] = {}
 
     @classmethod
-    def of(cls, path: str, pieces: Callable[[str], list]) -> Encoder:
-        key = (path, pieces.__name__)
+    def of(cls, path: str, pieces: Callable[[str], list], plain_specials: bool = False) -> Encoder:
+        key = (path, pieces.__name__, plain_specials)
         if key not in cls._made:
-            cls._made[key] = cls(path, pieces)
+            cls._made[key] = cls(path, pieces, plain_specials)
         return cls._made[key]
 
     def _learn(self, new: list) -> None:
@@ -77,20 +87,42 @@ class Encoder:
         for piece, text, stem in zip(new, texts, stems, strict=True):
             self.known[piece] = ids[text] if stem is None else ids[stem] + ids[text[-1]]
 
+    def _remember(self, missing: set) -> None:
+        """Afterwards the younger generation has all of them."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        new = []
+        for piece in missing:
+            ids = self.older.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                self.known[piece] = ids
+        if new:
+            self._learn(new)
+
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """The ids of each text with ``end`` behind them, as uint32."""
-        cut = [self.pieces(text) for text in texts]
+        last = np.array([end], np.uint32).tobytes()
+        whole = [self.special is not None and self.special.search(text) is not None for text in texts]
+        cut = [[] if special else self.pieces(text) for text, special in zip(texts, whole, strict=True)]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new: set = set()
-        for pieces in cut:
-            new.update(pieces)
-        new.difference_update(self.known)
-        if new:
-            self._learn(list(new))
-        known, last = self.known, np.array([end], np.uint32).tobytes()
-        out = [np.frombuffer(b"".join([known[piece] for piece in pieces] + [last]), np.uint32) for pieces in cut]
-        for piece in new:
-            if len(piece) > LONGEST:
-                del known[piece]
+            self._remember(set())
+        found = [list(map(self.known.get, pieces)) for pieces in cut]
+        missing: set = set()
+        for pieces, ids in zip(cut, found, strict=True):
+            if None in ids:
+                missing.update(piece for piece, own in zip(pieces, ids, strict=True) if own is None)
+        if missing:
+            self._remember(missing)
+            for i, (pieces, ids) in enumerate(zip(cut, found, strict=True)):
+                if None in ids:
+                    found[i] = [self.known[p] if own is None else own for p, own in zip(pieces, ids, strict=True)]
+            for piece in missing:
+                if len(piece) > LONGEST:
+                    del self.known[piece]
+        out = [np.frombuffer(b"".join(ids) + last, np.uint32) for ids in found]
+        for i, special in enumerate(whole):
+            if special:
+                out[i] = np.array([*self.tokenizer.encode(texts[i], add_special_tokens=False).ids, end], np.uint32)
         return out
