@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from textloom.llm.tables import Workspace, texts_of
 from textloom.llm.tokens import Encoder, byte_pieces
 from textloom.llm.words import U64, mix
+from textloom.sources.staging import shuffles_freed
 
 MAGIC = 0x31584449_4E454B54
 END_ID = 0
@@ -137,16 +138,36 @@ def block_bytes(partition: int, block: int, keys: list[int | None], ids: list[np
     return b"".join([*parts, payload.astype("<u2" if width == 2 else "<u4").tobytes()])
 
 
+def _encoded(docs: DataFrame, tokenizer: str, end_id: int, plain_specials: bool) -> DataFrame:
+    """``doc_id, mark, width, ids``: little-endian ids of ``width`` bytes, and a hash that parts rows of one key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder.of(tokenizer, byte_pieces, plain_specials)
+        width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 512):
+                part = batch.slice(begin, 512)
+                ids = [own.astype(f"<u{width}").tobytes() for own in encoder.encode(part.column("text").to_pylist(), end_id)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                     pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())],
+                    ["doc_id", "mark", "width", "ids"],
+                )
+
+    return docs.mapInArrow(run, "doc_id bigint, mark bigint, width int, ids binary")
+
+
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, key: str = "doc_id", text: str = "text",
-    end_id: int = END_ID, block_ids: int = BLOCK_IDS,
+    end_id: int = END_ID, block_ids: int = BLOCK_IDS, plain_specials: bool = False,
 ) -> None:
-    """The documents' ids as files in ``folder/blocks``, in ascending key order, nulls first, ties by text."""
+    """The documents' ids as files in ``folder/blocks``, in ascending key order, nulls first, rows of one key by a hash.
+
+    Texts are encoded where they lie; only their ids are written, dealt out by key and put into blocks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(tokenizer, byte_pieces)
-        width = 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16 else 4
-        partition, block = TaskContext.get().partitionId(), 0
+        partition, block, width = TaskContext.get().partitionId(), 0, 4
         keys: list = []
         ids: list = []
         held = 0
@@ -156,23 +177,28 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["block"])
 
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
-                encoded = encoder.encode(part.column("text").to_pylist(), end_id)
-                for doc_id, own in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
-                    if keys and held + len(own) > block_ids:
-                        yield flush()
-                        keys, ids, held, block = [], [], 0, block + 1
-                    keys.append(doc_id)
-                    ids.append(own.astype(np.uint16) if width == 2 else own)
-                    held += len(own)
+            for doc_id, wide, own in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "width", "ids")], strict=True):
+                width = wide
+                own = np.frombuffer(own, f"<u{width}")
+                if keys and held + len(own) > block_ids:
+                    yield flush()
+                    keys, ids, held, block = [], [], 0, block + 1
+                keys.append(doc_id)
+                ids.append(own)
+                held += len(own)
         if keys:
             yield flush()
 
-    ordered = texts_of(docs, key, text).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    blocks = ordered.mapInArrow(run, "block binary").select(F.col("block").cast("string"))
+    ws = Workspace(docs.sparkSession, "encoded")
+    rows = ws.stage(_encoded(texts_of(docs, key, text), tokenizer, end_id, plain_specials), "ids")
+    order = ("doc_id", "mark", "ids")
+    # The range bounds are read off the keys alone.
+    ordered = rows.repartitionByRange("doc_id", "mark").sortWithinPartitions(*order)
+    blocks = ordered.select("doc_id", "width", "ids").mapInArrow(run, "block binary").select(F.col("block").cast("string"))
     # The text writer hands a row's bytes on as they are; one row a file.
-    blocks.write.option("maxRecordsPerFile", 1).text(f"{folder}/blocks")
+    with shuffles_freed(docs.sparkSession):
+        blocks.write.option("maxRecordsPerFile", 1).text(f"{folder}/blocks")
+    ws.drop("ids")
 
 
 def _blocks(spark: SparkSession, folder: str) -> DataFrame:
@@ -242,7 +268,7 @@ def token_files(
     """Write the files, read them back: ``doc_id, start, n_tokens, ids_crc32``, a row per document.
 
     ``start`` counts the ids of all documents before in ascending key order; null keys come first,
-    rows that share a key follow each other in the order of their texts and are all in the files. Null and empty texts are the end id alone.
+    rows that share a key follow each other, by a hash of their ids, and are all in the files. Null and empty texts are the end id alone.
     An empty table gives an empty folder and no rows. The files stay in the workspace's ``files`` folder.
     """
     spark = docs.sparkSession
