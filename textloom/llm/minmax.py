@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm import words as W
 from textloom.llm.components import component_roots
+from textloom.llm.sieve import in_sieve, sieve_of
 from textloom.llm.tables import Workspace, map_texts, texts_of
 
 SHINGLE = 5
@@ -41,6 +42,8 @@ GROWTH = 64
 CELLS = 1024
 _MARKS = [f"mark_{i}" for i in range(CELLS // 64)]
 _CHUNK = 1 << 17
+#: 32 MB: the largest bitmap of ids that is sent.
+MOST_SIEVE_BITS = 28
 
 
 def _constants(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,9 +111,32 @@ def sketches(docs: DataFrame, size: int, permutations: int, rows: int) -> DataFr
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """``node, shingles`` and the columns of ``parities``, of the wanted classes, from one document of each."""
+    """``node, shingles`` and the columns of ``parities``, of the wanted classes, from one document of each.
 
-    def run(ids: list, texts: list) -> pa.RecordBatch:
+    A bitmap of the wanted ids goes to the texts, so sets are made where these lie and only sets move. It is sized by the
+    number of ids; what passes it by chance finds no partner in the join.
+    """
+    firsts = wanted.select(F.col("first_id"), F.col("set_key").alias("class_key"), "node")
+    number = firsts.count()
+    bits = min(max(24, (8 * number).bit_length()), MOST_SIEVE_BITS)
+    hashed = lambda ids: W.mix(np.array([-1 if i is None else i for i in ids], np.int64).view(W.U64))
+    grams = firsts.select(F.coalesce("first_id", F.lit(-1)).alias("id")).distinct().mapInArrow(
+        lambda batches: (
+            pa.RecordBatch.from_arrays([pa.array(hashed(b.column("id").to_pylist()).view(np.int64))], ["gram"]) for b in batches
+        ),
+        "gram bigint",
+    )
+    sieve = docs.sparkSession.sparkContext.broadcast(sieve_of(grams, bits))
+
+    def run(batches):
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            passed = np.flatnonzero(in_sieve(sieve.value, hashed(ids), bits)) if ids else []
+            for begin in range(0, len(passed), 2048):
+                own = batch.take(pa.array(passed[begin : begin + 2048]))
+                yield made(own.column("doc_id").to_pylist(), own.column("text").to_pylist())
+
+    def made(ids: list, texts: list) -> pa.RecordBatch:
         keys, kept, marks = [], [], []
         for text in texts:
             shingles = shingle_set(text, size)
@@ -123,10 +149,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
             ["doc_id", "set_key", "shingles", *_MARKS],
         )
 
-    firsts = wanted.select(F.col("first_id"), F.col("set_key").alias("class_key"), "node")
-    chosen = docs.join(firsts.select("first_id").distinct(), F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
     numbers = ", ".join(f"{mark} bigint" for mark in _MARKS)
-    sets = map_texts(chosen, run, f"doc_id bigint, set_key binary, shingles array<bigint>, {numbers}")
+    sets = docs.select("doc_id", "text").mapInArrow(run, f"doc_id bigint, set_key binary, shingles array<bigint>, {numbers}")
     same = [F.col("set_key") == F.col("class_key"), F.col("doc_id").eqNullSafe(F.col("first_id"))]
     # Rows that repeat an id and a text give the same set again: one is enough.
     return sets.join(firsts, same).dropDuplicates(["node"]).select("node", "shingles", *_MARKS)
