@@ -119,7 +119,7 @@ def _scan(docs: DataFrame) -> DataFrame:
         digests, spans, entities, pairs = [], [], [], []
         for text in texts:
             data = W.as_bytes(text, lower=True)
-            digests.append(W.digest(W.word_hashes(data, *W.word_bounds(data, np.zeros(256, bool)))))
+            digests.append(_digest(data))
             found = base_spans(text)
             spans.append([{"start": a, "kind": k, "stop": b} for a, k, b in found])
             named = [_entity(text, s) for s in found]
@@ -166,7 +166,7 @@ def _frequencies(docs: DataFrame, sieve, repeated, bits: int) -> DataFrame:
             for text in batch.column("text"):
                 text = text.as_py()
                 data = W.as_bytes(text, lower=True)
-                digest = W.digest(W.word_hashes(data, *W.word_bounds(data, np.zeros(256, bool))))
+                digest = _digest(data)
                 if digest in known:
                     continue
                 known.add(digest)
@@ -194,7 +194,7 @@ def _places(docs: DataFrame, sieve, bits: int) -> DataFrame:
         digests, places = [], []
         for text in texts:
             data = W.as_bytes(text, lower=True)
-            digests.append(W.digest(W.word_hashes(data, *W.word_bounds(data, np.zeros(256, bool)))))
+            digests.append(_digest(data))
             hashes, starts, stops = _terms(text, data, [])
             passed = in_sieve(sieve.value, hashes, bits)
             if passed.any():
@@ -265,27 +265,40 @@ def sensitive_spans(
 
 
 def sanitised(docs: DataFrame, spans: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text`` with every span replaced by its kind in square brackets; spans inside others go with them."""
-    source = texts_of(docs, key, text)
-    merged = source.join(spans.select(F.col("doc_id").alias("_id"), "spans").distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    """``doc_id, text`` with every span replaced by its kind in square brackets; spans inside others go with them.
+
+    ``spans`` is what ``sensitive_spans`` found in the same documents. Rows meet their spans by id and text, so rows that
+    repeat an id, or have none, keep their own; one row comes out for each that goes in. Null texts are empty.
+    """
+    found = spans.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "spans").dropDuplicates(["_id", "_digest"])
 
-    @F.pandas_udf("string")
-    def replaced(texts, found):
-        import pandas as pd
+    def digests(ids: list, texts: list) -> pa.RecordBatch:
+        own = [_digest(W.as_bytes(x, lower=True)) for x in texts]
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(own, pa.int64())], ["doc_id", "text", "digest"])
 
+    marked = map_texts(texts_of(docs, key, text), digests, "doc_id bigint, text string, digest bigint")
+    merged = marked.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")), "left")
+
+    @F.arrow_udf("string")
+    def replaced(texts: pa.Array, rows: pa.Array) -> pa.Array:
         out = []
-        for own, rows in zip(texts, found, strict=True):
+        for own, given in zip(texts.to_pylist(), rows.to_pylist(), strict=True):
             parts, done = [], 0
-            for span in [] if rows is None else rows:
+            for span in given or ():
                 if span["start"] >= done:
                     parts += [own[done : span["start"]], f"[{KINDS[span['kind']].upper()}]"]
                 done = max(done, span["stop"])
             out.append("".join(parts) + own[done:])
-        return pd.Series(out)
+        return pa.array(out, pa.string())
 
     return merged.select("doc_id", replaced("text", "spans").alias("text"))
 
 
+def _digest(lowered: np.ndarray) -> int:
+    """Stands for a text, without case."""
+    return W.digest(W.word_hashes(lowered, *W.word_bounds(lowered, np.zeros(256, bool))))
+
+
 def span_count(spans, kind: int):
     """How many spans are of a kind, as a column."""
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")

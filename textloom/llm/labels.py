@@ -27,4 +27,8 @@ def labelled_sample(
     for value in (0, 1):
         part = rows.where(F.col("label") == value).orderBy(mixed, "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
-    return docs.join(F.broadcast(chosen.distinct()), "doc_id"), counts
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen.distinct()), "doc_id")
+    # An id may stand more than once, in either table: one row each is learned from, the least by its text's hash.
+    return found.groupBy("doc_id", "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select(
+        "doc_id", "text", "label"
+    ), counts

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.sources.staging import hadoop_path, new_folder
-
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+from textloom.sources.staging import hadoop_path, new_folder, shuffles_freed
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,17 +22,6 @@ def texts_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
-@contextmanager
-def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files go when the write ends: what follows reads the written table, never the shuffle."""
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
 class Workspace:
     """The tables that one run of an operator writes to the cluster's shared folder.
 
@@ -50,7 +36,7 @@ class Workspace:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
-        with _shuffles_freed(self.spark):
+        with shuffles_freed(self.spark):
             df.write.parquet(path)
         self.names.append(name)
         return self.spark.read.schema(df.schema).parquet(path)
