@@ -6,6 +6,7 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame. All but the
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +20,34 @@ ORACLE_SQL = None
 
 
 def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """The rows written out with a number each: decisions come back by number, whatever the ids are."""
-    number = "_row"
-    while number in docs.columns:
-        number += "_"
-    rows = docs.withColumn(number, F.monotonically_increasing_id())
-    return Workspace(docs.sparkSession, f"pipeline-{name}").stage(rows, "documents"), number
+    """The rows with a number each: decisions come back by number, whatever the ids are.
+
+    Rows of Parquet files, which the stages' inputs are, have one already: their place in their file. Nothing is copied
+    then. Other frames are written out with numbers.
+    """
+    number, file, place = (_free(docs, c) for c in ("_row", "_file", "_place"))
+    try:
+        located = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place))
+    except AnalysisException:
+        rows = docs.withColumn(number, F.monotonically_increasing_id())
+        return Workspace(docs.sparkSession, f"pipeline-{name}").stage(rows, "documents"), number
+    # A row per file.
+    files = located.select(file).distinct().coalesce(1).withColumn(number, F.monotonically_increasing_id())
+    files = Workspace(docs.sparkSession, f"pipeline-{name}").stage(files, "files")
+    rows = located.join(F.broadcast(files), file).withColumn(number, F.shiftleft(number, 40) + F.col(place))
+    return rows.drop(file, place), number
 
 
 def _only(docs: DataFrame, number: str, kept: DataFrame) -> DataFrame:
     return docs.join(kept, number, "left_semi").drop(number)
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality classifier rejects."""
     good = quality.quality_filter(docs, table(spark, sf_dir, "labels"))
@@ -76,6 +93,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     ws = Workspace(spark, "pipeline")
-    for name, stage in STAGES:
+    for i, (name, stage) in enumerate(STAGES):
         docs = ws.stage(stage(spark, docs, sf_dir), name)
+        if i:
+            ws.drop(STAGES[i - 1][0])  # read for the last time
     return docs
