@@ -15,7 +15,7 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(spark, connection, name):
-    wanted = "ok" if name in entry.oracle_sql() else "rows only"  # the latter are compared with brute force elsewhere
+    wanted = "ok" if name in entry.oracle_sql() else "rows only"  # tests of their own check the latter
     assert check.compare(spark, connection, SF_DIR, name).startswith(wanted)
 
 
