@@ -367,6 +367,64 @@ def test_url_filter(spark):
     assert found[700].verdict == "allow" and found[701].verdict == "block"
 
 
+def url_brute(rows, rules, order):
+    """Verdicts and scores by counting whole contexts in dictionaries."""
+    def symbols(url):
+        head, sign, tail = (url or "").partition("://")
+        text = (tail if sign else head).translate({i: i + 32 for i in range(65, 91)})
+        kinds = "abcdefghijklmnopqrstuvwxyz./-_?=&%#~+:@,;!"
+        named = [3 if 48 <= b <= 57 else kinds.index(chr(b)) + 4 if chr(b) in kinds else 2 for b in text.encode()]
+        return [1] * (order - 1) + named + [1]
+
+    def rule_of(url):
+        match = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+        host, path = (match[1].lower(), match[2]) if match else ("", "")
+        fitting = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        return max(fitting, key=lambda r: len(r.name), default=None)
+
+    counts = {True: defaultdict(int), False: defaultdict(int)}
+    for _, url in rows:
+        rule = rule_of(url)
+        if rule is not None and zlib.crc32(url.encode()) % urls.HELD_OUT:
+            own = symbols(url)
+            for i in range(order - 1, len(own)):
+                for n in range(1, order + 1):
+                    counts[rule.allow][tuple(own[i - n + 1 : i + 1])] += 1
+                    counts[rule.allow][("context", *own[i - n + 1 : i])] += 1
+
+    def score(url):
+        own, total = symbols(url), 0.0
+        for i in range(order - 1, len(own)):
+            for sign, model in ((1, counts[True]), (-1, counts[False])):
+                p = 1 / urls.SYMBOLS
+                for n in range(1, order + 1):
+                    whole, context = model[tuple(own[i - n + 1 : i + 1])], model[("context", *own[i - n + 1 : i])]
+                    p = (whole + urls.SMOOTHING * p) / (context + urls.SMOOTHING)
+                total += sign * np.log(p)
+        return total / (len(own) - order + 1)
+
+    return {i: (None if rule_of(url) is None else rule_of(url).name, score(url)) for i, url in rows}
+
+
+@pytest.mark.parametrize("head", [urls.HEAD, 50, 0])
+def test_url_models_count_exactly(spark, head):
+    """Scores are those of exact counts, whichever grams are sent and whichever are joined."""
+    rules = (urls.Rule(True, "com"), urls.Rule(False, "net", "/es/"))
+    rng = np.random.default_rng(12)
+    signs = list("abcdefghijklmnop-._~%?=&0123456789Zé")
+    rows = [
+        (i, f"http://{''.join(rng.choice(signs[:16], 6))}.{('com', 'net', 'org')[i % 3]}/{('en', 'es')[i % 3 == 1]}/{''.join(rng.choice(signs, int(rng.integers(0, 12))))}")
+        for i in range(600)
+    ] + [(700, None), (701, ""), (702, "no scheme"), (703, "http://a.net/es/b"), (703, "http://a.net/es/b")]
+    found = urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), rules, head=head).collect()
+    want = url_brute(rows, rules, urls.ORDER)
+    assert len(found) == len(rows)
+    for r in found:
+        assert r.rule == want[r.page_id][0] and abs(r.score - want[r.page_id][1]) < 1e-6
+    free = [(r.score, r.verdict) for r in found if r.rule is None]
+    assert max([s for s, v in free if v == "block"], default=-9) < min([s for s, v in free if v == "allow"], default=9)
+
+
 def test_token_index():
     for n in (0, 1, 2, 7, 500):
         keys = np.unique(RNG.integers(-(1 << 40), 1 << 40, n))
