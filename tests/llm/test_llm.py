@@ -202,6 +202,12 @@ def test_near_duplicates(docs):
         assert all(r.kept == (r.doc_id == r.component_id) for r in found.collect())
 
 
+@pytest.mark.parametrize("size,percent,rows", [(3, 85, 5), (5, 80, corpus_pipeline.NEAR_ROWS)])
+def test_near_duplicates_with_production_bands(docs, size, percent, rows):
+    found = minmax.near_duplicates(docs, shingle=size, percent=percent, rows=rows)
+    assert got(found, "doc_id", "n_shingles", "component_id") == near_brute(ROWS, size, percent)
+
+
 def test_parities_never_tell_more_than_the_sets_differ():
     rng = np.random.default_rng(5)
     for size, other in [(0, 0), (1, 0), (40, 3), (300, 60), (5000, 900)]:
@@ -305,6 +311,31 @@ def test_sensitive_spans(spark):
     assert "ann@" not in clean[0] and "[EMAIL]" in clean[0] and "[TERM]" in clean[0]
 
 
+def test_base_spans_by_plain_patterns():
+    patterns = (
+        r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]",
+    )
+
+    def passes(kind, found):
+        digits = re.sub(r"[^0-9]", "", found)
+        if kind == 1:
+            return all(int(part) <= 255 for part in found.split("."))
+        if kind == 2:
+            doubled = [int(d) if i % 2 == 0 else sum(map(int, str(2 * int(d)))) for i, d in enumerate(reversed(digits))]
+            return 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+        return kind == 0 or 10 <= len(digits) <= 15
+
+    rng = np.random.default_rng(21)
+    parts = ["a@b.c", "@", ".", "-", " ", "+", "x", "1", "25", "256", "4111111111111111", "4111 1111 1111 1111", "+49 30 1234567", "1.2.3.4", "(", "é", "\n", "0"]
+    for _ in range(4000):
+        text = "".join(rng.choice(parts, int(rng.integers(0, 14))))
+        want = sorted(
+            (m.start(), k, m.end()) for k, pattern in enumerate(patterns) for m in re.finditer(pattern, text) if passes(k, m[0])
+        )
+        assert disclosure.base_spans(text) == want, text
+
+
 def test_terms_of_rare_entities(spark):
     """An entity of one or of two texts is given away by what stands beside it alone; words of many texts are not."""
     rows = [(0, f"{prose(20)} Quixada mailed ann@corp.example.com w1 w2 {prose(20)}"), (1, "and Quixada was here " + prose(20))]
@@ -493,6 +524,44 @@ def test_classifiers(spark):
     assert scores[901] > 10 * np.median(clean) and scores[902] < 0.5  # unseen misspellings lie far from clean text
 
 
+@pytest.mark.parametrize("head", [0, 7, 10_000])
+def test_word_vectors_by_plain_sums(spark, docs, head, monkeypatch):
+    """Context vectors added up one by one; texts are looked at in blocks."""
+    monkeypatch.setattr(quality, "BLOCK", 7)
+    texts = [t for _, t in ROWS]
+    counts = defaultdict(int)
+    for text in texts:
+        for word in quality.tokens(text).tolist():
+            counts[word] += 1
+    frequent = sorted(sorted(counts, key=lambda w: (-counts[w], w if w < 2**63 else w - 2**64))[:head])
+    assert quality.frequent_words(docs, head).tolist() == frequent
+    place = {word: i for i, word in enumerate(frequent)}
+    want = defaultdict(lambda: np.zeros(quality.WIDTH))
+    for text in texts:
+        own = quality.tokens(text)
+        places, signs = quality.index_entries(own, quality.WIDTH)
+        for i, word in enumerate(own.tolist()):
+            row = place.get(word, len(frequent) + (word >> 58))
+            for j in range(max(0, i - quality.REACH), min(len(own), i + quality.REACH + 1)):
+                if j != i:
+                    np.add.at(want[row], places[j], signs[j])
+    sums = quality.context_sums(docs, np.array(frequent, W.U64), bits=6, block=50)
+    assert len(sums) == len(frequent) + 64
+    for row in range(len(sums)):
+        assert (sums[row] == want[row]).all()
+    vectors = quality.WordVectors.of(np.array(frequent, W.U64), sums, 6)
+    for text in texts:
+        rows = []
+        for word in quality.tokens(text):
+            row = want[place.get(int(word), len(frequent) + (int(word) >> 58))]
+            places, signs = quality.index_entries(np.array([word]), quality.WIDTH)
+            own = row / max(np.linalg.norm(row), 1e-9)
+            np.add.at(own, places[0], signs[0] / np.sqrt(quality.NONZERO))
+            rows.append(own)
+        plain = np.concatenate([np.mean(rows, axis=0), np.mean(np.square(rows), axis=0)]) if rows else np.zeros(2 * quality.WIDTH)
+        assert np.allclose(vectors.pooled(text), plain, atol=1e-4)
+
+
 def test_toxicity_learns_from_whole_texts():
     """The only toxic passage of a long text lies behind its first 32 KB."""
     texts, labels, rng = [], [], np.random.default_rng(4)
@@ -534,5 +603,15 @@ def test_pipeline(spark, docs, tmp_path):
     assert kept[1] == kept[0]  # one label only: nothing is rejected
     assert kept[2] == len({lowered(t) for _, t in ROWS})
     assert not [r for r in frame.collect() if " ".join(blanks(LONG)[:30]) in (r.text or "")]
+    # Stage by stage against plain versions, in rows and not only in numbers.
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    last = {}
+    for doc_id, text in rows:
+        key = lowered(text)
+        if key not in last or (doc_id is not None and (last[key][0] is None or doc_id > last[key][0])):
+            last[key] = (doc_id, text)
+    distinct = [(i, t) for i, t in enumerate(last.values())]
+    classes = near_brute([(i, t) for i, (_, t) in distinct], 5, 80)
+    assert kept[3] == sum(i == component for i, _, component in classes if component is not None)
     packed = corpus_pipeline.run(spark, folder)
     assert packed.select("doc_id").distinct().count() == frame.select("doc_id").distinct().count()

@@ -1,9 +1,9 @@
 """Text quality by random-indexing word vectors and a small neural network.
 
-Every word has a fixed sparse random index vector; a word's context vector is the sum of the index
-vectors of the words around it, over all occurrences in the corpus. Words share
-``2**BUCKET_BITS`` rows by hash, so the vectors have a fixed size while what they sum up
-grows with the corpus. Tokens are runs of letters, digits or signs; capitals and
+Every word has a fixed sparse random index vector, read off its hash; a word's context vector is the sum of the index
+vectors of the words around it, over all occurrences in the corpus. The ``HEAD`` most frequent
+words have a context vector each; rarer words share ``2**TAIL_BITS`` of them by hash. Their number is fixed
+while what they sum up grows with the corpus. Tokens are runs of letters, digits or signs; capitals and
 repeated words each add a token of their own, so that they are counted as words are.
 A document is the mean of its tokens' vectors and the mean of their squares; a
 two-layer network in numpy reads that, and its probabilities are calibrated by a temperature.
@@ -23,10 +23,13 @@ from textloom.llm import words as W
 from textloom.llm.labels import held_out, labelled_sample
 from textloom.llm.tables import Workspace, map_texts, texts_of
 
-BUCKET_BITS = 14
+#: Words with a context vector of their own, and the vectors that all others share.
+HEAD, TAIL_BITS = 1 << 15, 14
 WIDTH = 32
 NONZERO = 2
 REACH = 2
+#: Tokens of a text that are looked at together.
+BLOCK = 1 << 16
 #: Learned from: at most so many documents a class.
 PER_CLASS = 3000
 HIDDEN, EPOCHS, BATCH, RATE = 32, 60, 128, 3e-3
@@ -62,69 +65,106 @@ def tokens(text: str | None) -> np.ndarray:
     return out[np.stack([np.ones(len(hashes), bool), loud, again, ends], axis=1)]
 
 
-def buckets_of(text: str | None, bits: int) -> np.ndarray:
-    return (tokens(text) >> W.U64(64 - bits)).astype(np.int64)
+def frequent_words(docs: DataFrame, head: int = HEAD) -> np.ndarray:
+    """Hashes of the ``head`` most frequent tokens of all texts, ascending; ties go to the smaller hash.
+
+    Every token is counted: in slices first, in the tasks next, then by Spark. Only the ``head`` first come back.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [tokens(text) for text in batch.column("text").to_pylist()]
+            names, n = np.unique(np.concatenate([np.empty(0, W.U64), *own]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
+
+    counts = docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    found = counts.orderBy(F.desc("n"), "word").limit(head).select("word").toArrow()
+    return np.sort(found["word"].to_numpy().view(W.U64))
 
 
-def index_vectors(bits: int = BUCKET_BITS, width: int = WIDTH, nonzero: int = NONZERO) -> tuple[np.ndarray, np.ndarray]:
-    """``places, signs`` of each row's entries."""
-    rng = np.random.Generator(np.random.PCG64(3))
-    places = rng.integers(0, width, (1 << bits, nonzero))
-    return places, rng.integers(0, 2, (1 << bits, nonzero)) * 2 - 1
+def rows_of(own: np.ndarray, frequent: np.ndarray, bits: int) -> np.ndarray:
+    """The row of each token's context vector: its own, or behind those the one that its hash picks."""
+    shared = len(frequent) + (own >> W.U64(64 - bits)).astype(np.int64)
+    if len(frequent) == 0:
+        return shared
+    at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+    return np.where(frequent[at] == own, at, shared)
 
 
-def context_sums(docs: DataFrame, bits: int = BUCKET_BITS, width: int = WIDTH) -> np.ndarray:
-    """Context vectors over all texts: each task sums its own, Spark sums the tasks'. At most ``2**bits`` rows come back."""
-    places, signs = index_vectors(bits, width)
-    size = (1 << bits) * width
+def index_entries(own: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """``places, signs`` of the entries of each token's index vector; ``[..., NONZERO]``."""
+    drawn = W.mix(own[..., None] + np.arange(1, NONZERO + 1).astype(W.U64) * W.U64(0x9E3779B97F4A7C15))
+    return (drawn % W.U64(width)).astype(np.int64), np.where(drawn >> W.U64(63), 1, -1)
+
+
+def context_sums(docs: DataFrame, frequent: np.ndarray, bits: int = TAIL_BITS, width: int = WIDTH, block: int = BLOCK) -> np.ndarray:
+    """Context vectors over all texts: each task sums its own, Spark sums the tasks'. At most ``HEAD + 2**bits`` rows come back."""
+    count = len(frequent) + (1 << bits)
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.int64)
-        gap = np.full(REACH, -1, np.int64)
+        total = np.zeros(count * width, np.int64)
         for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                texts = batch.column("text").slice(start, 256).to_pylist()
-                own = np.concatenate([x for text in texts for x in (buckets_of(text, bits), gap)])
-                sums = np.zeros(size)
-                for shift in range(1, REACH + 1):
-                    a, b = own[:-shift], own[shift:]
-                    near = (a >= 0) & (b >= 0)
-                    a, b = a[near], b[near]
-                    for centre, other in ((a, b), (b, a)):
-                        for k in range(places.shape[1]):
-                            sums += np.bincount(centre * width + places[other, k], signs[other, k], size)
-                total += sums.astype(np.int64)
+            for text in batch.column("text").to_pylist():
+                own = tokens(text)
+                for start in range(0, len(own), block):
+                    part = own[start : start + block + REACH]  # pairs whose first word is in the block
+                    centre = rows_of(part, sent.value, bits) * width
+                    places, signs = index_entries(part, width)
+                    for shift in range(1, REACH + 1):
+                        n = min(block, len(part) - shift)
+                        if n > 0:
+                            np.add.at(total, centre[:n, None] + places[shift : shift + n], signs[shift : shift + n])
+                            np.add.at(total, centre[shift : shift + n, None] + places[:n], signs[:n])
         rows = total.reshape(-1, width)
-        used = np.flatnonzero(np.abs(rows).sum(axis=1))
+        used = np.flatnonzero(rows.any(axis=1))
         for start in range(0, len(used), 4096):
             part = used[start : start + 4096]
-            yield pa.RecordBatch.from_pydict({"bucket": part, **{f"v{i}": rows[part, i] for i in range(width)}})
+            yield pa.RecordBatch.from_pydict({"row": part, **{f"v{i}": rows[part, i] for i in range(width)}})
 
     names = [f"v{i}" for i in range(width)]
-    partial = docs.select("text").mapInArrow(run, "bucket bigint, " + ", ".join(f"{n} bigint" for n in names))
-    sums = partial.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
-    out = np.zeros((1 << bits, width))
-    out[sums["bucket"].to_numpy()] = np.stack([sums[n].to_numpy() for n in names], axis=1)
+    partial = docs.select("text").mapInArrow(run, "row bigint, " + ", ".join(f"{n} bigint" for n in names))
+    sums = partial.groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toArrow()
+    out = np.zeros((count, width))
+    out[sums["row"].to_numpy()] = np.stack([sums[n].to_numpy() for n in names], axis=1)
     return out
 
 
-def word_vectors(sums: np.ndarray) -> np.ndarray:
-    """Context vectors at length 1, with the words' own index vectors added."""
-    norm = np.linalg.norm(sums, axis=1, keepdims=True)
-    out = sums / np.maximum(norm, 1e-9)
-    places, signs = index_vectors(int(len(sums)).bit_length() - 1, sums.shape[1])
-    np.add.at(out, (np.arange(len(out))[:, None], places), signs / np.sqrt(places.shape[1]))
-    return out.astype(np.float32)
-
-
-def pooled(text: str | None, vectors: np.ndarray) -> np.ndarray:
-    """Mean and mean square of the text's vectors; zeros without tokens. Equal rows are counted, not gathered."""
-    own = buckets_of(text, int(len(vectors)).bit_length() - 1)
-    if len(own) == 0:
-        return np.zeros(2 * vectors.shape[1], np.float32)
-    rows, n = np.unique(own, return_counts=True)
-    share = (n / len(own)).astype(np.float32)
-    return np.concatenate([share @ vectors[rows], share @ vectors[rows] ** 2])
+@dataclass(frozen=True)
+class WordVectors:
+    """Context vectors at length 1 by row; a word's own index vector is added where it is read."""
+
+    frequent: np.ndarray
+    contexts: np.ndarray
+    bits: int
+
+    @classmethod
+    def of(cls, frequent: np.ndarray, sums: np.ndarray, bits: int) -> WordVectors:
+        norm = np.linalg.norm(sums, axis=1, keepdims=True)
+        return cls(frequent, (sums / np.maximum(norm, 1e-9)).astype(np.float32), bits)
+
+    def pooled(self, text: str | None) -> np.ndarray:
+        """Mean and mean square of the vectors of the text's tokens; zeros without tokens. Equal words are counted, not gathered."""
+        own, width = tokens(text), self.contexts.shape[1]
+        if len(own) == 0:
+            return np.zeros(2 * width, np.float32)
+        words, n = np.unique(own, return_counts=True)
+        share = (n / len(own)).astype(np.float32)
+        mean, square = np.zeros(width), np.zeros(width)
+        for start in range(0, len(words), BLOCK):
+            part = words[start : start + BLOCK]
+            vectors = self.contexts[rows_of(part, self.frequent, self.bits)]
+            places, signs = index_entries(part, width)
+            np.add.at(vectors, (np.arange(len(part))[:, None], places), (signs / np.sqrt(NONZERO)).astype(np.float32))
+            mean += share[start : start + BLOCK] @ vectors
+            square += share[start : start + BLOCK] @ vectors**2
+        return np.concatenate([mean, square]).astype(np.float32)
+
+
+def word_vectors(docs: DataFrame, head: int = HEAD, bits: int = TAIL_BITS) -> WordVectors:
+    """Of all tokens of ``text``."""
+    frequent = frequent_words(docs, head)
+    return WordVectors.of(frequent, context_sums(docs, frequent, bits), bits)
 
 
 @dataclass(frozen=True)
@@ -193,21 +233,21 @@ def train(features: np.ndarray, labels: np.ndarray, prior: dict[int, int]) -> Ne
 
 def fit_quality(
     source: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, per_class: int
-) -> tuple[np.ndarray, Network]:
+) -> tuple[WordVectors, Network]:
     """Word vectors of the whole corpus and a network fitted on a bounded sample of the labels outside the fold."""
-    vectors = word_vectors(context_sums(source))
+    vectors = word_vectors(source)
     sample, prior = labelled_sample(source, labels, label, folds, fold, per_class)
     sent = source.sparkSession.sparkContext.broadcast(vectors)
 
     @F.arrow_udf("array<float>")
     def features(texts: pa.Array) -> pa.Array:
-        return pa.array([pooled(t, sent.value) for t in texts.to_pylist()], pa.list_(pa.float32()))
+        return pa.array([sent.value.pooled(t) for t in texts.to_pylist()], pa.list_(pa.float32()))
 
     rows = sample.select("doc_id", "label", features("text").alias("x")).toPandas()  # at most 2 * per_class short rows
     rows["order"] = [tuple(x) for x in rows["x"]]
     rows = rows.sort_values(["doc_id", "label", "order"])
     mixed = np.random.Generator(np.random.PCG64(5)).permutation(len(rows))
-    x = np.array(rows["x"].tolist(), np.float64).reshape(len(rows), 2 * vectors.shape[1])[mixed]
+    x = np.array(rows["x"].tolist(), np.float64).reshape(len(rows), 2 * vectors.contexts.shape[1])[mixed]
     return vectors, train(x, rows["label"].to_numpy()[mixed], prior)
 
 
@@ -235,7 +275,7 @@ def quality(
 
     def run(ids: list, texts: list) -> pa.RecordBatch:
         own, net = sent.value
-        found = net.scores(np.stack([pooled(t, own) for t in texts]).astype(np.float64)) if texts else np.empty(0)
+        found = net.scores(np.stack([own.pooled(t) for t in texts]).astype(np.float64)) if texts else np.empty(0)
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found)], ["doc_id", "score"])
 
     ws = Workspace(docs.sparkSession, "quality")
@@ -260,7 +300,7 @@ def quality_filter(
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         own, net = sent.value
-        rows = [pooled(t, own) for t in texts.to_pylist()]
+        rows = [own.pooled(t) for t in texts.to_pylist()]
         return pa.array(net.scores(np.stack(rows).astype(np.float64)) if rows else np.empty(0), pa.float64())
 
     return score(F.coalesce(F.col(text).cast("string"), F.lit(""))) >= threshold
