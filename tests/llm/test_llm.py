@@ -550,7 +550,8 @@ def test_word_vectors_by_plain_sums(spark, docs, head, monkeypatch):
     for row in range(len(sums)):
         assert (sums[row] == want[row]).all()
     vectors = quality.WordVectors.of(np.array(frequent, W.U64), sums, 6)
-    for text in texts:
+    found = vectors.pooled(texts)
+    for i, text in enumerate(texts):
         rows = []
         for word in quality.tokens(text):
             row = want[place.get(int(word), len(frequent) + (int(word) >> 58))]
@@ -559,7 +560,38 @@ def test_word_vectors_by_plain_sums(spark, docs, head, monkeypatch):
             np.add.at(own, places[0], signs[0] / np.sqrt(quality.NONZERO))
             rows.append(own)
         plain = np.concatenate([np.mean(rows, axis=0), np.mean(np.square(rows), axis=0)]) if rows else np.zeros(2 * quality.WIDTH)
-        assert np.allclose(vectors.pooled(text), plain, atol=1e-4)
+        assert np.allclose(found[i], plain, atol=1e-4) and (found[i] == vectors.pooled([text])[0]).all()
+
+
+def test_quality_tokens():
+    """Tokens of many texts together are those of each, with marks for capitals, repeats and line ends."""
+    rng = np.random.default_rng(5)
+    parts = ["a", "B", "CD", "CD", "eF", "12", "!!", ".", " ", " ", "\n", "\n\n", "é", "a a", "\t"]
+    texts = ["".join(rng.choice(parts, int(rng.integers(0, 30)))) for _ in range(300)] + [None, "", "x" * 300_000, LONG]
+    marks = {name: int(value) for name, value in (("<caps>", quality._CAPITALS), ("<again>", quality._REPEAT), ("<line>", quality._LINE))}
+
+    def plain(text):
+        out, before = [], None
+        found = list(re.finditer(r"[A-Za-z\x80-\U0010ffff]+|[0-9]+|[^A-Za-z0-9\x80-\U0010ffff\x20\x09-\x0D]+", text or ""))
+        for i, m in enumerate(found):
+            word = lowered(m[0])
+            out.append(int(W.hashed_words(word, ends=np.zeros(256, bool))[0]))
+            if len(re.findall("[A-Z]", m[0])) >= 2 and not re.search("[a-z]", m[0]):
+                out.append(marks["<caps>"])
+            if word == before:
+                out.append(marks["<again>"])
+            if i + 1 < len(found) and "\n" in text[m.end() : found[i + 1].start()]:
+                out.append(marks["<line>"])
+            before = word
+        return out
+
+    rows = defaultdict(list)
+    for hashes, owners, first, last in quality.token_blocks(texts):
+        for value, owner in zip(hashes.tolist(), owners.tolist(), strict=True):
+            assert 0 <= owner < last - first
+            rows[first + owner].append(value)
+    for i, text in enumerate(texts):
+        assert rows[i] == plain(text) == quality.tokens(text).tolist()
 
 
 def test_toxicity_learns_from_whole_texts():

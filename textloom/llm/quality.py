@@ -28,8 +28,8 @@ HEAD, TAIL_BITS = 1 << 15, 14
 WIDTH = 32
 NONZERO = 2
 REACH = 2
-#: Tokens of a text that are looked at together.
-BLOCK = 1 << 16
+#: Tokens, and bytes of texts, that are looked at together.
+BLOCK, BLOCK_BYTES = 1 << 16, 1 << 18
 #: Learned from: at most so many documents a class.
 PER_CLASS = 3000
 HIDDEN, EPOCHS, BATCH, RATE = 32, 60, 128, 3e-3
@@ -42,27 +42,56 @@ _KIND[48:58] = 2
 _CAPITALS, _REPEAT, _LINE = (W.mix(np.array([n], W.U64))[0] for n in (101, 102, 103))
 
 
+def token_blocks(texts: list) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """``hashes, owners, first, last`` for runs of texts of some ``BLOCK_BYTES`` together; a longer text stands alone.
+
+    ``hashes`` are the texts' tokens in order, with the tokens for capitals, repeats and line ends behind theirs;
+    ``owners`` are the places in ``texts[first:last]`` they come from.
+    """
+    raw = [W.as_bytes(text) for text in texts]
+    first = 0
+    while first < len(raw):
+        last, size = first + 1, len(raw[first])
+        while last < len(raw) and size + len(raw[last]) < BLOCK_BYTES:
+            size += len(raw[last])
+            last += 1
+        yield *_tokens(raw[first:last]), first, last
+        first = last
+
+
 def tokens(text: str | None) -> np.ndarray:
-    """Hashes of the text's tokens in order, with the tokens for capitals, repeats and line ends behind theirs."""
-    data = W.as_bytes(text)
-    if len(data) == 0:
-        return np.empty(0, W.U64)
+    """Of one text."""
+    return _tokens([W.as_bytes(text)])[0]
+
+
+def _tokens(raw: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    blank = np.full(1, 32, np.uint8)  # between texts: it belongs to no token and ends no line
+    data = np.concatenate([part for own in raw for part in (own, blank)])
     kind = _KIND[data]
-    edge = np.unique(np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, [len(kind)]]))
-    starts, stops = edge[:-1], edge[1:]
+    edge = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+    starts, stops = np.concatenate([[0], edge]), np.concatenate([edge, [len(kind)]])
     word = kind[starts] != 0
     starts, stops = starts[word], stops[word]
     if len(starts) == 0:
-        return np.empty(0, W.U64)
-    hashes = W.word_hashes(W.as_bytes(text, lower=True), starts, stops)
+        return np.empty(0, W.U64), np.empty(0, np.int64)
+    owners = np.searchsorted(np.cumsum([len(own) + 1 for own in raw]), starts, "right")
+    same = owners[1:] == owners[:-1]
+    hashes = W.word_hashes(W.lowered(data), starts, stops)
     upper = np.concatenate([[0], np.cumsum((data >= 65) & (data < 91))])
     small = np.concatenate([[0], np.cumsum((data >= 97) & (data < 123))])
     loud = (upper[stops] - upper[starts] >= 2) & (small[stops] == small[starts])
-    again = np.concatenate([[False], hashes[1:] == hashes[:-1]])
-    lines = np.concatenate([[0], np.cumsum(data == 10)])
-    ends = np.concatenate([lines[starts[1:]] > lines[stops[:-1]], [False]])
-    out = np.stack([hashes, np.full(len(hashes), _CAPITALS), np.full(len(hashes), _REPEAT), np.full(len(hashes), _LINE)], axis=1)
-    return out[np.stack([np.ones(len(hashes), bool), loud, again, ends], axis=1)]
+    again = np.concatenate([[False], same & (hashes[1:] == hashes[:-1])])
+    line = np.flatnonzero(data == 10)
+    passed = np.searchsorted(line, starts)  # no line end lies inside a token
+    ends = np.concatenate([same & (passed[1:] > passed[:-1]), [False]])
+    times = 1 + loud + again + ends
+    place = np.cumsum(times) - times
+    out = np.empty(int(times.sum()), W.U64)
+    out[place] = hashes
+    for mark, value in ((loud, _CAPITALS), (again, _REPEAT), (ends, _LINE)):
+        place = place + mark
+        out[place[mark]] = value
+    return out, np.repeat(owners, times)
 
 
 def frequent_words(docs: DataFrame, head: int = HEAD) -> np.ndarray:
@@ -73,7 +102,7 @@ def frequent_words(docs: DataFrame, head: int = HEAD) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [tokens(text) for text in batch.column("text").to_pylist()]
+            own = [hashes for hashes, *_ in token_blocks(batch.column("text").to_pylist())]
             names, n = np.unique(np.concatenate([np.empty(0, W.U64), *own]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
 
@@ -103,19 +132,24 @@ def context_sums(docs: DataFrame, frequent: np.ndarray, bits: int = TAIL_BITS, w
     sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(count * width, np.int64)
+        total = np.zeros((count + 1) * width, np.int64)  # the last row takes what lies in two texts
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                own = tokens(text)
-                for start in range(0, len(own), block):
-                    part = own[start : start + block + REACH]  # pairs whose first word is in the block
+            for hashes, owners, _, _ in token_blocks(batch.column("text").to_pylist()):
+                for start in range(0, len(hashes), block):
+                    part, owner = hashes[start : start + block + REACH], owners[start : start + block + REACH]
                     centre = rows_of(part, sent.value, bits) * width
                     places, signs = index_entries(part, width)
-                    for shift in range(1, REACH + 1):
+                    for shift in range(1, REACH + 1):  # pairs whose first word is in the block
                         n = min(block, len(part) - shift)
-                        if n > 0:
-                            np.add.at(total, centre[:n, None] + places[shift : shift + n], signs[shift : shift + n])
-                            np.add.at(total, centre[shift : shift + n, None] + places[:n], signs[:n])
+                        if n <= 0:
+                            continue
+                        left, right = slice(0, n), slice(shift, shift + n)
+                        same = owner[left] == owner[right]
+                        for at, other in ((left, right), (right, left)):
+                            row = np.where(same, centre[at], count * width)
+                            for k in range(NONZERO):
+                                np.add.at(total, row + places[other, k], np.ascontiguousarray(signs[other, k]))
+        total = total[: count * width]
         rows = total.reshape(-1, width)
         used = np.flatnonzero(rows.any(axis=1))
         for start in range(0, len(used), 4096):
@@ -132,33 +166,43 @@ def context_sums(docs: DataFrame, frequent: np.ndarray, bits: int = TAIL_BITS, w
 
 @dataclass(frozen=True)
 class WordVectors:
-    """Context vectors at length 1 by row; a word's own index vector is added where it is read."""
+    """Context vectors at length 1 by row. A word's own index vector is added: beforehand for frequent words, else where it is read."""
 
     frequent: np.ndarray
-    contexts: np.ndarray
+    vectors: np.ndarray
     bits: int
 
     @classmethod
     def of(cls, frequent: np.ndarray, sums: np.ndarray, bits: int) -> WordVectors:
-        norm = np.linalg.norm(sums, axis=1, keepdims=True)
-        return cls(frequent, (sums / np.maximum(norm, 1e-9)).astype(np.float32), bits)
-
-    def pooled(self, text: str | None) -> np.ndarray:
-        """Mean and mean square of the vectors of the text's tokens; zeros without tokens. Equal words are counted, not gathered."""
-        own, width = tokens(text), self.contexts.shape[1]
-        if len(own) == 0:
-            return np.zeros(2 * width, np.float32)
-        words, n = np.unique(own, return_counts=True)
-        share = (n / len(own)).astype(np.float32)
-        mean, square = np.zeros(width), np.zeros(width)
-        for start in range(0, len(words), BLOCK):
-            part = words[start : start + BLOCK]
-            vectors = self.contexts[rows_of(part, self.frequent, self.bits)]
-            places, signs = index_entries(part, width)
-            np.add.at(vectors, (np.arange(len(part))[:, None], places), (signs / np.sqrt(NONZERO)).astype(np.float32))
-            mean += share[start : start + BLOCK] @ vectors
-            square += share[start : start + BLOCK] @ vectors**2
-        return np.concatenate([mean, square]).astype(np.float32)
+        out = (sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+        _add_index(out, np.arange(len(frequent)), frequent)
+        return cls(frequent, out, bits)
+
+    def pooled(self, texts: list) -> np.ndarray:
+        """Mean and mean square of the vectors of each text's tokens; zeros without tokens. A text's row depends on it alone."""
+        width = self.vectors.shape[1]
+        out = np.zeros((len(texts), 2 * width))
+        for hashes, owners, first, last in token_blocks(texts):
+            # A block of several texts is taken at once, a long text in pieces.
+            step = BLOCK if last == first + 1 else max(1, len(hashes))
+            for start in range(0, len(hashes), step):
+                part, owner = hashes[start : start + step], owners[start : start + step]
+                rows = rows_of(part, self.frequent, self.bits)
+                own = self.vectors[rows]
+                rare = np.flatnonzero(rows >= len(self.frequent))
+                _add_index(own, rare, part[rare])
+                begin = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+                out[first + owner[begin], :width] += np.add.reduceat(own, begin, axis=0, dtype=np.float64)
+                out[first + owner[begin], width:] += np.add.reduceat(own**2, begin, axis=0, dtype=np.float64)
+            out[first:last] /= np.maximum(np.bincount(owners, minlength=last - first), 1)[:, None]
+        return out.astype(np.float32)
+
+
+def _add_index(vectors: np.ndarray, rows: np.ndarray, own: np.ndarray) -> None:
+    """The index vectors of the words ``own`` added to ``rows``, each of which stands once."""
+    places, signs = index_entries(own, vectors.shape[1])
+    for k in range(NONZERO):
+        vectors[rows, places[:, k]] += (signs[:, k] / np.sqrt(NONZERO)).astype(np.float32)
 
 
 def word_vectors(docs: DataFrame, head: int = HEAD, bits: int = TAIL_BITS) -> WordVectors:
@@ -241,13 +285,13 @@ def fit_quality(
 
     @F.arrow_udf("array<float>")
     def features(texts: pa.Array) -> pa.Array:
-        return pa.array([sent.value.pooled(t) for t in texts.to_pylist()], pa.list_(pa.float32()))
+        return pa.array(list(sent.value.pooled(texts.to_pylist())), pa.list_(pa.float32()))
 
     rows = sample.select("doc_id", "label", features("text").alias("x")).toPandas()  # at most 2 * per_class short rows
     rows["order"] = [tuple(x) for x in rows["x"]]
     rows = rows.sort_values(["doc_id", "label", "order"])
     mixed = np.random.Generator(np.random.PCG64(5)).permutation(len(rows))
-    x = np.array(rows["x"].tolist(), np.float64).reshape(len(rows), 2 * vectors.contexts.shape[1])[mixed]
+    x = np.array(rows["x"].tolist(), np.float64).reshape(len(rows), 2 * vectors.vectors.shape[1])[mixed]
     return vectors, train(x, rows["label"].to_numpy()[mixed], prior)
 
 
@@ -275,7 +319,7 @@ def quality(
 
     def run(ids: list, texts: list) -> pa.RecordBatch:
         own, net = sent.value
-        found = net.scores(np.stack([own.pooled(t) for t in texts]).astype(np.float64)) if texts else np.empty(0)
+        found = net.scores(own.pooled(texts).astype(np.float64))
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found)], ["doc_id", "score"])
 
     ws = Workspace(docs.sparkSession, "quality")
@@ -300,7 +344,6 @@ def quality_filter(
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         own, net = sent.value
-        rows = [own.pooled(t) for t in texts.to_pylist()]
-        return pa.array(net.scores(np.stack(rows).astype(np.float64)) if rows else np.empty(0), pa.float64())
+        return pa.array(net.scores(own.pooled(texts.to_pylist()).astype(np.float64)), pa.float64())
 
     return score(F.coalesce(F.col(text).cast("string"), F.lit(""))) >= threshold

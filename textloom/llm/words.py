@@ -61,6 +61,11 @@ def as_bytes(text: str | bytes | None, lower: bool = False) -> np.ndarray:
     return _LOWER[data] if lower else data
 
 
+def lowered(data: np.ndarray) -> np.ndarray:
+    """Bytes with A-Z lowered."""
+    return _LOWER[data]
+
+
 def word_bounds(data: np.ndarray, ends: np.ndarray = BLANKS) -> tuple[np.ndarray, np.ndarray]:
     """Start and end byte of every word."""
     inside = np.empty(len(data) + 2, np.int8)
