@@ -48,15 +48,16 @@ def token_blocks(texts: list) -> Iterator[tuple[np.ndarray, np.ndarray, int, int
     ``hashes`` are the texts' tokens in order, with the tokens for capitals, repeats and line ends behind theirs;
     ``owners`` are the places in ``texts[first:last]`` they come from.
     """
-    raw = [W.as_bytes(text) for text in texts]
-    first = 0
-    while first < len(raw):
-        last, size = first + 1, len(raw[first])
-        while last < len(raw) and size + len(raw[last]) < BLOCK_BYTES:
-            size += len(raw[last])
-            last += 1
-        yield *_tokens(raw[first:last]), first, last
-        first = last
+    first, raw, size = 0, [], 0
+    for place, text in enumerate(texts):
+        own = W.as_bytes(text)
+        if raw and size + len(own) >= BLOCK_BYTES:
+            yield *_tokens(raw), first, place
+            first, raw, size = place, [], 0
+        raw.append(own)
+        size += len(own)
+    if raw:
+        yield *_tokens(raw), first, len(texts)
 
 
 def tokens(text: str | None) -> np.ndarray:
@@ -101,10 +102,19 @@ def frequent_words(docs: DataFrame, head: int = HEAD) -> np.ndarray:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def counted() -> pa.RecordBatch:
+            names, n = np.unique(np.concatenate([np.empty(0, W.U64), *held]), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
+
         for batch in batches:
-            own = [hashes for hashes, *_ in token_blocks(batch.column("text").to_pylist())]
-            names, n = np.unique(np.concatenate([np.empty(0, W.U64), *own]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(n, pa.int64())], ["word", "n"])
+            for hashes, *_ in token_blocks(batch.column("text").to_pylist()):
+                held.append(hashes)
+                if sum(map(len, held)) >= 1 << 19:
+                    yield counted()
+        yield counted()
 
     counts = docs.select("text").mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     found = counts.orderBy(F.desc("n"), "word").limit(head).select("word").toArrow()
