@@ -16,7 +16,7 @@ import numpy as np
 
 #: Pieces in each of the two generations that a worker remembers. When the younger one is full, the older one goes; what
 #: was used since moves on, so frequent pieces are learned once.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 64
 #: Blanks beside each other, or at an end: such texts are cut before single blanks only.
