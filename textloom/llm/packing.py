@@ -146,7 +146,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
-                encoded = encoder.encode(part.column("text").to_pylist(), end_id)
+                encoded = encoder.encode(part.column("text"), end_id)
                 document, piece, length = _pieces(encoded, capacity)
                 start = piece * capacity
                 own = zip(document.tolist(), start.tolist(), (start + length).tolist(), strict=True)

@@ -158,7 +158,7 @@ def write_token_files(
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
-                encoded = encoder.encode(part.column("text").to_pylist(), end_id)
+                encoded = encoder.encode(part.column("text"), end_id)
                 for doc_id, own in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
                     if keys and held + len(own) > block_ids:
                         yield flush()

@@ -1,9 +1,9 @@
 """Token ids of whole texts with a public tokenizer file, one encoding per distinct word.
 
 Neither tokenizer used here lets a token reach over the places where a text is cut, so
-the ids of the pieces, put together, are the ids of the text. Most pieces have been
-seen before in the same worker; only new ones go through the tokenizer. A text that holds a special token's string goes through
-it whole.
+the ids of the pieces, put together, are the ids of the text. Texts are cut and their words numbered by Arrow, many texts at
+a time; each different word is looked up once among those that the worker has seen before, and only new ones go through the
+model, many of them in one text. A text that holds a special token's string goes through it whole.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import re
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces in each of the two generations that a worker remembers. When the younger one is full, the older one goes; what
 #: was used since moves on, so frequent pieces are learned once.
@@ -20,27 +22,33 @@ REMEMBERED = 200_000
 #: A longer piece is encoded but not remembered.
 LONGEST = 64
 #: Blanks beside each other, or at an end: such texts are cut before single blanks only.
-_UNEVEN = re.compile(r"\s\s|\s\Z|\A\s")
+_UNEVEN = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}|[\s\x0b\x1c-\x1f\x{85}\p{Z}]\z|\A[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_CUT = "\x01"
 _BEFORE_BLANKS = re.compile(r"(?= [^\s])")
+#: New pieces that go through the tokenizer as one text.
+_TOGETHER = 64
+#: Words of these letters are one pre-token of every such tokenizer and stay as they are, but for their case.
+_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: Between such words; a token of its own that no word of letters holds.
+_BORDER = "|"
 
 
-def byte_pieces(text: str) -> list[str]:
+def byte_pieces(texts: pa.Array) -> pa.Array:
     """For byte-level tokenizers that give a blank to the word behind it and a single line end a token of its own."""
-    if _UNEVEN.search(text):
-        return _BEFORE_BLANKS.split(text)
-    out: list[str] = []
-    for line in text.split("\n"):
-        if out:
-            out.append("\n")
-        first, *rest = line.split(" ")
-        out.append(first)
-        out += [" " + word for word in rest]
-    return out
-
-
-def blank_pieces(text: str) -> list[bytes]:
+    odd = pc.match_substring_regex(texts, f"{_UNEVEN}|{_CUT}")
+    even = pc.replace_substring(texts.filter(pc.invert(odd)), "\n", f"{_CUT}\n{_CUT}")
+    cut = pc.split_pattern(pc.replace_substring(even, " ", f"{_CUT} "), _CUT)
+    if len(cut) == len(texts):
+        return cut
+    rest = [_BEFORE_BLANKS.split(text) for text in texts.filter(odd).to_pylist()]
+    found = pa.concat_arrays([cut, pa.array(rest, cut.type)])
+    mask = odd.to_numpy(zero_copy_only=False)
+    return found.take(pa.array(np.where(mask, len(cut) + np.cumsum(mask) - 1, np.cumsum(~mask) - 1)))
+
+
+def blank_pieces(texts: pa.Array) -> pa.Array:
     """For tokenizers that drop white space and lower letters; cut at ASCII blanks, which every such tokenizer drops."""
-    return text.encode("utf-8", "surrogatepass").lower().split()
+    return pc.ascii_split_whitespace(pc.ascii_lower(texts))
 
 
 def _stem(piece: str) -> str | None:
@@ -58,71 +66,104 @@ class Encoder:
 
     _made: dict[tuple[str, str, bool], Encoder] = {}
 
-    def __init__(self, path: str, pieces: Callable[[str], list], plain_specials: bool = False):
+    def __init__(self, path: str, pieces: Callable[[pa.Array], pa.Array], plain_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # In any case: pieces are lowered for some files, and must not become such a string by that.
-        self.special = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
+        self.special = "|".join(map(re.escape, added))
         self.pieces = pieces
-        self.known: dict[str | bytes, bytes] = {}
-        self.older: dict[str | bytes, bytes] = {}
+        # The file's own model behind a plain cut at blanks: words of letters need no normalizer and no pattern.
+        self.model = Tokenizer(Tokenizer.from_file(path).model)
+        self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.border = self.model.encode(_BORDER).ids
+        in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        signs = [chr(c) for c in range(256) if _LETTERS.fullmatch(chr(c))] + [" "]
+        lower = pieces is blank_pieces
+        self.signs = {ord(sign): in_bytes.pre_tokenize_str(sign.lower() if lower else sign)[0][0] for sign in signs}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
-    def of(cls, path: str, pieces: Callable[[str], list], plain_specials: bool = False) -> Encoder:
+    def of(cls, path: str, pieces: Callable[[pa.Array], pa.Array], plain_specials: bool = False) -> Encoder:
         key = (path, pieces.__name__, plain_specials)
         if key not in cls._made:
             cls._made[key] = cls(path, pieces, plain_specials)
         return cls._made[key]
 
-    def _learn(self, new: list) -> None:
-        texts = [piece if isinstance(piece, str) else piece.decode("utf-8", "surrogatepass") for piece in new]
-        stems = [_stem(text) for text in texts]
-        wanted = list({text if stem is None else stem for text, stem in zip(texts, stems, strict=True)} | {".", ","})
-        encoded = self.tokenizer.encode_batch_fast(wanted, add_special_tokens=False)
-        ids = {text: np.array(found.ids, np.uint32).tobytes() for text, found in zip(wanted, encoded, strict=True)}
-        for piece, text, stem in zip(new, texts, stems, strict=True):
-            self.known[piece] = ids[text] if stem is None else ids[stem] + ids[text[-1]]
-
-    def _remember(self, missing: set) -> None:
-        """Afterwards the younger generation has all of them."""
+    def _together(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of each piece: words of letters many at a time, cut where the border's id stands; others one by one."""
+        plain, other = [], []
+        for piece in pieces:
+            (plain if _LETTERS.fullmatch(piece) else other).append(piece)
+        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        between = f" {_BORDER} "
+        joined = [between.join([piece.translate(self.signs) for piece in group]) for group in groups]
+        out: dict[str, bytes] = {}
+        for group, found in zip(groups, self.model.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            ids = np.array(found.ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.border[0]) * ids.itemsize
+            if len(self.border) != 1 or len(cuts) != len(group) - 1:
+                other += group
+                continue
+            data = ids.tobytes()
+            begins, ends = [0, *(cuts + ids.itemsize).tolist()], [*cuts.tolist(), len(data)]
+            out.update((piece, data[a:b]) for piece, a, b in zip(group, begins, ends, strict=True))
+        apart = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
+        out.update((piece, np.array(found.ids, np.uint32).tobytes()) for piece, found in zip(other, apart, strict=True))
+        return out
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        stems = [_stem(piece) for piece in new]
+        wanted = {piece if stem is None else stem for piece, stem in zip(new, stems, strict=True)} | {".", ","}
+        ids = self._together(list(wanted))
+        return [ids[p] if stem is None else ids[stem] + ids[p[-1]] for p, stem in zip(new, stems, strict=True)]
+
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces."""
         if len(self.known) > REMEMBERED:
             self.known, self.older = {}, self.known
+        found = list(map(self.known.get, pieces))
         new = []
-        for piece in missing:
-            ids = self.older.get(piece)
+        for i, ids in enumerate(found):
             if ids is None:
-                new.append(piece)
-            else:
-                self.known[piece] = ids
+                found[i] = ids = self.older.get(pieces[i])
+                if ids is None:
+                    new.append(i)
+                else:
+                    self.known[pieces[i]] = ids
         if new:
-            self._learn(new)
+            for i, ids in zip(new, self._learn([pieces[i] for i in new]), strict=True):
+                found[i] = ids
+                if len(pieces[i]) <= LONGEST:
+                    self.known[pieces[i]] = ids
+        return found
 
-    def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array, end: int) -> list[np.ndarray]:
         """The ids of each text with ``end`` behind them, as uint32."""
-        last = np.array([end], np.uint32).tobytes()
-        whole = [self.special is not None and self.special.search(text) is not None for text in texts]
-        cut = [[] if special else self.pieces(text) for text, special in zip(texts, whole, strict=True)]
-        if len(self.known) > REMEMBERED:
-            self._remember(set())
-        found = [list(map(self.known.get, pieces)) for pieces in cut]
-        missing: set = set()
-        for pieces, ids in zip(cut, found, strict=True):
-            if None in ids:
-                missing.update(piece for piece, own in zip(pieces, ids, strict=True) if own is None)
-        if missing:
-            self._remember(missing)
-            for i, (pieces, ids) in enumerate(zip(cut, found, strict=True)):
-                if None in ids:
-                    found[i] = [self.known[p] if own is None else own for p, own in zip(pieces, ids, strict=True)]
-            for piece in missing:
-                if len(piece) > LONGEST:
-                    del self.known[piece]
-        out = [np.frombuffer(b"".join(ids) + last, np.uint32) for ids in found]
-        for i, special in enumerate(whole):
-            if special:
-                out[i] = np.array([*self.tokenizer.encode(texts[i], add_special_tokens=False).ids, end], np.uint32)
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        whole: list[int] = []
+        if self.special:
+            mask = pc.match_substring_regex(texts, self.special, ignore_case=True).to_numpy(zero_copy_only=False)
+            whole = np.flatnonzero(mask).tolist()
+        cut = self.pieces(texts if not whole else pc.if_else(pa.array(mask), "", texts))
+        coded = cut.flatten().dictionary_encode()
+        own = self._ids_of(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, own), np.int32, len(own)) // 4
+        table, firsts = np.frombuffer(b"".join(own), np.uint32), np.cumsum(sizes, dtype=np.int32) - sizes
+        codes = coded.indices.to_numpy()
+        taken = sizes[codes]
+        ends = np.cumsum(taken, dtype=np.int64)
+        # An id's place in the table: its own place, moved by what lies between its word's place here and there.
+        places = np.repeat((firsts[codes] - (ends - taken)).astype(np.int32), taken)
+        places += np.arange(len(places), dtype=np.int32)
+        ids = table[places]
+        words = np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64)
+        borders = np.concatenate([[0], ends])[words].tolist()
+        out = [np.append(ids[a:b], np.uint32(end)) for a, b in zip([0, *borders], borders)]
+        for i in whole:
+            out[i] = np.array([*self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, end], np.uint32)
         return out
