@@ -53,8 +53,10 @@ def blank_pieces(texts: pa.Array) -> pa.Array:
 
 def _stem(piece: str) -> str | None:
     """The piece without the comma or full stop behind its last letter, which both tokenizers split off."""
+    if piece[-1:] not in (".", ","):
+        return None
     letter = piece[-2:-1]
-    return piece[:-1] if piece[-1:] in (".", ",") and letter.isascii() and letter.isalpha() else None
+    return piece[:-1] if letter.isascii() and letter.isalpha() else None
 
 
 class Encoder:
@@ -83,7 +85,8 @@ class Encoder:
         in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         signs = [chr(c) for c in range(256) if _LETTERS.fullmatch(chr(c))] + [" "]
         lower = pieces is blank_pieces
-        self.signs = {ord(sign): in_bytes.pre_tokenize_str(sign.lower() if lower else sign)[0][0] for sign in signs}
+        shown = [in_bytes.pre_tokenize_str(sign.lower() if lower else sign)[0][0] for sign in signs]
+        self.signs = {ord("\n"): " "} | {ord(sign): own for sign, own in zip(signs, shown, strict=True)}
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -100,8 +103,8 @@ class Encoder:
         for piece in pieces:
             (plain if _LETTERS.fullmatch(piece) else other).append(piece)
         groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
-        between = f" {_BORDER} "
-        joined = [between.join([piece.translate(self.signs) for piece in group]) for group in groups]
+        # A line end becomes the blank at which the model's texts are cut.
+        joined = [f"\n{_BORDER}\n".join(group).translate(self.signs) for group in groups]
         out: dict[str, bytes] = {}
         for group, found in zip(groups, self.model.encode_batch_fast(joined, add_special_tokens=False), strict=True):
             ids = np.array(found.ids, np.uint32)
