@@ -123,6 +123,19 @@ def test_encoder_agrees_with_whole_texts():
             assert ids.tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids + [5]
 
 
+def test_encoder_on_invented_words():
+    """Words of letters, which go through the model many at a time, among others; several groups of them."""
+    letters = list("abcdefghijklmnopqrstuvwxyzABCXYZäöüßéèêñçÀÖØÞÿ")
+    others = ["|", "a|b", "İx", "ŉa", "ǆ", "don't", "x\x01y", "", "×", "ª", "naı", "a.b,", "e\u0301t"]
+    words = ["".join(RNG.choice(letters, int(n))) for n in RNG.integers(1, 12, 700)] + others * 3
+    texts = [" ".join(RNG.choice(words, 300)) + RNG.choice([".", ",", "", " "]) for _ in range(12)] + ["", " "]
+    for path, pieces in ((BYTE, tokens.byte_pieces), (WORD, tokens.blank_pieces)):
+        library = Tokenizer.from_file(path)
+        got = tokens.Encoder(path, pieces).encode(texts, 5)
+        assert [ids.tolist() for ids in got] == [library.encode(t, add_special_tokens=False).ids + [5] for t in texts]
+        assert tokens.Encoder(path, pieces).encode([], 5) == []
+
+
 def test_encoder_on_special_strings():
     """Equal to the library as it comes; plain on request."""
     texts = ["a <|endoftext|> b", "a<|endoftext|>b.", "<|startoftext|>", "x <|endoftext|><|endoftext|>  y", "<|ENDOFTEXT|>", "no <| one"]
