@@ -359,3 +359,19 @@ def test_rows_are_counted_while_written(spark, tmp_path):
     empty = datasets.write_dataset(rows.where("n > 9"), str(tmp_path / "none"), "parquet")
     assert staging.read_manifest(spark, empty)["rows"] == 0
     assert datasets.read_splits(spark, str(tmp_path / "jsonlFalse"), "n int", []).count() == 0
+
+
+def test_text_files_as_sparks_writer_has_them(spark, tmp_path):
+    rows = [("a", "one"), ("a", ""), ("a", None), (None, "two\nlines"), ("", "é"), ("x=1/%:[y]^{\"#'*?\\", "three"), ("b c+~", "one")] * 3
+    df = spark.createDataFrame(rows, "source string, text string").repartition(3)
+    df.write.option("maxRecordsPerFile", 1).partitionBy("source").text(str(tmp_path / "theirs"))
+    files.write_text_files(df, str(tmp_path / "ours"), "source")
+
+    def held(folder):
+        return sorted((path.parent.name, path.read_bytes()) for path in folder.rglob("*.txt") if path.name[0] != ".")
+
+    assert held(tmp_path / "ours") == held(tmp_path / "theirs")
+    assert len(held(tmp_path / "ours")) == len(rows)
+    found = files.scan_files(spark, str(tmp_path / "ours"), ["source=*/*.txt"])
+    assert sorted(bytes(r.content) for r in found.collect()) == sorted(content for _, content in held(tmp_path / "ours"))
+    assert not list((tmp_path / "ours").rglob(".*"))

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import codecs
+import os
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +67,52 @@ def scan_files(spark: SparkSession, folder: str, patterns: Sequence[str] = ("*.r
     return reader.option("pathGlobFilter", names).load(escaped)
 
 
+# As Spark's own writer names the folder of a null or empty value, and what it escapes in the others.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+_ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
+
+
+def folder_name(column: str, value: str | None) -> str:
+    """The folder of a partition's value, as Spark's own writer names it."""
+    return f"{column}=" + (_ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", value) if value else _NO_VALUE)
+
+
+def write_text_files(rows: DataFrame, folder: str, by: str, text: str = "text") -> None:
+    """A text file for each row, in a folder per value of ``by``; the text and a line end, only the latter for a null.
+
+    For each file that Spark's writer opens on a local file system Hadoop starts a process (``chmod``), and the driver
+    renames them one by one at the end. So there the tasks write the files themselves, each under a name of its own, which a
+    second attempt of the task gives again. The order of the rows in a partition must be fixed, as in a scan. Other
+    stores get Spark's own writer.
+    """
+    spark = rows.sparkSession
+    rows = rows.select(F.col(by).cast("string").alias(by), F.col(text).alias(text))
+    fs, root = hadoop_path(spark, folder)
+    place = fs.makeQualified(root).toUri()
+    if place.getScheme() != "file":
+        rows.write.option("maxRecordsPerFile", 1).partitionBy(by).text(folder)
+        return
+    local = place.getPath()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, made, number = TaskContext.get(), set(), 0
+        for batch in batches:
+            for value, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                inside = f"{local}/{folder_name(by, value)}"
+                if inside not in made:
+                    os.makedirs(inside, exist_ok=True)
+                    made.add(inside)
+                name = f"part-{context.partitionId():05d}-{number:08d}.txt"
+                own = f"{inside}/.{name}.{context.taskAttemptId()}"
+                with open(own, "wb") as file:
+                    file.write((content or b"") + b"\n")
+                os.replace(own, f"{inside}/{name}")
+                number += 1
+        yield pa.RecordBatch.from_pydict({"files": [number]}, pa.schema([("files", pa.int64())]))
+
+    rows.withColumn(text, F.col(text).cast("binary")).mapInArrow(run, "files bigint").agg(F.sum("files")).collect()
+
+
 def file_name(path: Column) -> Column:
     return F.regexp_extract(path, "[^/]*$", 0)
 
