@@ -375,3 +375,15 @@ def test_text_files_as_sparks_writer_has_them(spark, tmp_path):
     found = files.scan_files(spark, str(tmp_path / "ours"), ["source=*/*.txt"])
     assert sorted(bytes(r.content) for r in found.collect()) == sorted(content for _, content in held(tmp_path / "ours"))
     assert not list((tmp_path / "ours").rglob(".*"))
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    for i in range(600):
+        write(tmp_path, f"in/{i % 8}/{i}.txt", f"The text number {i}.")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    options = jobs.options_from_config({"input": {"file_patterns": ["*/*.txt"]}, "output": {"output_dir": str(tmp_path / "out")}})
+    with jobs.prepare_files(spark, str(tmp_path / "in"), options) as result:
+        chunks = next(f for f in result.scratch.folders if "/chunks-" in f)
+        assert len(os.listdir(chunks.removeprefix("file:"))) < 30  # 19 tables and as many checksums where a task held 32 files
+        assert result.dataset.count() == 600
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before

@@ -20,7 +20,7 @@ from textloom.operators.split import split_exact
 from textloom.operators.stats import split_source_histogram, split_statistics, split_totals
 from textloom.operators.vocabulary import DEFAULT_SPEC, VOCABULARY_SIZE, TokenizerSpec, build_vocabulary, tokenizer_fingerprint
 from textloom.sources.datasets import write_dataset, write_splits
-from textloom.sources.files import extract_documents, extraction_report, may_match_rtf, scan_files
+from textloom.sources.files import extract_documents, extraction_report, may_match_rtf, scan_files, small_files
 from textloom.sources.staging import (
     Scratch, hadoop_path, materialize_stage, read_manifest, read_text, stage, stage_fingerprint, stage_path, write_text,
 )
@@ -190,6 +190,11 @@ def prepare_files(
     """
     if options.sources is not None and not options.sources:
         raise ValueError("a balanced dataset needs sources")
+    with small_files(spark):
+        return _prepared(spark, input_dir, options, **flags)
+
+
+def _prepared(spark: SparkSession, input_dir: str, options: CorpusOptions, **flags: bool) -> CorpusResult:
     raw = scan_files(spark, input_dir, options.file_patterns)
     rtf = may_match_rtf(options.file_patterns)
     documents = extract_documents(raw, options.encoding, options.clean.handle_encoding_errors, rtf)

@@ -6,6 +6,7 @@ import codecs
 import os
 import re
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -67,6 +68,23 @@ def scan_files(spark: SparkSession, folder: str, patterns: Sequence[str] = ("*.r
     return reader.option("pathGlobFilter", names).load(escaped)
 
 
+# For folders of many small files: some thousand of them to a task instead of 32, and folders listed beside each other.
+_SMALL_FILES = {"spark.sql.files.openCostInBytes": "65536", "spark.sql.sources.parallelPartitionDiscovery.threshold": "4"}
+
+
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """What is listed and read inside may be very many small files; tasks still hold no more bytes than anywhere."""
+    before = {name: spark.conf.get(name) for name in _SMALL_FILES}
+    for name, value in _SMALL_FILES.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 # As Spark's own writer names the folder of a null or empty value, and what it escapes in the others.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 _ESCAPED = re.compile(r"""[\x01-\x1f"#%'*/:=?\\\x7f{\[\]^]""")
