@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import Row
@@ -136,6 +137,36 @@ def test_encoder_on_invented_words():
         assert tokens.Encoder(path, pieces).encode([], 5) == []
 
 
+def test_encoder_learns_a_word_once_whatever_marks_stand_behind(monkeypatch):
+    """Marks behind a letter or figure are pieces of their own; behind other signs a word stays whole."""
+    words = ["stem", "Größe", "naïve", "x7", "ª", "×", "中", "e\u0301", "'", "I'", "don't", "ŉ", "-", "a-b", "ſ", "é"]
+    marks = ["", ".", ",", "!!", "***", "&&&", ").", "'", "''", "=\u0338", "<|", "…", "$%^~`", "'s", "'S", "_", "»,"]
+    texts = [" ".join(a + b for a in words for b in RNG.permutation(marks)) for _ in range(3)] + ["\n".join(map("stem".__add__, marks))]
+    for path, pieces in ((BYTE, tokens.byte_pieces), (WORD, tokens.blank_pieces)):
+        library, own = Tokenizer.from_file(path), tokens.Encoder(path, pieces)
+        learned = []
+        learn = own._learn
+        monkeypatch.setattr(own, "_learn", lambda new, learned=learned, learn=learn: learned.extend(new) or learn(new))
+        want = [library.encode(t, add_special_tokens=False).ids + [5] for t in texts]
+        assert [ids.tolist() for ids in own.encode(texts, 5)] == want
+        assert [own.encode([t], 5)[0].tolist() for t in texts] == want
+        assert len(learned) == len(set(learned)) and not {"stem.", " stem!!", "stem!!", " stem***", "stem***", " x7).", "x7)."} & set(learned)
+        # Where the border doesn't part the words, each goes by itself.
+        apart = tokens.Encoder(path, pieces)
+        apart.border = apart.border * 2
+        assert [ids.tolist() for ids in apart.encode(texts, 5)] == want
+
+
+def test_text_slices():
+    texts = ["", "a" * 40, "b" * 3, "", "é" * 5, "c" * 11, "d", ""]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(8)), "text": texts})
+    for most in (1, 10, 12, 1000):
+        parts = [part.column("text").to_pylist() for part in tokens.text_slices(batch.slice(1), most)]
+        assert sum(parts, []) == texts[1:]
+        assert all(len(part) == 1 or len("".join(part).encode()) <= most for part in parts)
+    assert list(tokens.text_slices(batch.slice(0, 0))) == []
+
+
 def test_encoder_on_special_strings():
     """Equal to the library as it comes; plain on request."""
     texts = ["a <|endoftext|> b", "a<|endoftext|>b.", "<|startoftext|>", "x <|endoftext|><|endoftext|>  y", "<|ENDOFTEXT|>", "no <| one"]

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.tables import Workspace, texts_of
-from textloom.llm.tokens import Encoder, blank_pieces
+from textloom.llm.tokens import Encoder, blank_pieces, text_slices
 
 CAPACITY = 4096
 END_ID = 1
@@ -144,8 +144,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, with_
         slot = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
+            for part in text_slices(batch):
                 encoded = encoder.encode(part.column("text"), end_id)
                 document, piece, length = _pieces(encoded, capacity)
                 start = piece * capacity

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.llm.tables import Workspace, texts_of
-from textloom.llm.tokens import Encoder, byte_pieces
+from textloom.llm.tokens import Encoder, byte_pieces, text_slices
 from textloom.llm.words import U64, mix
 
 MAGIC = 0x31584449_4E454B54
@@ -156,8 +156,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["block"])
 
         for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
+            for part in text_slices(batch):
                 encoded = encoder.encode(part.column("text"), end_id)
                 for doc_id, own in zip(part.column("doc_id").to_pylist(), encoded, strict=True):
                     if keys and held + len(own) > block_ids:

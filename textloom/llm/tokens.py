@@ -2,15 +2,16 @@
 
 Neither tokenizer used here lets a token reach over the places where a text is cut, so
 the ids of the pieces, put together, are the ids of the text. Texts are cut and their words numbered by Arrow, many texts at
-a time; each different word is looked up once among those that the worker has seen before, and only new ones go through the
-model, many of them in one text. A text that holds a special token's string goes through it whole.
+a time; each different word, without the marks behind it, is looked up once among those that the worker has seen before, and only
+new ones go through the model, many of them in one text. A text that holds a special token's string goes through it whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
+import string
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +25,17 @@ LONGEST = 64
 #: Blanks beside each other, or at an end: such texts are cut before single blanks only.
 _UNEVEN = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}|[\s\x0b\x1c-\x1f\x{85}\p{Z}]\z|\A[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 _CUT = "\x01"
+#: Bytes of text that are encoded in one go.
+SLICE_BYTES = 4 << 20
 _BEFORE_BLANKS = re.compile(r"(?= [^\s])")
 #: New pieces that go through the tokenizer as one text.
 _TOGETHER = 64
 #: Words of these letters are one pre-token of every such tokenizer and stay as they are, but for their case.
-_LETTERS = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
+_LETTERS = rf"\A ?[{_LETTER}]+\z"
+#: Marks behind a letter or figure are a pre-token of their own, or several, whatever stands before them.
+_MARKS = string.punctuation
+_SIGN_LAST = rf"[0-9{_LETTER}]\z"
 #: Between such words; a token of its own that no word of letters holds.
 _BORDER = "|"
 
@@ -51,12 +58,44 @@ def blank_pieces(texts: pa.Array) -> pa.Array:
     return pc.ascii_split_whitespace(pc.ascii_lower(texts))
 
 
-def _stem(piece: str) -> str | None:
-    """The piece without the comma or full stop behind its last letter, which both tokenizers split off."""
-    if piece[-1:] not in (".", ","):
-        return None
-    letter = piece[-2:-1]
-    return piece[:-1] if letter.isascii() and letter.isalpha() else None
+def text_slices(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows in order, at most so many bytes of ``text`` at a time, or one row."""
+    ends = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False), dtype=np.int64)
+    begin = 0
+    while begin < batch.num_rows:
+        before = int(ends[begin - 1]) if begin else 0
+        end = max(int(np.searchsorted(ends, before + most, side="right")), begin + 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def _halves(words: pa.Array) -> pa.Array:
+    """Two pieces a word: up to its last letter or figure, and the marks behind, which both tokenizers split off."""
+    if len(words) == 0:
+        return words
+    stems = pc.ascii_rtrim(words, _MARKS)
+    stems = pc.if_else(pc.match_substring_regex(stems, _SIGN_LAST), stems, words)
+    # The halves stand beside each other in the words' own bytes.
+    _, starts, data = words.buffers()
+    offsets = np.repeat(np.frombuffer(starts, np.int32)[words.offset : words.offset + len(words) + 1], 2)[:-1]
+    offsets[1::2] += pc.binary_length(stems).to_numpy()
+    return pa.StringArray.from_buffers(2 * len(words), pa.py_buffer(offsets), data or pa.py_buffer(b""))
+
+
+def _ids_array(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A row of ids, as bytes, up to each end."""
+    offsets = np.concatenate([[0], ends]).astype(np.int64) * ids.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+
+
+def _ids_and_ends(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows behind each other, and where each row ends among them."""
+    if len(rows) == 0:
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
+    offsets = np.frombuffer(rows.buffers()[1], np.int64)[rows.offset : rows.offset + len(rows) + 1] // 4
+    data = rows.buffers()[2]
+    ids = np.frombuffer(data, np.uint32, len(data) // 4) if data else np.empty(0, np.uint32)
+    return ids[offsets[0] : offsets[-1]], offsets[1:] - offsets[0]
 
 
 class Encoder:
@@ -83,12 +122,14 @@ class Encoder:
         self.model.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.border = self.model.encode(_BORDER).ids
         in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        signs = [chr(c) for c in range(256) if _LETTERS.fullmatch(chr(c))] + [" "]
-        lower = pieces is blank_pieces
+        signs = [chr(c) for c in range(256) if re.match(f"[{_LETTER}]", chr(c))] + [" "]
+        self.lower = lower = pieces is blank_pieces
         shown = [in_bytes.pre_tokenize_str(sign.lower() if lower else sign)[0][0] for sign in signs]
+        self.blank = shown[-1]
         self.signs = {ord("\n"): " "} | {ord(sign): own for sign, own in zip(signs, shown, strict=True)}
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # Pieces and their ids, side by side.
+        columns = {"piece": pa.array([], pa.string()), "ids": pa.array([], pa.large_binary())}
+        self.known = self.older = pa.RecordBatch.from_pydict(columns)
 
     @classmethod
     def of(cls, path: str, pieces: Callable[[pa.Array], pa.Array], plain_specials: bool = False) -> Encoder:
@@ -97,73 +138,72 @@ class Encoder:
             cls._made[key] = cls(path, pieces, plain_specials)
         return cls._made[key]
 
-    def _together(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of each piece: words of letters many at a time, cut where the border's id stands; others one by one."""
-        plain, other = [], []
-        for piece in pieces:
-            (plain if _LETTERS.fullmatch(piece) else other).append(piece)
-        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+    def _together(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of words of letters, many words to a text, and where each word ends; none if the border doesn't part them."""
+        last = np.minimum(np.arange(0, len(pieces) + _TOGETHER, _TOGETHER), len(pieces))
+        groups = pa.ListArray.from_arrays(pa.array(last.astype(np.int32)), pc.ascii_lower(pieces) if self.lower else pieces)
         # A line end becomes the blank at which the model's texts are cut.
-        joined = [f"\n{_BORDER}\n".join(group).translate(self.signs) for group in groups]
-        out: dict[str, bytes] = {}
-        for group, found in zip(groups, self.model.encode_batch_fast(joined, add_special_tokens=False), strict=True):
-            ids = np.array(found.ids, np.uint32)
-            cuts = np.flatnonzero(ids == self.border[0]) * ids.itemsize
-            if len(self.border) != 1 or len(cuts) != len(group) - 1:
-                other += group
-                continue
-            data = ids.tobytes()
-            begins, ends = [0, *(cuts + ids.itemsize).tolist()], [*cuts.tolist(), len(data)]
-            out.update((piece, data[a:b]) for piece, a, b in zip(group, begins, ends, strict=True))
-        apart = self.tokenizer.encode_batch_fast(other, add_special_tokens=False)
-        out.update((piece, np.array(found.ids, np.uint32).tobytes()) for piece, found in zip(other, apart, strict=True))
-        return out
-
-    def _learn(self, new: list[str]) -> list[bytes]:
-        stems = [_stem(piece) for piece in new]
-        wanted = {piece if stem is None else stem for piece, stem in zip(new, stems, strict=True)} | {".", ","}
-        ids = self._together(list(wanted))
-        return [ids[p] if stem is None else ids[stem] + ids[p[-1]] for p, stem in zip(new, stems, strict=True)]
-
-    def _ids_of(self, pieces: list[str]) -> list[bytes]:
-        """The ids of different pieces."""
+        joined = [
+            text.replace(" ", self.blank).replace("\n", " ") if text.isascii() else text.translate(self.signs)
+            for text in pc.binary_join(groups, f"\n{_BORDER}\n").to_pylist()
+        ]
+        found = [np.array(e.ids + self.border, np.uint32) for e in self.model.encode_batch_fast(joined, add_special_tokens=False)]
+        ids = np.concatenate(found)
+        borders = ids == self.border[0]
+        cuts = np.flatnonzero(borders)
+        ends = np.cumsum([len(own) for own in found])
+        if len(self.border) != 1 or len(cuts) != len(pieces) or not np.array_equal(cuts[last[1:] - 1], ends - 1):
+            return None
+        return ids[~borders], cuts - np.arange(len(cuts))
+
+    def _learn(self, new: list[str]) -> pa.Array:
+        """The ids of each new piece: words of letters many at a time, others one by one."""
+        pieces = pa.array(new, pa.string())
+        letters = pc.match_substring_regex(pieces, _LETTERS).to_numpy(zero_copy_only=False)
+        # Plain ASCII first, so that most texts of words are.
+        order = np.argsort(np.where(letters, ~pc.string_is_ascii(pieces).to_numpy(zero_copy_only=False), 2), kind="stable")
+        count = int(letters.sum())
+        plain = self._together(pieces.take(pa.array(order[:count]))) if count else None
+        ids, ends = plain or (np.empty(0, np.uint32), np.empty(0, np.int64))
+        others = [new[i] for i in order[len(ends) :].tolist()]
+        apart = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        more = len(ids) + np.cumsum([len(own) for own in apart], dtype=np.int64)
+        places = np.empty(len(new), np.int64)
+        places[order] = np.arange(len(new))
+        return _ids_array(np.concatenate([ids, *apart]), np.concatenate([ends, more])).take(pa.array(places))
+
+    def _ids_of(self, pieces: pa.Array) -> pa.Array:
+        """The ids of different pieces, as bytes."""
         if len(self.known) > REMEMBERED:
-            self.known, self.older = {}, self.known
-        found = list(map(self.known.get, pieces))
-        new = []
-        for i, ids in enumerate(found):
-            if ids is None:
-                found[i] = ids = self.older.get(pieces[i])
-                if ids is None:
-                    new.append(i)
-                else:
-                    self.known[pieces[i]] = ids
+            self.known, self.older = self.known.slice(0, 0), self.known
+        remembered, ids = (pa.concat_arrays([self.known[name], self.older[name]]) for name in ("piece", "ids"))
+        # What is in both is found in the younger one.
+        places = pc.index_in(pieces, value_set=remembered)
+        new = pieces.filter(places.is_null()).to_pylist()
         if new:
-            for i, ids in zip(new, self._learn([pieces[i] for i in new]), strict=True):
-                found[i] = ids
-                if len(pieces[i]) <= LONGEST:
-                    self.known[pieces[i]] = ids
+            ids = pa.concat_arrays([ids, self._learn(new)])
+        places = places.fill_null(-1).to_numpy().astype(np.int64)
+        places[places < 0] = len(remembered) + np.arange(len(new))
+        found = ids.take(pa.array(places))
+        used = pa.array((places >= len(self.known)) & (pc.utf8_length(pieces).to_numpy() <= LONGEST))
+        columns = {"piece": pieces, "ids": found}
+        self.known = pa.RecordBatch.from_pydict(
+            {name: pa.concat_arrays([self.known[name], column.filter(used)]) for name, column in columns.items()}
+        )
         return found
 
     def encode(self, texts: list[str] | pa.Array, end: int) -> list[np.ndarray]:
         """The ids of each text with ``end`` behind them, as uint32."""
-        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = texts.cast(pa.string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         whole: list[int] = []
         if self.special:
             mask = pc.match_substring_regex(texts, self.special, ignore_case=True).to_numpy(zero_copy_only=False)
             whole = np.flatnonzero(mask).tolist()
         cut = self.pieces(texts if not whole else pc.if_else(pa.array(mask), "", texts))
         coded = cut.flatten().dictionary_encode()
-        own = self._ids_of(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, own), np.int32, len(own)) // 4
-        table, firsts = np.frombuffer(b"".join(own), np.uint32), np.cumsum(sizes, dtype=np.int32) - sizes
-        codes = coded.indices.to_numpy()
-        taken = sizes[codes]
-        ends = np.cumsum(taken, dtype=np.int64)
-        # An id's place in the table: its own place, moved by what lies between its word's place here and there.
-        places = np.repeat((firsts[codes] - (ends - taken)).astype(np.int32), taken)
-        places += np.arange(len(places), dtype=np.int32)
-        ids = table[places]
+        halves = _halves(coded.dictionary).dictionary_encode()
+        ids, ends = _ids_and_ends(self._ids_of(halves.dictionary).take(halves.indices))
+        ids, ends = _ids_and_ends(_ids_array(ids, ends[1::2]).take(coded.indices))
         words = np.cumsum(pc.list_value_length(cut).to_numpy(), dtype=np.int64)
         borders = np.concatenate([[0], ends])[words].tolist()
         out = [np.append(ids[a:b], np.uint32(end)) for a, b in zip([0, *borders], borders)]
