@@ -387,3 +387,65 @@ def test_many_small_files_are_few_tasks(spark, tmp_path):
         assert len(os.listdir(chunks.removeprefix("file:"))) < 30  # 19 tables and as many checksums where a task held 32 files
         assert result.dataset.count() == 600
     assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def many_names(folder):
+    for name in ("a.txt", "b.rtf", "_x.txt", "_y=1.txt", ".h.txt", "e.txt._COPYING_", "_metadata", "_metadata=3.txt", "_d/f.txt", ".e/h.txt",
+                 "_metadata2/i.txt", "sub/j+ %41é.txt", "sub/deep/k.txt", "l\nm.txt", "g[1].txt", "c.txt/z.txt"):
+        write(folder, name, name)
+    write(folder, "big.txt", "x" * 9_000_000)
+    write(folder, "empty.txt", "")
+    (folder / "link.txt").symlink_to(folder / "a.txt")
+    (folder / "gone.txt").symlink_to(folder / "nothing")
+    (folder / "other").symlink_to(folder / "sub")
+
+
+@pytest.mark.parametrize(
+    "patterns", [["**/*"], ["*/*", "*.txt"], ["*.txt", "*.rtf"], ["*", "a.txt"], ["[!ab]*"], ["no/*"]]
+)
+def test_tasks_read_what_sparks_reader_reads(spark, tmp_path, monkeypatch, patterns):
+    folder = tmp_path / "in a+%"
+    many_names(folder)
+    if any("/" in p or "[" in p for p in patterns):
+        write(folder, "_d=1/g.txt", "one")
+
+    def rows():
+        found = files.scan_files(spark, str(folder), patterns)
+        return found.dtypes, sorted((r.path, r.modificationTime, r.length, bytes(r.content)) for r in found.collect())
+
+    theirs = rows()
+    monkeypatch.setattr(files, "MAX_LISTED", 3, raising=False)
+    assert rows() == theirs
+
+
+def test_driver_does_not_hold_many_files(spark, tmp_path, monkeypatch):
+    for i in range(300):
+        write(tmp_path, f"in/s={i % 5}/{i}.txt", f"The text number {i}.")
+    monkeypatch.setattr(files, "MAX_LISTED", 100, raising=False)
+    raw = files.scan_files(spark, str(tmp_path / "in"), ["s=*/*.txt"])
+    assert raw.count() == 300 and len(raw.inputFiles()) < 50
+    # With plain names Spark's reader makes a column of s=0 and its like; that stays.
+    assert files.scan_files(spark, str(tmp_path / "in"), ["*.txt"]).where("s < 2").count() == 120
+
+
+@pytest.mark.parametrize("sources", [None, [{"path": "s=1/*", "weight": 2}]])
+def test_jobs_of_many_files(spark, tmp_path, monkeypatch, sources):
+    for i in range(60):
+        write(tmp_path, f"in/s={i % 3}/{i}.txt", f"The text number {i}.")
+    given = {"file_patterns": ["s=*/*.txt"], "use_balanced_dataset": sources is not None, "sources": sources or []}
+
+    def run(name, **tokens):
+        options = jobs.options_from_config({"input": given, "output": {"output_dir": str(tmp_path / name)}, "tokenization": tokens})
+        with jobs.prepare_files(spark, str(tmp_path / "in"), options) as result:
+            tables = list(result.scratch.folders)
+            assert result.extraction.count() == 60 and result.cleaned.count() == (60 if sources is None else 40)
+        assert not any(staging.path_exists(spark, t) for t in tables)
+        rows = jobs.read_corpus(spark, str(tmp_path / name)).dataset.drop("processing_timestamp").collect()
+        return sorted(map(str, rows)), [t for t in tables if "/listing-" in t], result.cache_used
+
+    plain = run("plain")
+    monkeypatch.setattr(files, "MAX_LISTED", 20, raising=False)
+    many = run("many")
+    assert many[0] == plain[0] and plain[1] == [] and len(many[1]) == 2
+    cached = [run("cached", pre_tokenize=True, cache_dir=str(tmp_path / "cache")) for _ in range(2)]
+    assert [c[2] for c in cached] == [False, True] and cached[0][0] == cached[1][0]

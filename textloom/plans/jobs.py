@@ -190,8 +190,12 @@ def prepare_files(
     """
     if options.sources is not None and not options.sources:
         raise ValueError("a balanced dataset needs sources")
-    with small_files(spark):
-        return _prepared(spark, input_dir, options, **flags)
+    # What the scan stages is read as long as the result's own tables.
+    with small_files(spark), Scratch(spark) as scratch:
+        result = _prepared(spark, input_dir, options, **flags)
+        if result.scratch is not None:
+            scratch.folders += result.scratch.folders
+        return _held(result, scratch)
 
 
 def _prepared(spark: SparkSession, input_dir: str, options: CorpusOptions, **flags: bool) -> CorpusResult:

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import codecs
+import errno
 import os
 import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from itertools import batched
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -16,7 +19,7 @@ from pyspark.sql import functions as F
 from textloom.functions.rows import where_computed
 from textloom.functions.text import normalize_newlines, sanitize_encoding
 from textloom.sources.rtf import rtf_to_text
-from textloom.sources.staging import hadoop_path, path_exists
+from textloom.sources.staging import hadoop_path, path_exists, stage
 
 RAW_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 ERROR_MODES = ("strict", "replace", "ignore")
@@ -42,6 +45,10 @@ def glob_to_regex(pattern: str) -> str:
     return f"^{out}$"
 
 
+#: Files and folders that the driver lists and plans itself.
+MAX_LISTED = 100_000
+
+
 def scan_files(spark: SparkSession, folder: str, patterns: Sequence[str] = ("*.rtf",)) -> DataFrame:
     """Files in ``folder`` that match any pattern, each once.
 
@@ -49,25 +56,134 @@ def scan_files(spark: SparkSession, folder: str, patterns: Sequence[str] = ("*.r
     a file that matches several is listed once and no shuffle is needed to remove copies. Patterns that
     reach into subfolders are tested on the listed paths, before a file is opened.
     A missing folder, or one without matches, gives an empty table.
+
+    Spark's reader keeps every file it lists in the driver's memory. Where a folder of a local file system holds more than
+    ``MAX_LISTED``, tasks list and read the files, and their names stay in a staged table.
     """
     if not patterns or not path_exists(spark, folder):
         return spark.createDataFrame([], RAW_SCHEMA)
     fs, root = hadoop_path(spark, folder)
-    root = fs.makeQualified(root).toString().rstrip("/")
+    place = fs.makeQualified(root)
+    root = place.toString().rstrip("/")
+    deep = any("/" in p or "[" in p for p in patterns)
+    wanted = "|".join(glob_to_regex(p)[1:-1] for p in patterns)
+    inside = f"^{re.escape(re.sub('^[a-z0-9]+:/+', '/', root))}/(?:{wanted})$"
+    local = place.toUri().getPath()
+    if place.toUri().getScheme() == "file" and _many(local):
+        listed = _listed_by_tasks(spark, local)
+        # With plain names Spark's reader makes columns of folders such as a=b, and a backslash quotes.
+        parted = F.col("length").isNull() & F.substring("path", len(local) + 1, 1 << 30).contains("=")
+        if deep or not (any("\\" in p for p in patterns) or listed.where(parted).limit(1).count()):
+            return _read_by_tasks(listed.where(F.col("length") > 0), inside)
     reader = spark.read.format("binaryFile")
     escaped = re.sub(r"([\\{}\[\]*?])", r"\\\1", root)  # the folder's own name is no pattern
-    if any("/" in p or "[" in p for p in patterns):
-        wanted = "|".join(glob_to_regex(p)[1:-1] for p in patterns)
+    if deep:
         # The listing holds encoded paths, in which only a plus sign stands for itself.
         listed = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-        inner = F.regexp_replace(listed, "^[a-z0-9]+:/+", "/")
-        base = re.escape(re.sub("^[a-z0-9]+:/+", "/", root))
-        return reader.option("recursiveFileLookup", True).load(escaped).where(inner.rlike(f"^{base}/(?:{wanted})$"))
+        return reader.option("recursiveFileLookup", True).load(escaped).where(_bare(listed).rlike(inside))
     parts = [p.replace("{", "\\{").replace("}", "\\}") for p in patterns]
     names = parts[0] if len(parts) == 1 else "{" + ",".join(parts) + "}"
     return reader.option("pathGlobFilter", names).load(escaped)
 
 
+def _bare(path: Column) -> Column:
+    return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
+
+
+def _left_out(name: str, folder: bool) -> bool:
+    """Whether Spark's reader passes over a file or folder of that name."""
+    under = name.startswith("_") and "=" not in name
+    if name.startswith(".") or under and not folder:
+        return True
+    return (under or name.endswith("._COPYING_")) and not name.startswith(("_metadata", "_common_metadata"))
+
+
+def _is_folder(entry: os.DirEntry) -> bool:
+    return os.path.isdir(entry.path) if entry.is_symlink() else entry.is_dir()
+
+
+def _many(folder: str) -> bool:
+    """Whether more than ``MAX_LISTED`` files and folders lie below a local folder; looks at no more of them."""
+    seen, below = 0, [folder] if os.path.isdir(folder) else []
+    while below:
+        with os.scandir(below.pop()) as entries:
+            for entry in entries:
+                inner = _is_folder(entry)
+                if not _left_out(entry.name, inner):
+                    seen += 1
+                    if inner:
+                        below.append(entry.path)
+                if seen > MAX_LISTED:
+                    return True
+    return False
+
+
+def _listed_by_tasks(spark: SparkSession, folder: str) -> DataFrame:
+    """What lies below a local folder, a staged table per level: path, length (null for a folder), change time."""
+
+    def held(folders: list[str]) -> Iterator[tuple[str, int | None, int | None]]:
+        for each in folders:
+            with os.scandir(each) as entries:
+                for entry in entries:
+                    inner = _is_folder(entry)
+                    if _left_out(entry.name, inner):
+                        continue
+                    if inner:
+                        yield entry.path, None, None
+                        continue
+                    try:
+                        status = entry.stat()
+                    except OSError as error:
+                        if error.errno in (errno.ENOENT, errno.ELOOP):  # a link to nothing
+                            continue
+                        raise
+                    yield entry.path, status.st_size, status.st_mtime_ns // 1_000_000
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("path", pa.string()), ("length", pa.int64()), ("changed", pa.int64())])
+        for batch in batches:
+            for some in batched(held(batch.column(0).to_pylist()), 10_000):
+                columns = [pa.array(column, kind) for column, kind in zip(zip(*some), schema.types)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    levels, folders = [], spark.createDataFrame([(folder,)], "path string")
+    while True:
+        levels.append(stage(folders.mapInArrow(run, "path string, length bigint, changed bigint"), "listing"))
+        folders = levels[-1].where("length IS NULL").select("path")
+        number = folders.count()
+        if not number:
+            return reduce(DataFrame.unionByName, levels)
+        folders = folders.repartition(min(number, 4 * spark.sparkContext.defaultParallelism))
+
+
+def _read_by_tasks(listed: DataFrame, inside: str) -> DataFrame:
+    """The listed local files whose path matches, with their contents, some thousand to a task."""
+
+    @F.arrow_udf("binary")
+    def contents(paths: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for some in paths:
+            read, size = [], 0
+            for path in some.to_pylist():
+                with open(path, "rb") as file:
+                    read.append(file.read())
+                size += len(read[-1])
+                if size > 8 << 20:
+                    yield pa.array(read, pa.binary())
+                    read, size = [], 0
+            yield pa.array(read, pa.binary())
+
+    spark, wanted = listed.sparkSession, listed.where(F.col("path").rlike(inside))
+    told = wanted.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    cost = told["bytes"] + told["files"] * int(_SMALL_FILES["spark.sql.files.openCostInBytes"])
+    tasks = max(cost // spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() + 1, spark.sparkContext.defaultParallelism)
+    return wanted.repartition(tasks).select(
+        F.concat(F.lit("file:"), "path").alias("path"),
+        F.timestamp_millis("changed").alias("modificationTime"),
+        "length",
+        contents("path").alias("content"),
+    )
+
+
 # For folders of many small files: some thousand of them to a task instead of 32, and folders listed beside each other.
 _SMALL_FILES = {"spark.sql.files.openCostInBytes": "65536", "spark.sql.sources.parallelPartitionDiscovery.threshold": "4"}
 
