@@ -14,7 +14,7 @@ from textloom.operators import batches, chunk, encode, mix, split, stats
 from textloom.operators import vocabulary as vocab
 from textloom.operators.clean import CleanOptions, clean_batch
 from textloom.operators.ids import dense_numbers, running_offsets
-from textloom.sources import files
+from textloom.sources import files, staging
 from textloom.streaming import streams
 
 SPEC = vocab.DEFAULT_SPEC
@@ -398,3 +398,18 @@ def test_texts_stay_where_names_are_settled(spark, tmp_path):
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan.split("BroadcastExchange")[0]
     stems = [r["stem"] for r in named.collect()]
     assert len(set(stems)) == 11 and "only" in stems and all(s.startswith("n") or s == "only" for s in stems)
+
+
+def test_many_offsets_are_not_sent(spark, monkeypatch):
+    rows = [(f"d{i % 40:02d}" if i % 40 else None, i // 40, 3, f"t{i}") for i in range(120)]
+    staged = staging.stage(spark.createDataFrame(rows, "source_file string, pos int, num_chunks int, text string"), "rows")
+
+    def numbered():
+        got = chunk.assign_chunk_ids(staged)
+        return sorted((r.chunk_id, r.text) for r in got.collect()), got._jdf.queryExecution().optimizedPlan().toString()
+
+    sent, plan = numbered()
+    assert [i for i, _ in sent] == list(range(120)) and "strategy=merge" not in plan
+    monkeypatch.setattr(chunk, "MAX_SENT_OFFSETS", 39, raising=False)
+    joined, plan = numbered()
+    assert joined == sent and "strategy=merge" in plan

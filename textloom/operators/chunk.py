@@ -63,14 +63,23 @@ def chunk_offsets(rows: DataFrame, keys: Sequence[str] = ("source_file",)) -> Da
     return running_offsets(rows.where("pos = 0").select(*keys, "num_chunks"), keys, "num_chunks")
 
 
+# Offsets within these bounds may be sent to every executor, by way of the driver; more of them are joined.
+MAX_SENT_OFFSETS, MAX_SENT_KEY_BYTES = 500_000, 32 * 1024 * 1024
+
+
 def assign_chunk_ids(rows: DataFrame, keys: Sequence[str] = ("source_file",)) -> DataFrame:
     """Add ``chunk_id`` to staged chunk rows. The keys name a document.
 
     The chunks meet their document's offset in one join; whether the offsets are
-    small enough to be sent to every executor is left to the measured size.
+    small enough to be sent to every executor is left to the measured size. That is the size
+    of compressed files, of which names take little, so beyond the bounds they are not sent.
     """
     names = {key: f"_of_{key}" for key in keys}
+    length = sum((F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) for key in keys), F.lit(0))
+    size = rows.where("pos = 0").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(length), F.lit(0)).alias("b")).first()
     offsets = chunk_offsets(rows, keys).withColumnsRenamed(names)
+    if size["n"] > MAX_SENT_OFFSETS or size["b"] > MAX_SENT_KEY_BYTES:
+        offsets = offsets.hint("merge")
     # A null key is a key like any other: its chunks are numbered too.
     same = [rows[key].eqNullSafe(offsets[name]) for key, name in names.items()]
     joined = rows.join(offsets, same)
